@@ -1,0 +1,149 @@
+"""The query registry: every operator of the pipeline as a function
+``(spark, sf_dir) -> DataFrame`` over the driver tables.
+
+The star for a (session, scale) is built once, written to the session's
+checkpoint folder, and shared by every query that reads it."""
+
+from __future__ import annotations
+
+import threading
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from .functions.dates import MONTH_FIRST, parse_date
+from .operators import clean as C
+from .plans import conflicts as Q
+from .plans import measures as X
+from .plans import quality as G
+from .plans import star as K
+from .plans import views as V
+from .plans.star import Star
+from .session import ensure_checkpoint_dir, scratch_path
+from .sources import fixtures as FX
+from .sources.tables import read_csv, read_table, write_csv
+
+_LOCK = threading.Lock()
+_STARS: dict[tuple, Star] = {}
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned order lines from the driver tables."""
+    return C.clean_order_lines(FX.order_lines(spark, sf_dir))
+
+
+def star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star for this session and scale, built and written once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _STARS:
+            ensure_checkpoint_dir(spark)
+            _STARS[key] = K.build_star(order_lines(spark, sf_dir))
+        return _STARS[key]
+
+
+def _on_star(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(star(spark, sf_dir))
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.normalize_columns(FX.raw_order_lines(spark, sf_dir))
+
+
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write order lines as CSV to a fresh shared folder, read them back as
+    text and clean them (S1-S3)."""
+    path = scratch_path(spark, "order-lines-csv")
+    write_csv(FX.order_lines(spark, sf_dir), path)
+    return C.clean_order_lines(read_csv(spark, path, list(FX.ORDER_LINE_NAMES)))
+
+
+def _month_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-first date text (every 50th 'bad') parsed with month-first layouts."""
+    o = read_table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 50 == 0, F.lit("bad")).otherwise(
+        F.date_format("o_orderdate", "MM/dd/yyyy"))
+    out = o.select(F.col("o_orderkey").alias("order_id"), text.alias("order_date_text"))
+    return out.withColumn("order_date", parse_date(F.col("order_date_text"), StringType(), MONTH_FIRST))
+
+
+def _conflict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.clean_order_lines(FX.conflict_order_lines(spark, sf_dir))
+
+
+def _details(spark, sf_dir):
+    return Q.conflict_details(_conflict_lines(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # sources and cleaning
+    "csv_roundtrip": _csv_roundtrip,
+    "normalize_columns": _raw,
+    "drop_empty_rows": lambda s, d: C.drop_empty_rows(_raw(s, d)),
+    "clean_strings": lambda s, d: C.clean_strings(_raw(s, d)),
+    "parse_dates_dayfirst": lambda s, d: C.parse_dates(_raw(s, d)).select("order_id", "order_date", "ship_date"),
+    "parse_dates_monthfirst": _month_first,
+    "coerce_numeric": lambda s, d: C.coerce_numeric(C.clean_strings(_raw(s, d))).select(
+        "order_id", "sales", "quantity", "discount", "profit"),
+    "dedupe_rows": lambda s, d: C.dedupe_rows(_raw(s, d)),
+    "clean_order_lines": lambda s, d: C.clean_order_lines(FX.raw_order_lines(s, d)),
+    # star
+    "date_span": lambda s, d: K.date_span(order_lines(s, d)),
+    "dim_date": _on_star(lambda st: st.date),
+    "dim_customer": _on_star(lambda st: st.customer),
+    "dim_product": _on_star(lambda st: st.product),
+    "dim_geography": _on_star(lambda st: st.geography),
+    "dim_ship_mode": _on_star(lambda st: st.ship_mode),
+    "fact_sales": _on_star(lambda st: st.fact),
+    # load checks
+    "pk_violations": _on_star(G.pk_violations),
+    "fk_violations": _on_star(G.fk_violations),
+    "table_row_counts": _on_star(G.table_row_counts),
+    "missing_key_counts": _on_star(G.missing_key_counts),
+    "control_totals": _on_star(G.control_totals),
+    "join_sample": _on_star(G.join_sample),
+    "orphan_counts": _on_star(G.orphan_counts),
+    "view_row_counts": _on_star(G.view_row_counts),
+    "sales_detail_top20": _on_star(G.sales_detail_top),
+}
+QUERIES.update({name: _on_star(fn) for name, fn in V.VIEWS.items()})
+QUERIES.update({
+    # measures
+    "core_measures": _on_star(X.core_measures),
+    "loss_measures": _on_star(X.loss_measures),
+    "discount_measures": _on_star(X.discount_measures),
+    "yoy_sales": _on_star(X.yoy_sales),
+    "yoy_sales_monthly": _on_star(X.yoy_sales_monthly),
+    "portfolio_segments": _on_star(X.portfolio_segments),
+    "portfolio_segment_counts": _on_star(X.portfolio_segment_counts),
+    "rank_customers": _on_star(X.rank_customers),
+    "rank_products": _on_star(X.rank_products),
+    "rank_regions": _on_star(X.rank_regions),
+    "loss_concentration": _on_star(X.loss_concentration),
+    "efficiency_measures": _on_star(X.efficiency_measures),
+    "discounted_vs_full_price": _on_star(X.discounted_vs_full_price),
+    # report pages
+    "by_region": _on_star(X.by_region),
+    "by_category": _on_star(X.by_category),
+    "loss_lines_by_subcategory": _on_star(X.loss_lines_by_subcategory),
+    "top_bottom_customers": _on_star(X.top_bottom_customers),
+    "segment_contribution": _on_star(X.segment_contribution),
+    "ship_mode_mix": _on_star(X.ship_mode_mix),
+    "shipping_day_distribution": _on_star(X.shipping_day_distribution),
+    "delivery_by_geography": _on_star(X.delivery_by_geography),
+    "high_sales_low_profit": _on_star(X.high_sales_low_profit),
+    "margin_by_discount": _on_star(X.margin_by_discount),
+    # identifier conflicts
+    "product_id_attribute_counts": lambda s, d: Q.attribute_counts(_conflict_lines(s, d)),
+    "product_id_conflicts": lambda s, d: Q.conflicts(_conflict_lines(s, d)),
+    "top_conflict_ids": lambda s, d: Q.top_conflict_ids(_conflict_lines(s, d)),
+    "conflict_details": _details,
+    "conflict_summary": lambda s, d: Q.conflict_summary(_details(s, d)),
+    "top_conflicts_by_rows": lambda s, d: Q.top_conflicts_by_rows(Q.conflict_summary(_details(s, d))),
+    "top_conflicts_by_profit": lambda s, d: Q.top_conflicts_by_profit(Q.conflict_summary(_details(s, d))),
+})

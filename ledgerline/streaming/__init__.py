@@ -1,0 +1,3 @@
+"""Streaming: the pipeline is batch only (it rebuilds a star from a file of
+order lines), so there is no streaming operator to offer. Incremental loads
+reuse the batch functions, e.g. from ``foreachBatch``."""
