@@ -26,7 +26,7 @@ def parse_date(col: Column, dtype, formats=DAY_FIRST) -> Column:
         return col.cast("date")
     text = F.btrim(col.cast(StringType()), F.lit(WHITESPACE))
     text = F.when(text != "", text)
-    tries = [F.try_to_date(text, F.lit(fmt)) for fmt in formats]
+    tries = [F.try_to_date(text, fmt) for fmt in formats]
     return F.coalesce(*tries) if len(tries) > 1 else tries[0]
 
 

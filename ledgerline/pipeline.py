@@ -27,6 +27,7 @@ from .sources.tables import read_csv, read_table, write_csv
 
 _LOCK = threading.Lock()
 _STARS: dict[tuple, Star] = {}
+_LINES: dict[tuple, DataFrame] = {}
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +74,18 @@ def _month_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _conflict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean_order_lines(FX.conflict_order_lines(spark, sf_dir))
+    """Cleaned lines keyed by product code, written once per session and scale.
+
+    Writing them cuts the lineage: the reports stack several aggregates and
+    joins on top, and planning them over the full cleaning lineage (a wide
+    projection under an all-NULL filter) sends constraint inference into a
+    combinatorial search."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _LINES:
+            ensure_checkpoint_dir(spark)
+            _LINES[key] = C.clean_order_lines(FX.conflict_order_lines(spark, sf_dir)).checkpoint(eager=True)
+        return _LINES[key]
 
 
 def _details(spark, sf_dir):

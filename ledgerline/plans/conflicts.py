@@ -84,8 +84,8 @@ def conflict_summary(details: DataFrame) -> DataFrame:
     """Q8: per id: lines, sales, profit, first and last date, |profit|."""
     d = details.select(
         "product_id", "number_of_rows", "total_sales", "total_profit",
-        F.try_to_date(F.when(F.col("first_order_date") != "", F.col("first_order_date")), F.lit("yyyy-MM-dd")).alias("f"),
-        F.try_to_date(F.when(F.col("last_order_date") != "", F.col("last_order_date")), F.lit("yyyy-MM-dd")).alias("l"))
+        F.try_to_date(F.when(F.col("first_order_date") != "", F.col("first_order_date")), "yyyy-MM-dd").alias("f"),
+        F.try_to_date(F.when(F.col("last_order_date") != "", F.col("last_order_date")), "yyyy-MM-dd").alias("l"))
     return (d.groupBy("product_id").agg(
         F.sum("number_of_rows").cast("bigint").alias("total_rows"),
         F.sum("total_sales").cast(AMOUNT_TYPE).alias("total_sales"),
