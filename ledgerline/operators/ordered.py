@@ -12,7 +12,7 @@ single partition. The operators here keep the work spread out:
 
 The sort order must be total (unique) for results to be deterministic;
 callers append key columns to make it so. Partition stamps are written once
-with a reliable checkpoint (see ``tag_ranges``).
+to the shared checkpoint folder (see ``tag_ranges``).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import materialize
 
 _POS_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id = row within partition
 
@@ -35,7 +35,8 @@ def tag_ranges(df: DataFrame, order: Sequence[Column | str], partitions: int | N
                positions: bool = True) -> DataFrame:
     """Range-partition on ``order`` and stamp each row with its partition id
     (``_part``) and, if asked, its position inside the sorted partition
-    (``_pos``), then write the result once with a reliable checkpoint.
+    (``_pos``), then write the result once (parquet in the shared
+    checkpoint folder).
 
     Writing it once is what makes the stamps trustworthy: range bounds are
     sampled from the input, and an input whose row order is not fixed (any
@@ -50,7 +51,7 @@ def tag_ranges(df: DataFrame, order: Sequence[Column | str], partitions: int | N
             F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)).alias("_pos"))
     else:
         tagged = ranged.select("*", F.spark_partition_id().alias("_part"))
-    return tagged.checkpoint(eager=True)
+    return materialize(tagged, "ranges")
 
 
 def _offsets(per_part: DataFrame, value: str) -> DataFrame:

@@ -21,7 +21,7 @@ from .plans import quality as G
 from .plans import star as K
 from .plans import views as V
 from .plans.star import Star
-from .session import ensure_checkpoint_dir, scratch_path
+from .session import ensure_checkpoint_dir, materialize, scratch_path
 from .sources import fixtures as FX
 from .sources.tables import read_csv, read_table, write_csv
 
@@ -84,7 +84,8 @@ def _conflict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _LOCK:
         if key not in _LINES:
             ensure_checkpoint_dir(spark)
-            _LINES[key] = C.clean_order_lines(FX.conflict_order_lines(spark, sf_dir)).checkpoint(eager=True)
+            _LINES[key] = materialize(C.clean_order_lines(FX.conflict_order_lines(spark, sf_dir)),
+                                      "conflict-lines")
         return _LINES[key]
 
 

@@ -20,6 +20,7 @@ from ..functions import dates as D
 from ..operators.clean import existing
 from ..operators.lookup import lookup_key
 from ..operators.ordered import ordered_index
+from ..session import materialize
 
 CUSTOMER_COLS = ("customer_id", "customer_name", "segment")
 PRODUCT_COLS = ("product_id", "product_name", "category", "sub_category")
@@ -168,10 +169,11 @@ def fact_sales(numbered: DataFrame, customer: DataFrame | None, product: DataFra
 
 
 def build_star(lines: DataFrame, row_order: Sequence[str] | None = None,
-               materialize: bool = True) -> Star:
-    """Cleaned order lines → star. Each table is written once (reliable
-    checkpoint) so views read short, fixed lineages."""
-    keep = (lambda df: df.checkpoint(eager=True)) if materialize else (lambda df: df)
+               write: bool = True) -> Star:
+    """Cleaned order lines → star. Each table is written once (parquet in the
+    shared checkpoint folder) so views read short, fixed lineages with file
+    statistics, column pruning and pushdown."""
+    keep = (lambda df: materialize(df, "star")) if write else (lambda df: df)
     numbered = number_lines(lines, row_order)
     calendar = keep(dim_date(numbered))
     customer = dim_customer(numbered)

@@ -78,3 +78,17 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, label: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    return a reader of it.
+
+    This cuts the lineage like a reliable checkpoint, survives executor loss
+    (the files live in shared storage), and unlike a checkpointed RDD keeps
+    what the planner needs at scale: file statistics for size-checked
+    broadcasts, column pruning and filter pushdown into the scan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
