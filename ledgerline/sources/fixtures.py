@@ -47,11 +47,14 @@ ORDER_LINE_NAMES = tuple(name for name, _ in ORDER_LINE_COLUMNS)
 def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ region ⋈ part (inner).
 
-    No join hints: nation and region are broadcast by Spark's size check;
-    the fact-to-order and fact-to-part joins are left to the planner and AQE."""
+    Line items and orders are both fact-sized, so they are joined by a
+    shuffle on the order key (the ``merge`` hint), never broadcast; AQE
+    splits a skewed order key. The other joins are left to Spark's size
+    check: nation and region broadcast, customer and part broadcast while
+    their files are small and sort-merge join beyond that."""
     t = lambda n: read_table(spark, sf_dir, n)
     return (t("lineitem")
-            .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(t("orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
