@@ -278,6 +278,11 @@ FROM ({SALES_DETAIL}) ORDER BY sales_key LIMIT 20"""
             body = PARETO_SELECT
         bodies.append(f"SELECT '{name}' AS view_name, COUNT(*) AS row_count FROM ({body.strip()})")
     q["view_row_counts"] = f"{STAR},\n{PARETO_CTES}\n" + "\nUNION ALL\n".join(bodies)
+    q["star_csv_roundtrip"] = q["table_row_counts"]
+    kpi = _views()["vw_executive_kpis"][len(STAR):]
+    band = _views()["vw_discount_impact"][len(STAR):]
+    q["sql_over_views"] = (f"{STAR}\nSELECT d.discount_band, d.total_order_lines, d.profit_margin, "
+                           f"(SELECT k.total_order_lines FROM ({kpi}) k) AS all_lines FROM ({band}) d")
     q["sales_detail_top20"] = f"{STAR}\nSELECT * FROM ({SALES_DETAIL}) ORDER BY order_date NULLS FIRST, sales_key LIMIT 20"
     return q
 
@@ -563,6 +568,7 @@ def _conflicts() -> dict[str, str]:
         "top_conflict_ids": f"{CONFLICT_CTES}\nSELECT * FROM top_ids",
         "conflict_details": f"{CONFLICT_CTES}\nSELECT * FROM details",
         "conflict_summary": f"{CONFLICT_CTES}\nSELECT * FROM summary",
+        "conflict_summary_from_csv": f"{CONFLICT_CTES}\nSELECT * FROM summary",
         "top_conflicts_by_rows": f"{CONFLICT_CTES}\nSELECT * FROM summary ORDER BY total_rows DESC, product_id LIMIT 10",
         "top_conflicts_by_profit": f"{CONFLICT_CTES}\nSELECT * FROM summary ORDER BY profit_abs DESC, product_id LIMIT 10",
     }

@@ -93,9 +93,56 @@ def _details(spark, sf_dir):
     return Q.conflict_details(_conflict_lines(spark, sf_dir))
 
 
+DETAIL_COLUMNS = ("product_id", "product_name", "category", "sub_category", "number_of_rows",
+                  "total_sales", "total_profit", "first_order_date", "last_order_date")
+
+
+def _summary_via_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two-step report hand-off: conflict details are written as CSV,
+    read back as text with typed columns (dates parsed), then summarised
+    (S1-S3 with named date columns)."""
+    path = scratch_path(spark, "conflict-details-csv")
+    write_csv(_details(spark, sf_dir), path)
+    text = read_csv(spark, path, list(DETAIL_COLUMNS))
+    typed = text.select(
+        "product_id", F.col("number_of_rows").try_cast("bigint").alias("number_of_rows"),
+        F.col("total_sales").try_cast(Q.AMOUNT_TYPE).alias("total_sales"),
+        F.col("total_profit").try_cast(Q.AMOUNT_TYPE).alias("total_profit"),
+        F.coalesce("first_order_date", F.lit("")).alias("first_order_date"),
+        F.coalesce("last_order_date", F.lit("")).alias("last_order_date"))
+    return Q.conflict_summary(typed)
+
+
+def _star_csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every star table as CSV, read each back and count its rows (S3)."""
+    from functools import reduce
+    base = scratch_path(spark, "star-csv")
+    names = dict(zip(("dim_date", "dim_customer", "dim_product", "dim_geography", "dim_ship_mode",
+                      "fact_sales"), (n for n, _, _ in G.TABLE_KEYS)))
+    counts = []
+    for table, df in star(spark, sf_dir).tables().items():
+        write_csv(df, f"{base}/{table}")
+        back = read_csv(spark, f"{base}/{table}", df.columns)
+        counts.append(back.agg(F.count(F.lit(1)).alias("row_count"))
+                      .select(F.lit(names[table]).alias("table_name"), "row_count"))
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Register the star and the twelve views as temp views and query them
+    with SQL (S4, S5)."""
+    V.register_views(star(spark, sf_dir))
+    return spark.sql("""
+        SELECT d.discount_band, d.total_order_lines, d.profit_margin,
+               (SELECT k.total_order_lines FROM vw_executive_kpis k) AS all_lines
+        FROM vw_discount_impact d""")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and cleaning
     "csv_roundtrip": _csv_roundtrip,
+    "star_csv_roundtrip": _star_csv_counts,
+    "sql_over_views": _sql_over_views,
     "normalize_columns": _raw,
     "drop_empty_rows": lambda s, d: C.drop_empty_rows(_raw(s, d)),
     "clean_strings": lambda s, d: C.clean_strings(_raw(s, d)),
@@ -157,6 +204,7 @@ QUERIES.update({
     "top_conflict_ids": lambda s, d: Q.top_conflict_ids(_conflict_lines(s, d)),
     "conflict_details": _details,
     "conflict_summary": lambda s, d: Q.conflict_summary(_details(s, d)),
+    "conflict_summary_from_csv": _summary_via_csv,
     "top_conflicts_by_rows": lambda s, d: Q.top_conflicts_by_rows(Q.conflict_summary(_details(s, d))),
     "top_conflicts_by_profit": lambda s, d: Q.top_conflicts_by_profit(Q.conflict_summary(_details(s, d))),
 })

@@ -80,8 +80,10 @@ def dim_date(lines: DataFrame) -> DataFrame:
     cols = existing(lines, DATE_COLS)
     if not cols:
         raise ValueError("no order_date or ship_date column: cannot build the calendar")
-    span = lines.agg(F.least(*[F.min(c) for c in cols]).alias("lo"),
-                     F.greatest(*[F.max(c) for c in cols]).alias("hi"))
+    lo = [F.min(c) for c in cols]
+    hi = [F.max(c) for c in cols]
+    span = lines.agg((F.least(*lo) if len(lo) > 1 else lo[0]).alias("lo"),
+                     (F.greatest(*hi) if len(hi) > 1 else hi[0]).alias("hi"))
     lo_hi = span.first()
     if lo_hi is None or lo_hi["lo"] is None:
         raise ValueError("every order_date and ship_date is NULL: check date parsing")

@@ -103,3 +103,27 @@ def test_conflict_reports(spark):
     summary = {r.product_id: r for r in Q.conflict_summary(details).collect()}
     assert summary["P1"].total_rows == 3 and summary["P1"].profit_abs == Decimal("5.0000")
     assert summary["P1"].last_order_date == D(2012, 3, 1)
+
+
+def test_optional_columns_and_fallbacks(spark):
+    # no geography, no customer, no ship mode: those keys are simply absent
+    lines = _lines(spark).drop("country", "region", "postal_code", "customer_id", "customer_name",
+                               "segment", "ship_mode")
+    star = K.build_star(lines, write=False)
+    assert star.customer is None and star.geography is None and star.ship_mode is None
+    assert star.fact.columns == ["sales_key", "order_id", "order_date_key", "ship_date_key",
+                                 "product_key", "sales", "quantity", "discount", "profit"]
+    # no key and no measure column at all: the fact keeps every column
+    bare = spark.createDataFrame([(1, "x")], "_row bigint, note string")
+    fact = K.fact_sales(bare, None, None, None, None)
+    assert fact.columns == ["sales_key", "note"]
+
+
+def test_conflict_report_guards(spark):
+    # no product attribute columns: an empty result, not an error (C14)
+    no_attrs = spark.createDataFrame([("P1", 1.0)], "product_id string, sales double")
+    assert Q.conflicts(no_attrs).count() == 0
+    # no sales/profit/date: NULL totals and NULL dates, never a row count in their place (Q7)
+    lines = spark.createDataFrame([("P1", "A"), ("P1", "B")], "product_id string, product_name string")
+    d = Q.conflict_details(lines).collect()
+    assert len(d) == 2 and all(r.total_sales is None and r.first_order_date is None for r in d)
