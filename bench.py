@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerline import pipeline as P  # noqa: E402
+from ledgerline import registry as P  # noqa: E402
 from ledgerline.session import local_session  # noqa: E402
 
 HEADLINE = (

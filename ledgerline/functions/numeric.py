@@ -11,7 +11,6 @@ from .dates import WHITESPACE
 # Money read from text keeps four decimals: sums stay exact and independent
 # of partition order.
 MONEY_TYPE = "decimal(22,4)"
-RATE_TYPE = "decimal(8,4)"
 RATIO_TYPE = "decimal(18,4)"
 
 
@@ -38,13 +37,6 @@ def to_count(col: Column, dtype) -> Column:
     return F.coalesce(val.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def to_double_or_zero(col: Column, dtype) -> Column:
-    """Number or numeric text → DOUBLE, unparseable or missing → 0."""
-    val = col.try_cast("double") if isinstance(dtype, NumericType) else _text(col).try_cast("double")
-    val = F.when(~F.isnan(val), val)
-    return F.coalesce(val, F.lit(0.0))
-
-
 def ratio(num: Column, den: Column) -> Column:
     """num / den as DECIMAL(18,4); NULL when den is 0 or NULL.
 
