@@ -131,8 +131,10 @@ def _star_csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register the star and the twelve views as temp views and query them
     with SQL (S4, S5)."""
-    V.register_views(star(spark, sf_dir))
-    return spark.sql("""
+    st = star(spark, sf_dir)
+    V.register_views(st)
+    # temp views live in the session that owns the star's DataFrames
+    return st.fact.sparkSession.sql("""
         SELECT d.discount_band, d.total_order_lines, d.profit_margin,
                (SELECT k.total_order_lines FROM vw_executive_kpis k) AS all_lines
         FROM vw_discount_impact d""")
