@@ -80,6 +80,21 @@ def conflict_details(lines: DataFrame, n: int = 10) -> DataFrame:
     return out.orderBy("product_id", F.col("number_of_rows").desc(), *cols)
 
 
+DETAIL_COLUMNS = ("product_id", "product_name", "category", "sub_category", "number_of_rows",
+                  "total_sales", "total_profit", "first_order_date", "last_order_date")
+
+
+def details_from_text(text: DataFrame) -> DataFrame:
+    """Conflict details read back from CSV (all text) with their types:
+    counts and amounts parsed (bad → NULL), dates kept as yyyy-MM-dd text."""
+    return text.select(
+        "product_id", F.col("number_of_rows").try_cast("bigint").alias("number_of_rows"),
+        F.col("total_sales").try_cast(AMOUNT_TYPE).alias("total_sales"),
+        F.col("total_profit").try_cast(AMOUNT_TYPE).alias("total_profit"),
+        F.coalesce("first_order_date", F.lit("")).alias("first_order_date"),
+        F.coalesce("last_order_date", F.lit("")).alias("last_order_date"))
+
+
 def conflict_summary(details: DataFrame) -> DataFrame:
     """Q8: per id: lines, sales, profit, first and last date, |profit|."""
     d = details.select(

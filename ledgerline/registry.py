@@ -93,24 +93,14 @@ def _details(spark, sf_dir):
     return Q.conflict_details(_conflict_lines(spark, sf_dir))
 
 
-DETAIL_COLUMNS = ("product_id", "product_name", "category", "sub_category", "number_of_rows",
-                  "total_sales", "total_profit", "first_order_date", "last_order_date")
-
-
 def _summary_via_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two-step report hand-off: conflict details are written as CSV,
     read back as text with typed columns (dates parsed), then summarised
     (S1-S3 with named date columns)."""
     path = scratch_path(spark, "conflict-details-csv")
     write_csv(_details(spark, sf_dir), path)
-    text = read_csv(spark, path, list(DETAIL_COLUMNS))
-    typed = text.select(
-        "product_id", F.col("number_of_rows").try_cast("bigint").alias("number_of_rows"),
-        F.col("total_sales").try_cast(Q.AMOUNT_TYPE).alias("total_sales"),
-        F.col("total_profit").try_cast(Q.AMOUNT_TYPE).alias("total_profit"),
-        F.coalesce("first_order_date", F.lit("")).alias("first_order_date"),
-        F.coalesce("last_order_date", F.lit("")).alias("last_order_date"))
-    return Q.conflict_summary(typed)
+    text = read_csv(spark, path, list(Q.DETAIL_COLUMNS))
+    return Q.conflict_summary(Q.details_from_text(text))
 
 
 def _star_csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
