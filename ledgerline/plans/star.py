@@ -87,7 +87,11 @@ def dim_date(lines: DataFrame) -> DataFrame:
     lo_hi = span.first()
     if lo_hi is None or lo_hi["lo"] is None:
         raise ValueError("every order_date and ship_date is NULL: check date parsing")
-    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
+    # The span is two bounded control values; the days are generated by a
+    # distributed range rather than by exploding one row inside one task.
+    n_days = (lo_hi["hi"] - lo_hi["lo"]).days + 1
+    days = lines.sparkSession.range(n_days).select(
+        F.date_add(F.lit(lo_hi["lo"]), F.col("id").cast("int")).alias("date"))
     d = F.col("date")
     return days.select(
         d, D.date_key(d).alias("date_key"), F.year(d).alias("year"),
