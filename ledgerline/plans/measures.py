@@ -3,7 +3,9 @@
 A measure is an aggregate expression; its filter context is a filtered or
 grouped fact. Whole-frame ranks, running totals and medians use the
 distributed operators of ``operators.ordered``; grand totals enter as scalar
-subqueries (one value computed once, not a join)."""
+subqueries (one value computed once, not a join). Where a query reads the
+same product- or customer-level aggregate several times (medians, totals,
+rank passes), that aggregate is written once so the fact is scanned once."""
 
 from __future__ import annotations
 
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as M
 from ..functions.numeric import mean, ratio
 from ..operators.ordered import middle_values, rank_by, running_sum
+from ..session import materialize
 from . import views as V
 from .star import Star
 
@@ -93,7 +96,8 @@ def portfolio_segments(star: Star) -> DataFrame:
     per = (V._inner(star.fact, star.product, "product_key", ["product_name"])
            .groupBy("product_name")
            .agg(M.total_sales(), M.total_profit(), M.profit_margin()))
-    per = per.withColumn("_margin", F.coalesce("profit_margin", F.lit(0).cast("decimal(18,4)")))
+    per = materialize(per.withColumn("_margin", F.coalesce("profit_margin", F.lit(0).cast("decimal(18,4)"))),
+                      "per-product-name")
     big = _at_least_median("total_sales", middle_values(per, "total_sales", ["product_name"]))
     good = _at_least_median("_margin", middle_values(per, "profit_margin", ["product_name"]))
     seg = (F.when(F.col("total_profit") < 0, LOSS_MAKER)
@@ -110,6 +114,7 @@ def portfolio_segment_counts(star: Star) -> DataFrame:
 
 
 def _ranked(per: DataFrame) -> DataFrame:
+    per = materialize(per, "ranked-input")
     per = rank_by(per, "total_sales", "sales_rank")
     return rank_by(per, "total_profit", "profit_rank")
 
@@ -136,8 +141,8 @@ def rank_regions(star: Star) -> DataFrame:
 def loss_concentration(star: Star) -> DataFrame:
     """Loss-making products, worst first, with share of total loss and
     cumulative share (running total per range partition)."""
-    per = (V.product_totals(star).where(F.col("total_profit") < 0)
-           .withColumn("loss", (-F.col("total_profit")).cast(M.PROFIT_TYPE)))
+    per = materialize(V.product_totals(star).where(F.col("total_profit") < 0)
+                      .withColumn("loss", (-F.col("total_profit")).cast(M.PROFIT_TYPE)), "loss-products")
     total = per.select(F.sum("loss")).scalar()
     run = running_sum(per, [F.col("loss").desc(), F.col("product_key")], "loss", "cumulative_loss")
     return run.select("product_key", *V.PRODUCT_ATTRS, "total_sales", "total_profit", "loss",
@@ -234,8 +239,9 @@ def delivery_by_geography(star: Star) -> DataFrame:
 def high_sales_low_profit(star: Star) -> DataFrame:
     """Products selling at or above the median whose profit is negative
     or whose margin is below the median margin."""
-    per = (V.product_totals(star)
-           .withColumn("profit_margin", ratio(F.col("total_profit"), F.col("total_sales"))))
+    per = materialize(V.product_totals(star)
+                      .withColumn("profit_margin", ratio(F.col("total_profit"), F.col("total_sales"))),
+                      "product-margins")
     big = _at_least_median("total_sales", middle_values(per, "total_sales", ["product_key"]))
     good = _at_least_median("profit_margin", middle_values(per, "profit_margin", ["product_key"]))
     return per.where(big & ((F.col("total_profit") < 0) | ~F.coalesce(good, F.lit(False))))

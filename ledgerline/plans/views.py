@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as M
 from ..functions.numeric import mean_truncated, ratio
 from ..operators.ordered import running_sum
+from ..session import materialize
 from .star import Star
 
 # Discount bands, upper-inclusive, first match wins; anything
@@ -133,7 +134,9 @@ def product_pareto(star: Star) -> DataFrame:
     subquery. Ties in sales are broken by product_key. A product is in the
     top group while cumulative / grand <= 0.80, tested exactly as
     5 * cumulative <= 4 * grand (grand > 0)."""
-    totals = product_totals(star)
+    # Written once: the grand total and the running total both read this
+    # product-level table instead of aggregating the fact twice.
+    totals = materialize(product_totals(star), "product-totals")
     grand = totals.select(F.sum("total_sales")).scalar()
     run = running_sum(totals, [F.col("total_sales").desc_nulls_last(), F.col("product_key")],
                       "total_sales", "cumulative_sales")
