@@ -44,3 +44,11 @@ def test_running_totals_do_not_funnel_rows_into_one_partition(spark):
         ok = any("_part" in line for line in below) or any(
             "HashAggregate(keys=[], functions=[partial_" in line for line in below[:1])
         assert ok, block[:400]
+
+
+def test_wide_detail_view_streams_the_fact_once(spark):
+    # Small dimensions pass the broadcast size check: the 7-table detail view
+    # joins without shuffling a single fact row.
+    plan = _plan(R.QUERIES["vw_sales_detail"](spark, SF))
+    assert plan.count("BroadcastHashJoin") == 6
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
