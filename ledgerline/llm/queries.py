@@ -5,8 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import exact_groups
+from .html_extract import extract_main_text
+from .license_scan import scan_licenses
+from .packing import pack
+from .quality_cnn import fit, quality_scores
 from .simhash_dedup import simhash_components
+from .token_files import read_token_files, token_file_folder, write_token_files
+from .tokens import default_tokenizer
+from .toxicity import toxicity_scores
+from .warc import archive_folder, read_archives, write_archives
+
+
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), default_tokenizer(), length=1024, max_segments=64, max_loss=1024)
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = archive_folder(spark)
+    manifest = write_archives(table(spark, sf_dir, "pages"), folder, revisit_from=100)
+    return read_archives(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), containment=0.8)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +57,25 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup, op9_exact_dedup)}
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_file_folder(spark)
+    manifest = write_token_files(table(spark, sf_dir, "documents"), default_tokenizer(), folder)
+    return read_token_files(manifest, folder)
+
+
+QUERIES = {f.__name__: f for f in (op1_pack, op2_decontaminate, op3_html_text, op4_warc, op5_license_scan, op6_quality, op7_toxicity, op8_simhash_near_dedup, op9_exact_dedup, op10_token_files)}
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
+    "op4_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS n, sha256(html) AS h FROM p),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY h, n) AS first FROM d)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM f""",
     "op9_exact_dedup": f"""
 WITH d AS (SELECT doc_id, {_ASCII_LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
