@@ -8,11 +8,12 @@ and the answer of the item must both be there, each with ``overlap`` of its
 five-word shingles.
 
 Impacts are divided by the unit's own score, so one threshold holds for all
-units. Block-max WAND runs per passage: terms are ordered by the unit they
-point at, a pivot is where the terms' maxima reach the threshold, the maxima
-of the blocks around it decide whether it is scored or a whole block is
-jumped. Before that, running sums of the terms' maxima drop the passages
-that no unit can reach.
+units. The index is cut into blocks of neighbouring units, and the block
+maxima of a passage's terms are summed for every block at once; only blocks
+whose sum reaches the threshold are entered. In a block WAND runs: terms are
+ordered by the unit they point at, the pivot is where the terms' maxima
+reach the threshold, units before it are passed over, and the pivot's score
+is taken when all terms before it have caught up.
 
 The index is built on Spark, in parts of at most ``part_bytes`` of item
 text; one part at a time is broadcast and met by all documents. Document
@@ -71,68 +72,54 @@ class Index:
     """Inverted index over units ``(item_id, words)`` with block maxima."""
 
     def __init__(self, units: list[tuple[int, list[bytes]]], documents: dict[bytes, int], n: int,
-                 average: float, block: int = 64):
+                 average: float, blocks: int = 64):
         self.items = [item for item, _ in units]
+        self.block = max(1, -(-len(units) // blocks))
         postings = defaultdict(list)
         for u, (_, w) in enumerate(units):
             own = {}
             for t in set(w):
                 idf = np.log1p((n - documents[t] + 0.5) / (documents[t] + 0.5))
                 tf = w.count(t)
-                own[t] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / average))
+                own[t] = float(idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / average)))
             total = sum(own.values())
             for t, x in own.items():
                 postings[t].append((u, x / total))
-        self.block, self.terms, self.lists = block, {}, []
-        for t, entries in postings.items():
-            ids, impacts = [u for u, _ in entries], [x for _, x in entries]
-            blocks = [(ids[min(i + block, len(ids)) - 1], max(impacts[i:i + block])) for i in range(0, len(ids), block)]
-            self.terms[t] = len(self.lists)
-            self.lists.append((ids, impacts, [b[0] for b in blocks], [b[1] for b in blocks]))
-        self.maxima = np.array([0.0] + [max(x[1]) for x in self.lists])
-
-    def wand(self, query: set[int], least: float) -> list[tuple[int, float]]:
-        """``(unit, score)`` of all units scoring at least ``least``."""
-        at = [(self.lists[t][0][0], t) for t in query]
-        place, found = dict.fromkeys(query, 0), []
+        self.terms = {t: i for i, t in enumerate(postings)}
+        self.lists = [([u for u, _ in e], [x for _, x in e]) for e in postings.values()]
+        #: Row t: the largest impact of term t in each block; the last row, of unknown words, is zero.
+        self.maxima = np.zeros((len(self.lists) + 1, -(-len(units) // self.block)), np.float32)
+        for t, (ids, impacts) in enumerate(self.lists):
+            np.maximum.at(self.maxima[t], np.array(ids) // self.block, impacts)
+
+    def wand(self, query: set[int], block: int, least: float) -> list[tuple[int, float]]:
+        """``(unit, score)`` of the block's units scoring at least ``least``."""
+        first, end = block * self.block, (block + 1) * self.block
+        place, at, found = {}, [], []
+        for t in query:
+            if self.maxima[t, block]:
+                k = place[t] = bisect_left(self.lists[t][0], first)
+                at.append((self.lists[t][0][k], t))
         heapq.heapify(at)
         while at:
             front, bound = [], 0.0
-            while at and bound < least:  # the pivot is the unit of the term whose maximum reaches the threshold
-                unit, t = heapq.heappop(at)
-                front.append((unit, t))
-                bound += self.maxima[t + 1]
-            pivot = front[-1][0]
-            while at and at[0][0] == pivot:
+            while at and (bound < least or at[0][0] == front[-1][0]):
                 front.append(heapq.heappop(at))
-                bound += self.maxima[front[-1][1] + 1]
+                bound += float(self.maxima[front[-1][1], block])
             if bound < least:
                 break
-            upper, end = 0.0, None
+            pivot, score = front[-1][0], 0.0
             for _, t in front:
-                _, _, lasts, tops = self.lists[t]
-                k = bisect_left(lasts, pivot)
-                if k < len(lasts):
-                    upper += tops[k]
-                    end = lasts[k] if end is None else min(end, lasts[k])
-            if upper >= least:
-                score, to = 0.0, pivot + 1
-                for _, t in front:
-                    ids, impacts, _, _ = self.lists[t]
-                    k = place[t] = bisect_left(ids, pivot, place[t])
-                    if k < len(ids) and ids[k] == pivot:
-                        score += impacts[k]
-                if score >= least:
-                    found.append((pivot, score))
-            else:
-                to = max(pivot, end if end is not None else pivot) + 1
-                if at:
-                    to = min(to, max(at[0][0], pivot + 1))
-            for _, t in front:
-                ids = self.lists[t][0]
-                k = place[t] = bisect_left(ids, to, place[t])
-                if k < len(ids):
+                ids, impacts = self.lists[t]
+                k = bisect_left(ids, pivot, place[t])
+                if k < len(ids) and ids[k] == pivot:
+                    score += impacts[k]
+                    k += 1
+                place[t] = k
+                if k < len(ids) and ids[k] < end:
                     heapq.heappush(at, (ids[k], t))
+            if score >= least:
+                found.append((pivot, score))
         return found
 
 
@@ -143,49 +130,92 @@ class Searcher:
         self.index, self.share, self.passage, self.overlap = index, share, passage, overlap
         self.parts = {i: [(shingles(q), shingles(a)) for q, a in qa] for i, qa in parts.items()}
 
-    def hits(self, text: str) -> list[tuple[int, float, float, float]]:
-        w = words(text)
-        if not w:
-            return []
-        known = np.fromiter(map(self.index.terms.get, w, [-1] * len(w)), np.int64, len(w))
-        step = self.passage // 2
-        upto = np.concatenate([[0.0], np.cumsum(self.index.maxima[known + 1])])
-        starts = np.arange(0, max(len(w) - step, 1), step)
-        bounds = upto[np.minimum(starts + self.passage, len(w))] - upto[starts]
-        best: dict[int, float] = {}
-        for s in starts[bounds >= self.share - 1e-9]:
-            query = set(known[s:s + self.passage].tolist()) - {-1}
-            for unit, score in self.index.wand(query, self.share - 1e-9):
-                item = self.index.items[unit]
-                best[item] = max(best.get(item, 0.0), score)
-        if not best:
-            return []
-        there, out = shingles(w), []
-        short = {len(g) for i in best for pair in self.parts[i] for part in pair for g in part} - {SHINGLE}
-        for n in short:
-            there |= set(zip(*(w[i:] for i in range(n))))
-        for item, score in best.items():
-            most = max(((len(q & there) / max(len(q), 1) if q else 1.0, len(a & there) / max(len(a), 1) if a else 1.0)
-                        for q, a in self.parts[item]), key=min)
+    def hits(self, texts: list[str]) -> list[tuple[int, int, float, float, float]]:
+        """``(number of the text, item, score, question and answer overlap)``."""
+        docs = [words(t) for t in texts]
+        best: dict[tuple[int, int], float] = {}
+        for doc, query, block in self._passages(docs):
+            for unit, score in self.index.wand(query, block, self.share - 1e-9):
+                key = doc, self.index.items[unit]
+                best[key] = max(best.get(key, 0.0), score)
+        out, there, last = [], set(), None
+        for (doc, item), score in sorted(best.items()):
+            if doc != last:
+                last, there = doc, shingles(docs[doc])
+            most = max(((_found(q, docs[doc], there), _found(a, docs[doc], there)) for q, a in self.parts[item]), key=min)
             if min(most) >= self.overlap:
-                out.append((item, min(score, 1.0), *most))
+                out.append((doc, item, min(score, 1.0), *most))
         return out
 
+    def _passages(self, docs: list[list[bytes]]) -> Iterator[tuple[int, set[int], int]]:
+        """Document, terms and block for every passage and block whose bound
+        reaches the threshold. A passage is two neighbouring halves; a term
+        counts once, where it first stands in the passage."""
+        half, rows = self.passage // 2, self.index.maxima
+        unknown, get = len(rows) - 1, self.index.terms.get
+        known = np.fromiter((get(w, unknown) for d in docs for w in d), np.int64)
+        sizes = np.array([len(d) for d in docs])
+        if not len(known):
+            return
+        begin = np.cumsum(sizes) - sizes
+        halves = -(-sizes // half)
+        of = np.repeat(np.arange(len(docs)), halves)  # document of each half
+        number = np.arange(len(of)) - np.repeat(np.cumsum(halves) - halves, halves)
+        start = begin[of] + number * half
+        mine = np.searchsorted(start, np.arange(len(known)), "right") - 1  # half of each word
+        order = np.argsort(np.repeat(np.arange(len(docs)), sizes) * len(rows) + known, kind="stable")
+        before = np.full(len(known), -1)
+        key = of[mine] * len(rows) + known
+        same = key[order[1:]] == key[order[:-1]]
+        before[order[1:][same]] = order[:-1][same]
+        use = known != unknown
+        own = np.flatnonzero(use & (before < start[mine]))
+        sums = _sums(rows, known[own], mine[own], len(of))
+        more = np.flatnonzero(use & (number[mine] > 0) & (before < start[mine] - half))
+        bounds = sums.copy()
+        bounds[:-1] += _sums(rows, known[more], mine[more], len(of))[1:]
+        bounds[(number > 0) & (number == halves[of] - 1)] = 0  # a last half is in the passage before it
+        for p, block in np.argwhere(bounds >= self.share - 1e-4):
+            text = of[p]
+            end = min(start[p] + self.passage, begin[text] + sizes[text])
+            yield int(text), set(known[start[p]:end].tolist()) - {unknown}, int(block)
+
+
+def _sums(rows: np.ndarray, terms: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the terms' rows by group; groups ascend."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    for lo in range(0, len(terms), 1 << 15):
+        g = groups[lo:lo + (1 << 15)]
+        cuts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+        out[g[cuts]] += np.add.reduceat(rows[terms[lo:lo + (1 << 15)]], cuts, axis=0)
+    return out
+
+
+def _found(part: set[tuple], text: list[bytes], there: set[tuple]) -> float:
+    """Share of a part's shingles in a text. An empty part is found, a part
+    shorter than a shingle is looked for as it is."""
+    if not part:
+        return 1.0
+    n = len(next(iter(part)))
+    if n < SHINGLE:
+        there = set(zip(*(text[i:] for i in range(n))))
+    return len(part & there) / len(part)
+
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", unit: int = 48, passage: int = 128,
-                 share: float = 0.5, overlap: float = 0.8, part_bytes: int = 4_000_000) -> DataFrame:
+                 item_col: str = "item_id", item_text_col: str = "text", unit: int = 64, passage: int = 128,
+                 share: float = 0.6, overlap: float = 0.8, part_bytes: int = 4_000_000) -> DataFrame:
     """One row per document and test item found in it: doc_id, item_id,
     score (share of the item's own BM25 score, at most 1), question_overlap
     and answer_overlap.
 
-    ``passage`` must be at least twice ``unit``, so that each run of a unit's
-    words lies whole in one window. NULL texts count as empty; an empty text
+    ``passage`` must be even and at least twice ``unit``, so that each run of
+    a unit's words lies whole in one window. NULL texts count as empty; an empty text
     is in no document and holds no item. NULL ids stay NULL. Repeated
     documents are reported each; an item id used twice counts where either of
     its texts is found. Other columns are ignored; either table may be empty."""
-    if passage < 2 * unit:
-        raise ValueError("passage must be at least twice unit")
+    if passage < 2 * unit or passage % 2:
+        raise ValueError("passage must be even and at least twice unit")
     spark = docs.sparkSession
     items = benchmark.select(long_id(item_col).alias("item"), text_or_empty(item_text_col).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -230,10 +260,10 @@ def _search(docs: DataFrame, packed, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = pickle.loads(packed.value)
         for batch in batches:
-            out = []
-            for some in in_small_batches(zip(batch.column(0), batch.column(1)), lambda r: 1, 500):
-                for doc, text in some:
-                    out += [(doc.as_py(), None if h[0] == NO_ID else h[0], *h[1:]) for h in searcher.hits(text.as_py())]
+            out, ids = [], batch.column(0).to_pylist()
+            for some in in_small_batches(zip(ids, batch.column(1)), lambda r: len(r[1].as_buffer()), 500_000):
+                found = searcher.hits([t.as_py() for _, t in some])
+                out += [(some[h[0]][0], None if h[1] == NO_ID else h[1], *h[2:]) for h in found]
             if out:
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],

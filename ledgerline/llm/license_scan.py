@@ -21,6 +21,7 @@ Besides, phrases are counted where their words stand consecutively.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,22 +66,23 @@ def _word_set(text: str) -> list[str]:
     return sorted(set(kept.split()))
 
 
-def _lower(text: Column) -> Column:
+def _lower(text: str) -> Column:
     """A-Z lower-cased, nothing else."""
     return F.translate(text, UPPER, LOWER)
 
 
-def phrase_places(text: Column, phrase: str) -> Column:
-    """Places, as word numbers from 0, where the phrase's words stand
-    consecutively; evaluated only on texts that match the phrase loosely."""
-    words = phrase.split()
-    seen = text.rlike("(?i)" + f"{NOT_WORD}+".join(words))
-    all_words = F.filter(F.split(_lower(text), f"{NOT_WORD}+"), lambda w: w != "")
-    n = len(words)
-    places = F.filter(F.sequence(F.lit(0), F.size(all_words) - n),
-                      lambda i: F.slice(all_words, i + 1, n) == F.array(*map(F.lit, words)))
-    return F.when(seen & (F.regexp_count(text, F.lit(WORD + "+")) >= n), places) \
-        .otherwise(F.array().cast("array<int>"))
+def phrase_places(words: str, phrase: str) -> Column:
+    """Places, as numbers from 0 in the words column (NULL: none), where the
+    phrase's words stand consecutively."""
+    parts = phrase.split()
+    n = len(parts)
+    here = F.filter(F.sequence(F.lit(0), F.size(words) - n),
+                    lambda i: F.slice(words, i + 1, n) == F.array(*map(F.lit, parts)))
+    return F.when(F.size(words) >= n, here).otherwise(F.array().cast("array<int>"))
+
+
+def may_hold(text: str, phrase: str) -> Column:
+    return F.col(text).rlike("(?i)" + f"{NOT_WORD}+".join(phrase.split()))
 
 
 def template_table(spark: SparkSession, templates) -> DataFrame:
@@ -104,7 +106,7 @@ def blocks_of(docs: DataFrame, vocabulary: list[str], width: int) -> DataFrame:
 
 def template_hits(docs: DataFrame, templates, containment: float, width: int) -> DataFrame:
     """``(id, h, labels, best)`` of the documents with a block that meets a
-    template; ``docs`` has id, h and text."""
+    template, with the labels its blocks meet best; ``docs`` has id, h, text."""
     spark = docs.sparkSession
     sets = {label: _word_set(text) for label, text in templates}
     vocabulary = sorted(set().union(*sets.values()))
@@ -128,8 +130,11 @@ def template_hits(docs: DataFrame, templates, containment: float, width: int) ->
         .filter(F.size("block") >= F.col("needed")) \
         .filter(F.least(F.size("words") - F.col("at"), F.size("block") - F.col("place")) >= F.col("needed")) \
         .withColumn("overlap", F.size(F.array_intersect("block", "words"))).filter(F.col("overlap") >= F.col("needed"))
-    return found.groupBy("id", "h").agg(F.collect_set("label").alias("labels"),
-                                        F.max(F.col("overlap") / F.size("words")).alias("best"))
+    share = (F.col("overlap") / F.size("words")).alias("share")
+    met = found.select("id", "h", "block", "label", share).distinct()
+    best = met.groupBy("id", "h", "block").agg(F.max("share").alias("best"), F.collect_set(F.struct("label", "share")).alias("met"))
+    return best.select("id", "h", "best", F.explode("met").alias("m")).filter("m.share = best").groupBy("id", "h").agg(
+        F.collect_set("m.label").alias("labels"), F.max("best").alias("best"))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
@@ -140,16 +145,23 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_base counts the places of all phrases; first_word and last_word are the
     smallest and largest, NULL if there is none. labels adds the labels of
     the templates met to the base ones; both are distinct, sorted and joined
-    by commas, empty if there are none. score is 1 with a place of a phrase,
+    by commas, empty if there are none; of the templates that one block
+    meets, those met best give the label. score is 1 with a place of a phrase,
     else the largest share of a template met, else 0. NULL text counts as
     empty, NULL ids stay, repeated rows are scanned alike; other columns are
     ignored; empty in, empty out."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), long_id(id_col).alias("id"),
                        text_or_empty(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     hits = materialize(template_hits(rows, templates, containment, width), "license-hits")
-    own = rows.select("doc_id", "id", "h", F.regexp_count("text", F.lit(WORD + "+")).cast("long").alias("n_words"),
-                      F.array(*(F.struct(F.lit(label).alias("label"), phrase_places(F.col("text"), p).alias("at"))
-                                for p, label in phrases)).alias("found"))
+    some = reduce(Column.__or__, (may_hold("text", p) for p, _ in phrases))
+    split = F.split("text", f"{NOT_WORD}+")
+    count = F.size("w") - (F.element_at("w", 1) == "").cast("int") \
+        - ((F.size("w") > 1) & (F.element_at("w", -1) == "")).cast("int")
+    own = rows.select("doc_id", "id", "h", split.alias("w"), F.when(some, F.col("text")).alias("text")) \
+        .select("doc_id", "id", "h", count.cast("long").alias("n_words"),
+                F.filter(F.split(_lower("text"), f"{NOT_WORD}+"), lambda w: w != "").alias("w"))
+    own = own.select("doc_id", "id", "h", "n_words", F.array(*(
+        F.struct(F.lit(label).alias("label"), phrase_places("w", p).alias("at")) for p, label in phrases)).alias("found"))
     own = own.select("doc_id", "id", "h", "n_words", F.filter("found", lambda f: F.size(f["at"]) > 0).alias("found")) \
         .select("doc_id", "id", "h", "n_words", F.flatten(F.col("found.at")).alias("places"),
                 F.array_sort(F.array_distinct(F.col("found.label"))).alias("base"))

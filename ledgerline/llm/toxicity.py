@@ -15,6 +15,7 @@ and scores come from those.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -75,33 +76,38 @@ class Lexicon:
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "toxic", modulus: int = 4, remainder: int = 2, per_class: int = 3000,
-                  entries: int = 400, groups: int = 12, least: int = 4) -> tuple[Lexicon, float]:
-    """The lexicon and the share of label 1, from at most ``per_class`` rows
-    of either label, those of smallest id hash among the rows not held out.
-    Terms are counted on Spark; the ``entries`` of largest smoothed log odds
-    that occur in ``least`` toxic texts stay. Words and word starts are dealt
-    to voters of like support."""
+                  label_col: str = "toxic", modulus: int = 4, remainder: int = 2, toxic_rows: int = 4000,
+                  other_rows: int = 12_000, entries: int = 400, groups: int = 12, least: int = 4,
+                  support: float = 0.005, odds: float = 3.0) -> tuple[Lexicon, float]:
+    """The lexicon and the share of label 1, from at most ``toxic_rows`` rows
+    of label 1 and ``other_rows`` of label 0, those of smallest id hash among
+    the rows not held out. Terms are counted on Spark, each text once however
+    often it is repeated; of the terms in ``least`` toxic texts and a share
+    ``support`` of them or more, with smoothed log odds over ``odds``, the
+    ``entries`` of largest odds stay.
+    Words and word starts are dealt to voters of like support."""
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
         .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~is_held_out("id", modulus, remainder))
     counts = dict(known.groupBy("y").count().collect())
     hashed = known.withColumn("h", F.xxhash64("id"))
-    sample = hashed.filter("y = 0").orderBy("h", "id").limit(per_class).union(
-        hashed.filter("y = 1").orderBy("h", "id").limit(per_class)).select("id", "y")
+    sample = hashed.filter("y = 0").orderBy("h", "id").limit(other_rows).union(
+        hashed.filter("y = 1").orderBy("h", "id").limit(toxic_rows)).select("id", "y")
 
     @F.arrow_udf("array<string>")
     def distinct_terms(texts: pa.Array) -> pa.Array:
         return pa.array([sorted(terms_of(words(t))) for t in texts.to_pylist()], pa.list_(pa.string()))
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")) \
-        .join(F.broadcast(sample), "id").select("y", distinct_terms("t").alias("terms"))
-    counted = rows.select("y", F.explode("terms").alias("term")).groupBy("term") \
-        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).filter(F.col("pos") >= least)
-    n1, n0 = min(counts.get(1, 0), per_class), min(counts.get(0, 0), per_class)
-    odds = F.log((F.col("pos") + 0.5) / (n1 + 1.0)) - F.log((F.col("neg") + 0.5) / (n0 + 1.0))
-    top = counted.withColumn("odds", odds).filter("odds > 1.5") \
-        .orderBy(F.col("odds").desc(), "term").limit(entries).collect()
-    voter, load = [], {}
+        .join(F.broadcast(sample), "id").select("y", F.xxhash64("t").alias("h"), distinct_terms("t").alias("terms")) \
+        .dropDuplicates(["y", "h"])
+    rows = materialize(rows, "toxicity-terms")
+    sizes = dict(rows.groupBy("y").count().collect())
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    lift = F.log((F.col("pos") + 0.5) / (n1 + 1.0)) - F.log((F.col("neg") + 0.5) / (n0 + 1.0))
+    top = rows.select("y", F.explode("terms").alias("term")).groupBy("term") \
+        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).filter(F.col("pos") >= max(least, math.ceil(support * n1))) \
+        .withColumn("lift", lift).filter(F.col("lift") > odds).orderBy(F.col("lift").desc(), "term").limit(entries).collect()
+    load = {}
     for kind in ("word", "start"):
         slots = [(0, g) for g in range(groups if kind == "word" else max(groups // 3, 1))]
         base = 0 if kind == "word" else groups
@@ -176,10 +182,17 @@ class LabelModel:
         return 1 / (1 + np.clip(self.correlation, 0, 1).sum(axis=1))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """P(toxic) of each row of votes; the constant is set so that their
+        mean is the prior, which weighted evidence alone would miss."""
         on = np.log(self.hit / self.false) * self.weight
         off = np.log((1 - self.hit) / (1 - self.false)) * self.weight
-        z = np.log(self.prior / (1 - self.prior)) + votes @ on + (1 - votes) @ off
-        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+        z = votes @ on + (1 - votes) @ off
+        low, high = -60.0, 60.0
+        for _ in range(60):
+            shift = (low + high) / 2
+            p = 1 / (1 + np.exp(-np.clip(z + shift, -60, 60)))
+            low, high = (shift, high) if len(p) and p.mean() < self.prior else (low, shift)
+        return p
 
 
 def fit_label_model(n: int, both: np.ndarray, prior: float, rounds: int = 3, steps: int = 1500) -> LabelModel:
@@ -235,7 +248,7 @@ def fit_linear(features: list[list[int]], target: np.ndarray, size: int, steps:
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", modulus: int = 4, remainder: int = 2, threshold: float = 0.3,
-                    per_class: int = 3000, sample: int = 20_000, **lexicon_limits) -> DataFrame:
+                    sample: int = 20_000, **lexicon_limits) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (0 to 1, higher:
     label 1 likelier), predicted (1 if score >= threshold).
 
@@ -243,7 +256,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     out; repeated rows and ties score alike; only the text enters the score;
     without usable labels every voter is a pattern. The classifier learns
     from at most ``sample`` documents, those of smallest feature hash."""
-    lexicon, share = learn_lexicon(docs, labels, id_col, text_col, label_col, modulus, remainder, per_class, **lexicon_limits)
+    lexicon, share = learn_lexicon(docs, labels, id_col, text_col, label_col, modulus, remainder, **lexicon_limits)
     features = materialize(text_features(docs, lexicon, id_col, text_col, modulus, remainder), "toxicity-features")
     model = fit_label_model(*vote_moments(features, lexicon), share)
     some = [r[0] for r in features.filter("not held_out").orderBy(F.xxhash64("doc_id"), "doc_id", "features")
