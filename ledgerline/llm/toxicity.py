@@ -78,8 +78,9 @@ class Lexicon:
 def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "toxic", modulus: int = 4, remainder: int = 2, toxic_rows: int = 4000,
                   other_rows: int = 12_000, entries: int = 400, groups: int = 12, least: int = 4,
-                  support: float = 0.005, odds: float = 3.0) -> tuple[Lexicon, float]:
-    """The lexicon and the share of label 1, from at most ``toxic_rows`` rows
+                  support: float = 0.005, odds: float = 3.0) -> tuple[Lexicon, float, DataFrame]:
+    """The lexicon, the share of label 1 and the rows learned from: ``(id,
+    y)``, at most ``toxic_rows`` rows
     of label 1 and ``other_rows`` of label 0, those of smallest id hash among
     the rows not held out. Terms are counted on Spark, each text once however
     often it is repeated; of the terms in ``least`` toxic texts and a share
@@ -119,7 +120,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     names = sorted(load)
     voter = [load[t] for t in names] + [groups + max(groups // 3, 1) + k for k in range(len(_PATTERNS))]
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
-    return Lexicon({t: i for i, t in enumerate(names)}, np.array(voter)), share
+    return Lexicon({t: i for i, t in enumerate(names)}, np.array(voter)), share, sample
 
 
 def text_features(docs: DataFrame, lexicon: Lexicon, id_col: str, text_col: str, modulus: int, remainder: int) -> DataFrame:
@@ -176,45 +177,59 @@ class LabelModel:
     false: np.ndarray
     prior: float
     correlation: np.ndarray
+    scale: float = 1.0
+    shift: float = 0.0
 
     @property
     def weight(self) -> np.ndarray:
         return 1 / (1 + np.clip(self.correlation, 0, 1).sum(axis=1))
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """P(toxic) of each row of votes; the constant is set so that their
-        mean is the prior, which weighted evidence alone would miss."""
+    def evidence(self, votes: np.ndarray) -> np.ndarray:
         on = np.log(self.hit / self.false) * self.weight
         off = np.log((1 - self.hit) / (1 - self.false)) * self.weight
-        z = votes @ on + (1 - votes) @ off
-        low, high = -60.0, 60.0
-        for _ in range(60):
-            shift = (low + high) / 2
-            p = 1 / (1 + np.exp(-np.clip(z + shift, -60, 60)))
-            low, high = (shift, high) if len(p) and p.mean() < self.prior else (low, shift)
-        return p
-
-
-def fit_label_model(n: int, both: np.ndarray, prior: float, rounds: int = 3, steps: int = 1500) -> LabelModel:
-    """Fit rates to the pair frequencies, E[ij] = p h_i h_j + (1-p) f_i f_j,
-    by gradient descent, in rounds: after each, pairs whose correlation is
-    left unexplained are taken out of the fit and noted as correlated."""
+        return np.log(self.prior / (1 - self.prior)) + votes @ on + (1 - votes) @ off
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * self.evidence(votes) + self.shift, -60, 60)))
+
+    def calibrate(self, votes: np.ndarray, labels: np.ndarray, steps: int = 50) -> None:
+        """Scale and shift of the evidence by Newton steps on labelled rows,
+        as weights for correlation keep the order but not the size."""
+        if not 0 < labels.sum() < len(labels):
+            return
+        x = np.stack([self.evidence(votes), np.ones(len(votes))], axis=1)
+        w = np.array([1.0, 0.0])
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+            w = w + np.clip(np.linalg.solve(hessian, x.T @ (labels - p) - 1e-3 * w), -1, 1)
+        self.scale, self.shift = float(max(w[0], 0.0)), float(w[1])
+
+
+def fit_label_model(n: int, both: np.ndarray, prior: float, seen: np.ndarray, labels: np.ndarray, rounds: int = 3,
+                    steps: int = 1000, hold: float = 0.05) -> LabelModel:
+    """Fit rates to the pair frequencies over all documents, E[ij] =
+    p h_i h_j + (1-p) f_i f_j, by gradient descent, in rounds: after each,
+    pairs whose correlation is left unexplained are taken out of the fit and
+    noted as correlated. The rates start from those on the labelled rows
+    (votes ``seen`` and ``labels``) and are held to them by ``hold``."""
     m, prior = len(both), float(np.clip(prior, 1e-3, 0.5))
     n = max(n, 1)
     rate = np.diag(both) / n
     pair, scale = both / n, np.sqrt(np.maximum(np.outer(rate, rate), 1e-10))
     use, correlation = 1 - np.eye(m), np.zeros((m, m))
     logit = lambda p: np.log(p / (1 - p))
-    hit = logit(np.clip(rate / prior * 0.8, 0.02, 0.9))
-    false = logit(np.clip(rate * 0.1, 1e-5, 0.5))
+    smooth = lambda v: (v.sum(axis=0) + rate) / (len(v) + 1.0)
+    hit = hit0 = logit(np.clip(smooth(seen[labels == 1]), 1e-4, 0.99))
+    false = false0 = logit(np.clip(smooth(seen[labels == 0]), 1e-5, 0.99))
     for _ in range(rounds):
         moments = [np.zeros((2, m)), np.zeros((2, m))]
         for step in range(1, steps + 1):
             h, f = 1 / (1 + np.exp(-hit)), 1 / (1 + np.exp(-false))
             off = use * (prior * np.outer(h, h) + (1 - prior) * np.outer(f, f) - pair) / scale ** 2
             own = (prior * h + (1 - prior) * f - rate) / np.maximum(rate, 1e-8) ** 2 * m
-            g = np.stack([(2 * prior * (off @ h) + prior * own) * h * (1 - h),
-                          (2 * (1 - prior) * (off @ f) + (1 - prior) * own) * f * (1 - f)])
+            g = np.stack([(2 * prior * (off @ h) + prior * own) * h * (1 - h) + hold * (hit - hit0),
+                          (2 * (1 - prior) * (off @ f) + (1 - prior) * own) * f * (1 - f) + hold * (false - false0)])
             moments[0] += 0.1 * (g - moments[0])
             moments[1] += 0.01 * (g * g - moments[1])
             d = 0.03 * (moments[0] / (1 - 0.9 ** step)) / (np.sqrt(moments[1] / (1 - 0.99 ** step)) + 1e-9)
@@ -227,7 +242,9 @@ def fit_label_model(n: int, both: np.ndarray, prior: float, rounds: int = 3, ste
         use = (correlation == 0) * (1 - np.eye(m))
     swap = h < f  # a voter that says nothing about the class gets equal rates
     h[swap] = f[swap] = rate[swap]
-    return LabelModel(np.clip(h, 1e-4, 1 - 1e-4), np.clip(f, 1e-6, 1 - 1e-4), prior, correlation)
+    model = LabelModel(np.clip(h, 1e-4, 1 - 1e-4), np.clip(f, 1e-6, 1 - 1e-4), prior, correlation)
+    model.calibrate(seen, labels)
+    return model
 
 
 def fit_linear(features: list[list[int]], target: np.ndarray, size: int, steps: int = 400, ridge: float = 1e-3) -> np.ndarray:
@@ -256,9 +273,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     out; repeated rows and ties score alike; only the text enters the score;
     without usable labels every voter is a pattern. The classifier learns
     from at most ``sample`` documents, those of smallest feature hash."""
-    lexicon, share = learn_lexicon(docs, labels, id_col, text_col, label_col, modulus, remainder, **lexicon_limits)
+    lexicon, share, known = learn_lexicon(docs, labels, id_col, text_col, label_col, modulus, remainder, **lexicon_limits)
     features = materialize(text_features(docs, lexicon, id_col, text_col, modulus, remainder), "toxicity-features")
-    model = fit_label_model(*vote_moments(features, lexicon), share)
+    known = features.join(F.broadcast(known), features.doc_id == known.id).orderBy("doc_id", "features") \
+        .select("features", "y").collect()
+    voted = votes_of([r[0] for r in known], lexicon.voter_of, lexicon.voters)
+    model = fit_label_model(*vote_moments(features, lexicon), share, voted, np.array([r[1] for r in known], float))
     some = [r[0] for r in features.filter("not held_out").orderBy(F.xxhash64("doc_id"), "doc_id", "features")
             .limit(sample).select("features").collect()]
     target = model.posterior(votes_of(some, lexicon.voter_of, lexicon.voters))
