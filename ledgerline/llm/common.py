@@ -10,8 +10,8 @@ from pyspark.sql.types import BinaryType
 
 from ..session import materialize
 
-__all__ = ["table", "text_or_empty", "long_id", "ascii_lower_bytes", "connected_components",
-           "materialize", "NO_ID"]
+__all__ = ["table", "text_or_empty", "long_id", "text_mark", "ascii_lower_bytes", "free_names", "rows_kept",
+           "connected_components", "materialize", "NO_ID"]
 
 #: Stands for a NULL id inside the operators, so that groupings stay total.
 NO_ID = -(1 << 63)
@@ -31,6 +31,34 @@ def long_id(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 
 
+def text_mark(text: str) -> Column:
+    """Tells rows apart that share an id."""
+    return F.xxhash64(text_or_empty(text))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def rows_kept(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with just the rows that ``kept`` names by (id, mark), see
+    :func:`long_id` and :func:`text_mark`; one of those that are repeated."""
+    kept = materialize(kept.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("n")), "rows-kept")
+    a, b = free_names(docs, "id", "mark")
+    some = docs.withColumns({a: long_id(id_col), b: text_mark(text_col)}) \
+        .join(kept.select(F.col("id").alias(a), F.col("mark").alias(b)), [a, b])
+    if kept.filter("n > 1").limit(1).count():
+        some = some.dropDuplicates([a, b])
+    return some.select(*docs.columns)
+
+
 @F.arrow_udf(BinaryType())
 def ascii_lower_bytes(text: pa.Array) -> pa.Array:
     """UTF-8 bytes of a text with A-Z, and only those, lower-cased."""

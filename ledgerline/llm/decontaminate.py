@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, long_id, materialize, text_or_empty
+from .common import NO_ID, free_names, long_id, materialize, text_mark, text_or_empty
 from .tokens import in_small_batches
 
 K1, B = 1.2, 0.75
@@ -272,10 +272,12 @@ def _search(docs: DataFrame, packed, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long"), text_or_empty(text_col)).mapInArrow(run, HITS)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      **limits) -> DataFrame:
-    """``docs`` without the rows whose id is contaminated; a NULL id counts
-    as an id."""
-    bad = materialize(contaminated(docs.withColumn(id_col, long_id(id_col)), benchmark, id_col, text_col, **limits)
-                      .select(F.col("doc_id").alias("_id")).distinct(), "contaminated")
-    return docs.withColumn("_id", long_id(id_col)).join(bad, "_id", "left_anti").drop("_id")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **limits) -> DataFrame:
+    """``docs`` without the rows whose text holds a test item, columns as they
+    were. Rows are found again by a 64-bit mark of the text, not by id, so
+    NULL or repeated ids do no harm."""
+    (mark,) = free_names(docs, "mark")
+    marked = docs.withColumn(mark, text_mark(text_col))
+    bad = materialize(contaminated(marked, benchmark, mark, text_col, **limits)
+                      .select(F.col("doc_id").alias(mark)).distinct(), "contaminated")
+    return marked.join(bad, mark, "left_anti").select(*docs.columns)

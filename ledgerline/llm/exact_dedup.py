@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, ascii_lower_bytes, long_id, materialize, text_or_empty
+from .common import NO_ID, ascii_lower_bytes, long_id, materialize, rows_kept, text_mark, text_or_empty
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -35,45 +35,43 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     :func:`drop_exact_duplicates`, which leaves one of them). Other columns
     are ignored, an empty table gives an empty result. text_sha256 (of the
     normalised text in UTF-8) is output only, nothing compares it."""
-    body = docs.select(long_id(id_col).alias("id"), text_or_empty(text_col).alias("t")) \
-        .select("id", ascii_lower_bytes("t").alias("t"))
+    return _groups(docs, id_col, text_col, first, growth).select(
+        F.expr(f"nullif(id, {NO_ID})").alias("doc_id"), F.expr(f"nullif(keep.id, {NO_ID})").alias("keep_id"),
+        F.col("n").alias("group_size"), (F.col("id") == F.col("keep.id")).alias("kept"),
+        F.col("sha").alias("text_sha256"))
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, first: int, growth: int) -> DataFrame:
+    """``(id, mark, keep, n, sha)``; keep is the (id, mark) that stays."""
+    body = docs.select(long_id(id_col).alias("id"), text_mark(text_col).alias("mark"),
+                       ascii_lower_bytes(text_or_empty(text_col)).alias("t"))
     open_ = body.select(
-        "id", F.sha2("t", 256).alias("sha"), F.lit(0).cast("long").alias("g"),
+        "id", "mark", F.sha2("t", 256).alias("sha"), F.lit(0).cast("long").alias("g"),
         F.octet_length("t").alias("left"), F.substring("t", 1, first).alias("digit"),
         F.expr(f"substring(t, {first + 1})").alias("rest"))
     closed, width = [], first
     while True:
         groups = materialize(
             open_.groupBy("g", "left", "digit")
-            .agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("n"))
+            .agg(F.max(F.struct("id", "mark")).alias("keep"), F.count(F.lit(1)).alias("n"))
             .withColumn("next", F.monotonically_increasing_id()), "radix-groups")
         going = (F.col("n") > 1) & (F.col("left") > width)
-        more = groups.filter(going).agg(F.count(F.lit(1))).first()[0]
+        more = groups.filter(going).limit(1).count()
         split = open_.join(groups, ["g", "left", "digit"]).select(
-            "id", "sha", "keep", "n", going.alias("going"), F.col("next").alias("g"),
+            "id", "mark", "sha", "keep", "n", going.alias("going"), F.col("next").alias("g"),
             (F.col("left") - width).alias("left"), F.when(going, F.col("rest")).alias("rest"))
         split = materialize(split, "radix-split") if more else split
         closed.append(split.filter(~F.col("going")) if more else split)
         if not more:
-            break
+            return reduce(DataFrame.union, (c.select("id", "mark", "keep", "n", "sha") for c in closed))
         width *= growth
         open_ = split.filter("going").select(
-            "id", "sha", "g", "left", F.substring("rest", 1, width).alias("digit"),
+            "id", "mark", "sha", "g", "left", F.substring("rest", 1, width).alias("digit"),
             F.expr(f"substring(rest, {width + 1})").alias("rest"))
-    rows = reduce(DataFrame.union, (c.select("id", "keep", "n", "sha") for c in closed))
-    return rows.select(
-        F.expr(f"nullif(id, {NO_ID})").alias("doc_id"), F.expr(f"nullif(keep, {NO_ID})").alias("keep_id"),
-        F.col("n").alias("group_size"), (F.col("id") == F.col("keep")).alias("kept"),
-        F.col("sha").alias("text_sha256"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they
-    were: the row with the largest id, any one of them if rows repeat it.
-    Rows are found again by id and text checksum, as an id may be used twice."""
-    kept = materialize(exact_groups(docs, id_col, text_col).filter("kept")
-                       .select(long_id("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-                       .distinct(), "exact-kept")
-    keyed = docs.withColumns({"_id": long_id(id_col),
-                              "_sha": F.sha2(ascii_lower_bytes(text_or_empty(text_col)), 256)})
-    return keyed.join(kept, ["_id", "_sha"]).dropDuplicates(["_id", "_sha"]).drop("_id", "_sha")
+    were: the row with the largest id, any one of them if rows repeat it."""
+    kept = _groups(docs, id_col, text_col, 64, 8).filter("id = keep.id and mark = keep.mark").select("id", "mark")
+    return rows_kept(docs, kept, id_col, text_col)
