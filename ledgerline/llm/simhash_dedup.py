@@ -2,14 +2,17 @@
 
 Fingerprints of 64 bits link when they differ in at most k bits. They are
 cut into only k // 2 + 1 segments, so that two linked fingerprints agree in
-one segment but for at most one bit. Each fingerprint is indexed under its
-one-wildcard variants, a segment with one bit blanked; an equality join on
-the variants gives candidates, whose distance is then checked.
+one segment but for at most one bit; and if every segment but the last
+differs in two or more, the last has k - 2 * (k // 2) bits left to differ
+in. Each fingerprint is indexed under its one-wildcard variants, a segment
+with one bit blanked, and, for an even k, under its last segment as it is.
+An equality join on the variants gives candidates, whose distance is then
+checked.
 
 Everything works on distinct fingerprints, so any number of copies is one
-entry. A variant shared by two fingerprints is solved by its aggregate
-(minimum and maximum); up to ``bucket`` members are gathered and compared;
-the members of larger variants are linked exactly by a second index without
+entry. A variant shared by two or three fingerprints is solved by its
+aggregates (minimum, maximum, exclusive or); up to ``bucket`` members are
+gathered and compared; the members of larger variants are linked exactly by a second index without
 pairs: two fingerprints differ in at most two bits just if their sets
 "itself and each one-bit change" meet, so the at most 65 members of such a
 meeting point are all linked to its smallest.
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import NO_ID, connected_components, long_id, materialize, text_or_empty
+from .common import NO_ID, connected_components, long_id, materialize, rows_kept, text_mark, text_or_empty
 
 BITS = 64
 
@@ -64,11 +67,15 @@ def fingerprint_column(text: Column, shingle: int, seed: int = 42) -> Column:
 
 
 def one_wildcard_variants(prints: DataFrame, max_distance: int) -> DataFrame:
-    """``(fp, j, rest)``: for each bit j, the segment that holds it, bit blanked."""
+    """``(fp, j, rest)``: for each bit j of a segment the segment with that
+    bit blanked, and for an even distance the last segment unblanked."""
     segments = max_distance // 2 + 1
     edges = [BITS * i // segments for i in range(segments + 1)]
-    masks = [_signed((1 << hi) - (1 << lo) - (1 << j)) for lo, hi in zip(edges, edges[1:]) for j in range(lo, hi)]
-    return prints.select("fp", F.posexplode(F.array(*map(F.lit, masks))).alias("j", "mask")) \
+    spans = list(zip(edges, edges[1:]))
+    whole = [spans.pop()] if max_distance % 2 == 0 else []
+    masks = [(1 << hi) - (1 << lo) - (1 << j) for lo, hi in spans for j in range(lo, hi)]
+    masks += [(1 << hi) - (1 << lo) for lo, hi in whole]
+    return prints.select("fp", F.posexplode(F.array(*(F.lit(_signed(m)) for m in masks))).alias("j", "mask")) \
         .select("fp", F.col("j").cast("byte").alias("j"), F.col("fp").bitwiseAND(F.col("mask")).alias("rest"))
 
 
@@ -83,11 +90,14 @@ def fingerprint_links(prints: DataFrame, max_distance: int = 2, bucket: int = 32
     if max_distance == 0:
         return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     variants = one_wildcard_variants(prints, max_distance)
-    shared = materialize(variants.groupBy("j", "rest")
-                         .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-                         .filter("n > 1"), "simhash-variants")
-    links = [shared.filter("n = 2").select("a", "b").filter(near)]
-    crowd = shared.filter("n > 2").select("j", "rest", "n")
+    shared = materialize(
+        variants.groupBy("j", "rest").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"),
+                                          F.bit_xor("fp").alias("x")).filter("n > 1"), "simhash-variants")
+    third = F.col("x").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("b"))
+    few = [F.struct("a", "b"), F.struct("a", third.alias("b")), F.struct(third.alias("a"), "b")]
+    links = [shared.filter("n < 4").select(F.explode(F.when(F.col("n") == 2, F.array(few[0])).otherwise(F.array(*few))).alias("p"))
+             .select("p.a", "p.b").filter(near)]
+    crowd = shared.filter("n > 3").select("j", "rest", "n")
     if crowd.limit(1).count():
         members = materialize(variants.join(crowd, ["j", "rest"]), "simhash-members")
         gathered = members.filter(F.col("n") <= bucket).groupBy("j", "rest").agg(F.sort_array(F.collect_list("fp")).alias("l"))
@@ -113,27 +123,30 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     link like any other. A NULL id is smaller than any other in choosing,
     and shown as NULL. Repeated rows and ties in fingerprint fall into one
     component; other columns are ignored; empty in, empty out."""
-    marked = materialize(docs.select(long_id(id_col).alias("id"), fingerprint_column(
+    return _components(docs, id_col, text_col, shingle, max_distance).select(
+        F.expr(f"nullif(id, {NO_ID})").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.expr(f"nullif(head.id, {NO_ID})").alias("component_id"))
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int) -> DataFrame:
+    """``(id, mark, fp, head)``; head is the component's smallest (id, mark)."""
+    marked = materialize(docs.select(long_id(id_col).alias("id"), text_mark(text_col).alias("mark"), fingerprint_column(
         text_or_empty(text_col), shingle).alias("fp")), "simhash-fingerprints")
-    prints = materialize(marked.groupBy("fp").agg(F.min("id").alias("id")), "simhash-distinct")
+    prints = materialize(marked.groupBy("fp").agg(F.min(F.struct("id", "mark")).alias("first")), "simhash-distinct")
     roots = materialize(connected_components(fingerprint_links(prints.select("fp"), max_distance)),
                         "simhash-roots")
-    rooted = prints.join(roots, prints.fp == roots.node, "left") \
-        .select("fp", "id", F.coalesce("root", "fp").alias("root"))
-    rooted = materialize(rooted, "simhash-rooted")
-    heads = materialize(rooted.groupBy("root").agg(F.min("id").alias("component")), "simhash-heads")
-    named = materialize(rooted.join(heads, "root").select("fp", "component"), "simhash-components")
-    return marked.join(named, "fp").select(
-        F.expr(f"nullif(id, {NO_ID})").alias("doc_id"),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.expr(f"nullif(component, {NO_ID})").alias("component_id"))
+    rooted = materialize(prints.join(roots, prints.fp == roots.node, "left")
+                         .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    heads = materialize(rooted.groupBy("root").agg(F.min("first").alias("head")), "simhash-heads")
+    named = materialize(rooted.join(heads, "root").select("fp", "head"), "simhash-components")
+    return marked.join(named, "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = 3, max_distance: int = 2) -> DataFrame:
     """``docs`` with the row of smallest id of each component, columns as they
-    were. Rows repeating that id are reduced to one."""
-    kept = materialize(simhash_components(docs, id_col, text_col, shingle, max_distance)
-                       .filter("doc_id <=> component_id").select(long_id("doc_id").alias("_id"))
-                       .distinct(), "simhash-kept")
-    return docs.withColumn("_id", long_id(id_col)).join(kept, "_id").dropDuplicates(["_id"]).drop("_id")
+    were; any one of them if rows repeat it."""
+    kept = _components(docs, id_col, text_col, shingle, max_distance) \
+        .filter("id = head.id and mark = head.mark").select("id", "mark")
+    return rows_kept(docs, kept, id_col, text_col)
