@@ -172,7 +172,7 @@ class Slot:
     """A node of a template."""
 
     __slots__ = ("label", "tag", "pages", "chars", "texts", "kids", "mark", "root")
-    REMEMBER = 8  # texts noted per slot; rarer ones wash out
+    FIRST, REMEMBER, SETTLED = 3, 64, 16
 
     def __init__(self, label: str, tag: str):
         self.label, self.tag, self.pages, self.chars = label, tag, 0, 0
@@ -180,12 +180,16 @@ class Slot:
         self.kids: list[Slot] = []
         self.mark, self.root = None, False
 
-    def note(self, text: int, times: int = 1) -> None:
-        if text in self.texts or len(self.texts) < self.REMEMBER:
-            self.texts[text] = self.texts.get(text, 0) + times
-        else:
-            least = min(times, min(self.texts.values()))
-            self.texts = {k: v - least for k, v in self.texts.items() if v > least}
+    def note(self, text: int) -> None:
+        """Count a page's text. Only texts of the slot's first pages are
+        counted: what stands on nearly all pages is among them."""
+        if text in self.texts or self.pages <= self.FIRST and len(self.texts) < self.REMEMBER:
+            self.texts[text] = self.texts.get(text, 0) + 1
+
+    def settle(self) -> None:
+        """Once there are enough pages, forget texts on less than half."""
+        if self.pages >= self.SETTLED:
+            self.texts = {k: n for k, n in self.texts.items() if 2 * n >= self.pages}
 
     def size(self) -> int:
         return 1 + sum(k.size() for k in self.kids)
@@ -195,6 +199,7 @@ class Slot:
 
 
 def key_of(text: str) -> int:
+    """Checksum and, in the high bits, length of a text."""
     return zlib.crc32(text.encode("utf-8", "replace")) | len(text) << 32
 
 
@@ -247,6 +252,8 @@ def fold_page(slot: Slot, nodes: list[Node], page: object) -> None:
     """Add a page's run of like nodes to the slot aligned with them."""
     if slot.mark is not page:
         slot.mark, slot.pages = page, slot.pages + 1
+        if slot.pages == slot.SETTLED:
+            slot.settle()
     for text in {t for n in nodes if (t := n.own_text())}:
         slot.note(key_of(text))
         slot.chars += len(text)
@@ -267,7 +274,8 @@ def merge(a: Slot, b: Slot) -> Slot:
     """Two templates of one host as one."""
     a.pages, a.chars, a.mark = a.pages + b.pages, a.chars + b.chars, None
     for text, n in b.texts.items():
-        a.note(text, n)
+        a.texts[text] = a.texts.get(text, 0) + n
+    a.settle()
     a.kids = [merge(k, p[1][0]) if k and p else k or p[1][0] for k, p in aligned(a.kids, _parts(b), {})]
     return a
 
@@ -290,8 +298,8 @@ def find_root(top: Slot, pages: int, share: float) -> Slot:
     """Marks and returns the content root: from the top down, the child with
     nearly all varying text, as far as an article or main element."""
     def varying(s: Slot) -> float:
-        fixed = max(s.texts.values(), default=0) / s.pages if s.pages >= pages else 0.0
-        return s.chars * (1.0 if fixed < share else 0.0) + sum(map(varying, s.kids))
+        fixed = sum((text >> 32) * n for text, n in s.texts.items() if s.constant(text, pages, share))
+        return s.chars - fixed + sum(map(varying, s.kids))
     at = top
     while at.tag not in ("article", "main") and at.kids:
         total, kid = varying(at), max(at.kids, key=varying)

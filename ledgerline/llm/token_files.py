@@ -153,8 +153,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, id_col: str
                     doc_ids.append(row[0].as_py())
                     ids.append(body + end)
                     size += len(body) // 4 + 1
-                if size >= file_ids:
-                    yield close()
+                    if size >= file_ids:
+                        yield close()
         if doc_ids:
             yield close()
 

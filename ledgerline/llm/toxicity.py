@@ -235,7 +235,7 @@ def fit_label_model(n: int, both: np.ndarray, prior: float, seen: np.ndarray, la
             d = 0.03 * (moments[0] / (1 - 0.9 ** step)) / (np.sqrt(moments[1] / (1 - 0.99 ** step)) + 1e-9)
             hit, false = np.clip(hit - d[0], -12, 6), np.clip(false - d[1], -12, 6)
         h, f = 1 / (1 + np.exp(-hit)), 1 / (1 + np.exp(-false))
-        spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-10))
+        spread = np.sqrt(np.maximum(prior * h * (1 - h) + (1 - prior) * f * (1 - f), 1e-10))
         correlation = (pair - prior * np.outer(h, h) - (1 - prior) * np.outer(f, f)) / np.outer(spread, spread)
         np.fill_diagonal(correlation, 0)
         correlation[np.abs(correlation) < max(0.1, 4 / np.sqrt(n))] = 0
