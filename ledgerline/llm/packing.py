@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,56 +110,68 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     if min(length, max_segments, max_loss, pool) < 1:
         raise ValueError("every limit must be at least 1")
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        code, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            rows = zip(*(batch.column(i) for i in range(3)))
-            for some in in_small_batches(rows, lambda r: len(r[2].as_buffer() or b"") + len(r[1].as_buffer() or b"")):
-                ids = code.encode([r[2].as_py() for r in some])
-                heads = code.encode([r[1].as_py() for r in some]) if prompt_col else [b""] * len(some)
-                for row, head, body in zip(some, heads, ids):
-                    whole = head + body + end
-                    yield row[0].as_py(), 0, whole, len(whole) // 4, max(1, len(head) // 4)
+    limits = length, max_segments, max_loss
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, rows = Pool((length, max_segments, max_loss), pool, least), []
-        number = TaskContext.get().partitionId() << 33
-
-        def emit(pieces: list[tuple]) -> None:
-            nonlocal number
-            offset = 0
-            for p in pieces:
-                n = len(p[2]) // 4
-                rows.append((p[0], p[1], n, zlib.crc32(p[2]), p[3], number, offset, loss(p, n)) + ((p[2],) if with_ids else ()))
-                offset += n
-            number += 1
-
-        for item in read(batches):
-            doc, _, ids, total, bearing = item
-            at, n = 0, len(ids) // 4
-            while at < n:
-                cut = min(length, n - at, max(0, bearing - at) + max_loss)
-                if cut < length and cut == n - at:
-                    waiting.add((doc, at, ids[4 * at:], total, bearing))
-                else:
-                    emit([(doc, at, ids[4 * at:4 * (at + cut)], total, bearing)])
-                at += cut
-            if waiting.full():
-                while len(waiting.free) < pool // 2:
-                    emit(waiting.sequence())
-            if len(rows) >= 20_000:
-                yield _batch(rows, with_ids)
-                rows = []
-        while not waiting.empty():
-            emit(waiting.sequence())
-        if rows:
-            yield _batch(rows, with_ids)
+        items = read_items(batches, tokenizer, prompt_col is not None)
+        yield from place_items(items, limits, pool, least, with_ids, TaskContext.get().partitionId() << 33)
 
     prompt = text_or_empty(prompt_col) if prompt_col else F.lit("")
     return docs.select(F.col(id_col).cast("long"), prompt.alias("prompt"), text_or_empty(text_col).alias("text")) \
         .mapInArrow(place, SCHEMA + (", ids binary" if with_ids else ""))
 
 
+def read_items(batches: Iterator[pa.RecordBatch], tokenizer: str, prompts: bool) -> Iterator[tuple]:
+    """``(doc_id, 0, ids, number of ids, first loss-bearing position)`` of
+    each row ``(doc_id, prompt, text)``."""
+    code, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+    for batch in batches:
+        doc_ids, texts = batch.column(0).to_pylist(), batch.column(2)
+        sizes = pc.binary_length(texts).to_pylist()
+        for some in in_small_batches(range(len(doc_ids)), sizes.__getitem__):
+            cut = slice(some[0], some[-1] + 1)
+            heads = code.encode(batch.column(1)[cut].to_pylist()) if prompts else [b""] * len(some)
+            for doc, head, body in zip(doc_ids[cut], heads, code.encode(texts[cut].to_pylist())):
+                whole = head + body + end
+                yield doc, 0, whole, len(whole) // 4, max(1, len(head) // 4)
+
+
+def place_items(items: Iterator[tuple], limits: tuple[int, int, int], pool: int, least: int, with_ids: bool,
+                number: int) -> Iterator[pa.RecordBatch]:
+    """Rows of pieces; sequences are numbered from ``number`` on."""
+    waiting, rows = Pool(limits, pool, least), []
+    length, _, max_loss = limits
+
+    def emit(pieces: list[tuple]) -> None:
+        nonlocal number
+        offset = 0
+        for p in pieces:
+            n = len(p[2]) // 4
+            rows.append((p[0], p[1], n, zlib.crc32(p[2]), p[3], number, offset, loss(p, n)) + ((p[2],) if with_ids else ()))
+            offset += n
+        number += 1
+
+    for doc, _, ids, total, bearing in items:
+        at, n = 0, len(ids) // 4
+        while at < n:
+            cut = min(length, n - at, max(0, bearing - at) + max_loss)
+            if cut < length and cut == n - at:
+                waiting.add((doc, at, ids[4 * at:], total, bearing))
+            else:
+                emit([(doc, at, ids[4 * at:4 * (at + cut)], total, bearing)])
+            at += cut
+        if waiting.full():
+            while len(waiting.free) < pool // 2:
+                emit(waiting.sequence())
+        if len(rows) >= 20_000:
+            yield _batch(rows, with_ids)
+            rows.clear()
+    while not waiting.empty():
+        emit(waiting.sequence())
+    if rows:
+        yield _batch(rows, with_ids)
+
+
 def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
     names = [f.split()[0] for f in SCHEMA.split(", ")] + ["ids"] * with_ids
     kinds = [pa.int64()] * 8 + [pa.binary()] * with_ids

@@ -1,20 +1,23 @@
 """Token ids by the tokenizers library, fast over words seen before.
 
 A byte-level BPE tokenizer splits a text by pattern before it merges, and
-a single space or line feed between two words always starts a new piece.
-So a text whose only white space is such single characters is encoded word
-by word, and the ids of a word, which the library makes, are remembered.
-Every other text, and every tokenizer of another kind, is encoded whole.
+a space or line feed that does not follow white space always starts a new
+piece. So a text in which they never do is cut before each of them, and the
+ids of a word with its space, which the library makes, are remembered. Every
+other text, and every tokenizer of another kind, is encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 
 import numpy as np
 
 ID = np.dtype("<u4")
+_RUN = re.compile(r"\s[ \n]")
 _loaded: dict[str, "Encoder"] = {}
 
 
@@ -33,9 +36,10 @@ def encoder(path: str) -> "Encoder":
 
 class Encoder:
     """``encode(texts)``: for each text its ids as little-endian unsigned
-    32-bit integers. ``remember`` bounds the words kept."""
+    32-bit integers. ``remember`` bounds the words kept: when half as many
+    are known, those of the half before that were not met again are dropped."""
 
-    def __init__(self, path: str, remember: int = 300_000):
+    def __init__(self, path: str, remember: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library, self.remember = Tokenizer.from_file(path), remember
@@ -44,38 +48,66 @@ class Encoder:
         self.by_word = (split.get("type") == "ByteLevel" and split.get("use_regex", True)
                         and not split.get("add_prefix_space") and spec["normalizer"] is None)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.plain: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.feed = self._whole(["\n"])[0]
+        self.feed = self.library.encode("\n", add_special_tokens=False).ids if self.by_word else []
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, ID).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, words: set[str], known: dict[str, bytes], lead: str) -> None:
-        if new := list(words - known.keys()):
-            known.update(zip(new, self._whole([lead + w for w in new])))
+        found = [array("I", e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        if ID != np.dtype("I"):  # another byte order
+            return [np.array(x, ID).tobytes() for x in found]
+        return [x.tobytes() for x in found]
+
+    def _learn(self, words: set[str]) -> None:
+        """Make every word known. A word that starts with a line feed stands
+        for itself, any other for itself after a space."""
+        if len(self.known) >= self.remember // 2:
+            self.older, self.known = self.known, {}
+        new = []
+        for w in words - self.known.keys():
+            ids = self.older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.known[w] = ids
+        odd = []
+        for spaced in (True, False):
+            some = [w for w in new if (w[:1] != "\n") == spaced]
+            joined = [some[i:i + 32] for i in range(0, len(some), 32)]
+            texts = [" " + "\n ".join(part) if spaced else "".join(part) for part in joined]
+            for part, ids in zip(joined, self._whole(texts)):
+                self._share(part, ids, spaced) or odd.extend(part)
+        self.known.update(zip(odd, self._whole([w if w[:1] == "\n" else " " + w for w in odd])))
+
+    def _share(self, words: list[str], ids: bytes, spaced: bool) -> bool:
+        """Note the ids of words encoded together, cut at the line feeds
+        between (spaced) or before them; not if they hold other white space
+        or nothing, as then a feed may not stand alone."""
+        bare = [w[not spaced:] for w in words]
+        if len(self.feed) != 1 or "" in bare or len("".join(bare).split()) != 1 or any(map(str.isspace, (bare[0][0], bare[-1][-1]))):
+            return False
+        cuts = 4 * np.flatnonzero(np.frombuffer(ids, ID) == self.feed[0])
+        if len(cuts) != len(words) - spaced:
+            return False
+        begins = [0, *(cuts + 4)] if spaced else cuts.tolist()
+        ends = [*cuts, len(ids)] if spaced else [*cuts[1:], len(ids)]
+        self.known.update((w, ids[b:e]) for w, b, e in zip(words, begins, ends))
+        return True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        whole, split, heads, tails = [], [], set(), set()
+        whole, split, words = [], [], set()
         for i, text in enumerate(texts):
-            if (self.by_word and text.replace("\n", " ").split(" ") == text.split()
-                    and not any(s in text for s in self.special)):
-                lines = [line.split(" ") for line in text.split("\n")]
-                for line in lines:
-                    heads.add(line[0])
-                    tails.update(line[1:])
-                split.append((i, lines))
+            if self.by_word and not _RUN.search(text) and not any(s in text for s in self.special):
+                units = text.replace("\n", " \n").split(" ")
+                split.append((i, units))
+                words.update(units[1:])
             else:
                 whole.append(i)
-        if len(self.plain) + len(self.spaced) > self.remember:
-            self.plain.clear()
-            self.spaced.clear()
-        self._learn(heads, self.plain, "")
-        self._learn(tails, self.spaced, " ")
-        spaced = self.spaced.__getitem__
-        for i, lines in split:
-            out[i] = self.feed.join([self.plain[line[0]] + b"".join(map(spaced, line[1:])) for line in lines])
+        self._learn(words)
+        known = self.known.__getitem__
+        for (i, units), head in zip(split, self._whole([units[0] for _, units in split])):
+            out[i] = head + b"".join(map(known, units[1:]))
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         return out
