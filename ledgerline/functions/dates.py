@@ -10,9 +10,13 @@ from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampT
 # default for order and ship dates; month-first is the default of the
 # product-conflict report, which parses dates without a day-first hint.
 DAY_FIRST = ("d-M-yyyy", "d/M/yyyy", "d.M.yyyy", "yyyy-M-d", "yyyy/M/d",
-             "d-M-yyyy H:m", "d/M/yyyy H:m", "yyyy-M-d H:m:s")
+             "d-M-yyyy H:m", "d/M/yyyy H:m", "yyyy-M-d H:m:s",
+             "d-M-yyyy H:m:s", "d/M/yyyy H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d H:m",
+             "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd")
 MONTH_FIRST = ("M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "yyyy-M-d", "yyyy/M/d",
-               "M/d/yyyy H:m", "M-d-yyyy H:m", "yyyy-M-d H:m:s")
+               "M/d/yyyy H:m", "M-d-yyyy H:m", "yyyy-M-d H:m:s",
+               "M/d/yyyy H:m:s", "M-d-yyyy H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d H:m",
+               "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd")
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 
@@ -30,6 +34,12 @@ def parse_date(col: Column, dtype, formats=DAY_FIRST) -> Column:
     return F.coalesce(*tries) if len(tries) > 1 else tries[0]
 
 
+def failed_date(col: Column, dtype, formats=DAY_FIRST) -> Column:
+    """True where a non-empty text is no date in any layout."""
+    text = F.btrim(col.cast(StringType()), F.lit(WHITESPACE))
+    return (text != "") & parse_date(col, dtype, formats).isNull()
+
+
 def date_key(col: Column) -> Column:
     """yyyyMMdd as INT, the key of the calendar dimension."""
     return (F.year(col) * 10000 + F.month(col) * 100 + F.dayofmonth(col)).cast("int")

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numeric import mean, ratio
+from .numeric import SUM_TYPE, mean, ratio
 
-SALES_TYPE = "decimal(38,2)"
-PROFIT_TYPE = "decimal(38,4)"
+SALES_TYPE = PROFIT_TYPE = SUM_TYPE
 
 
 def total_orders() -> Column:

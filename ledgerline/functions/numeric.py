@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from .dates import WHITESPACE
 
-# Money read from text keeps four decimals: sums stay exact and independent
-# of partition order.
-MONEY_TYPE = "decimal(22,4)"
+# Money and rates read from text keep eight decimals: sums stay exact and
+# independent of partition order, and no digit of a usual file is rounded.
+MONEY_TYPE = "decimal(28,8)"
+SUM_TYPE = "decimal(38,8)"
 RATIO_TYPE = "decimal(18,4)"
 
 
@@ -40,11 +43,25 @@ def to_count(col: Column, dtype) -> Column:
 def ratio(num: Column, den: Column) -> Column:
     """num / den as DECIMAL(18,4); NULL when den is 0 or NULL.
 
-    Both operands are decimals so the quotient is exact before the one
-    rounding step (half away from zero)."""
-    n = num.cast("decimal(28,4)")
-    d = F.nullif(den.cast("decimal(24,4)"), F.lit(0).cast("decimal(24,4)"))
-    return (n / d).cast(RATIO_TYPE)
+    Both operands become integers of 1e-8 units and are divided once as
+    integers, rounding half away from zero, so there is one rounding step."""
+    units = lambda c: (c.cast(SUM_TYPE) * F.lit(Decimal(10 ** 8))).cast("decimal(38,0)")
+    n, d = units(num), units(den)
+    d = F.nullif(d, F.lit(0).cast("decimal(38,0)"))
+    size = F.call_function("div", F.abs(n) * F.lit(Decimal(20_000)) + F.abs(d), F.abs(d) * F.lit(Decimal(2)))
+    signed = F.when((n < 0) != (d < 0), -size).otherwise(size)
+    return (signed.cast("decimal(19,0)") * F.lit(Decimal("0.0001"))).cast(RATIO_TYPE)
+
+
+def times(col: Column, factor: int) -> Column:
+    """A money value times a small whole number, with every digit kept."""
+    return col.cast("decimal(30,8)") * F.lit(Decimal(factor))
+
+
+def exact_margin(profit: Column, sales: Column) -> Column:
+    """profit / sales with 14 decimals, for comparisons; NULL when sales is 0."""
+    d = sales.cast("decimal(24,8)")
+    return profit.cast("decimal(24,8)") / F.nullif(d, F.lit(0).cast("decimal(24,8)"))
 
 
 def mean(col: Column) -> Column:

@@ -64,7 +64,7 @@ def _offsets(per_part: DataFrame, value: str) -> DataFrame:
 def index_from_tags(tagged: DataFrame, name: str) -> DataFrame:
     """Dense 1..n index from a frame stamped by tag_ranges(positions=True)."""
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _offsets(counts, "_n")
+    offsets = materialize(_offsets(counts, "_n"), "offsets")  # a row per partition, read by every later use
     return (tagged.join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_offset") + F.col("_pos") + F.lit(1))
             .drop("_part", "_pos", "_offset"))

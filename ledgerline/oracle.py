@@ -17,9 +17,9 @@ STRING_COLS = ("ship_mode", "customer_name", "segment", "country", "region",
 
 def _ratio(num: str, den: str) -> str:
     """num / den rounded half away from zero to 4 decimals, DECIMAL(18,4),
-    computed on exact integers (both inputs have at most 4 decimals)."""
-    n = f"CAST(ROUND(CAST({num} AS DECIMAL(38,4)) * 10000) AS HUGEINT)"
-    d = f"CAST(ROUND(CAST({den} AS DECIMAL(38,4)) * 10000) AS HUGEINT)"
+    computed on exact integers (both inputs have at most 8 decimals)."""
+    n = f"CAST(ROUND(CAST({num} AS DECIMAL(38,8)) * 100000000) AS HUGEINT)"
+    d = f"CAST(ROUND(CAST({den} AS DECIMAL(38,8)) * 100000000) AS HUGEINT)"
     return (f"CAST(CAST(sign({n}) * sign({d}) * ((2 * abs({n}) * 10000 + abs({d})) "
             f"// NULLIF(2 * abs({d}), 0)) AS DECIMAL(38,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4))")
 
@@ -33,8 +33,8 @@ def _block(lines: bool = True, aov: bool = False, prefix: str = "f.") -> str:
     cols = [f"COUNT(DISTINCT {p}order_id) AS total_orders"]
     if lines:
         cols.append("COUNT(*) AS total_order_lines")
-    cols += [f"CAST(SUM({p}sales) AS DECIMAL(38,2)) AS total_sales",
-             f"CAST(SUM({p}profit) AS DECIMAL(38,4)) AS total_profit",
+    cols += [f"CAST(SUM({p}sales) AS DECIMAL(38,8)) AS total_sales",
+             f"CAST(SUM({p}profit) AS DECIMAL(38,8)) AS total_profit",
              f"CAST(SUM({p}quantity) AS BIGINT) AS total_quantity",
              f"{_mean(p + 'discount')} AS avg_discount",
              f"{_ratio(f'SUM({p}profit)', f'SUM({p}sales)')} AS profit_margin"]
@@ -160,7 +160,7 @@ LEFT JOIN dim_geography g ON f.geography_key = g.geography_key
 LEFT JOIN dim_ship_mode s ON f.ship_mode_key = s.ship_mode_key"""
 
 PRODUCT_TOTALS = """SELECT p.product_key, p.product_id, p.product_name, p.category, p.sub_category,
-    CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit
+    CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit
   FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key
   GROUP BY p.product_key, p.product_id, p.product_name, p.category, p.sub_category"""
 
@@ -214,7 +214,7 @@ SELECT {BAND} AS discount_band, {_block()}
 FROM fact_sales f GROUP BY 1"""
     v["vw_shipping_performance"] = f"""{STAR}
 SELECT s.ship_mode, COUNT(DISTINCT f.order_id) AS total_orders, COUNT(*) AS total_order_lines,
-  CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit,
+  CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit,
   CAST(SUM(f.quantity) AS BIGINT) AS total_quantity,
   CAST(SUM(f.shipping_days) AS BIGINT) // NULLIF(COUNT(f.shipping_days), 0) AS avg_shipping_days,
   {_ratio('SUM(f.profit)', 'SUM(f.sales)')} AS profit_margin
@@ -223,8 +223,8 @@ GROUP BY s.ship_mode"""
     v["vw_product_pareto"] = f"""{STAR},\n{PARETO_CTES}\n{PARETO_SELECT}"""
     v["vw_loss_making_products"] = f"""{STAR}
 SELECT p.product_key, p.product_id, p.product_name, p.category, p.sub_category,
-  COUNT(DISTINCT f.order_id) AS total_orders, CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales,
-  CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit, CAST(SUM(f.quantity) AS BIGINT) AS total_quantity,
+  COUNT(DISTINCT f.order_id) AS total_orders, CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales,
+  CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit, CAST(SUM(f.quantity) AS BIGINT) AS total_quantity,
   {_mean('f.discount')} AS avg_discount, {_ratio('SUM(f.profit)', 'SUM(f.sales)')} AS profit_margin
 FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key
 GROUP BY p.product_key, p.product_id, p.product_name, p.category, p.sub_category
@@ -262,8 +262,8 @@ FROM (SELECT {k}, COUNT(*) AS c FROM {t} GROUP BY {k})""" for n, t, k in tables)
         for k in ("order_date_key", "ship_date_key", "customer_key", "product_key",
                   "geography_key", "ship_mode_key")) + " FROM fact_sales"
     q["control_totals"] = f"""{STAR}
-SELECT COUNT(*) AS fact_rows, CAST(SUM(sales) AS DECIMAL(38,2)) AS total_sales,
-  CAST(SUM(profit) AS DECIMAL(38,4)) AS total_profit, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+SELECT COUNT(*) AS fact_rows, CAST(SUM(sales) AS DECIMAL(38,8)) AS total_sales,
+  CAST(SUM(profit) AS DECIMAL(38,8)) AS total_profit, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
   {_mean('discount')} AS avg_discount
 FROM fact_sales"""
     q["join_sample"] = f"""{STAR}
@@ -292,35 +292,36 @@ def _measures() -> dict[str, str]:
     oy = ("fact_sales f JOIN (SELECT date_key, year AS order_year, month AS order_month FROM dim_date) d "
           "ON f.order_date_key = d.date_key")
     m["core_measures"] = f"""{STAR}
-SELECT order_year, CAST(SUM(sales) AS DECIMAL(38,2)) AS total_sales,
-  CAST(SUM(profit) AS DECIMAL(38,4)) AS total_profit,
+SELECT order_year, CAST(SUM(sales) AS DECIMAL(38,8)) AS total_sales,
+  CAST(SUM(profit) AS DECIMAL(38,8)) AS total_profit,
   {_ratio('SUM(profit)', 'SUM(sales)')} AS profit_margin_pct,
   {_ratio('SUM(sales)', 'COUNT(DISTINCT order_id)')} AS average_order_value,
   COUNT(DISTINCT order_id) AS total_orders, COUNT(*) AS total_order_lines
 FROM {oy} GROUP BY order_year"""
     m["loss_measures"] = f"""{STAR}
-SELECT CAST(SUM(CASE WHEN profit < 0 THEN profit END) AS DECIMAL(38,4)) AS loss_making_profit,
+SELECT CAST(SUM(CASE WHEN profit < 0 THEN profit END) AS DECIMAL(38,8)) AS loss_making_profit,
   COUNT(*) FILTER (WHERE profit < 0) AS loss_making_order_lines, COUNT(*) AS total_order_lines,
   {_ratio('COUNT(*) FILTER (WHERE profit < 0)', 'COUNT(*)')} AS loss_making_lines_pct
 FROM fact_sales"""
     m["discount_measures"] = f"""{STAR}
-SELECT CAST(SUM(CASE WHEN discount > 0 THEN sales END) AS DECIMAL(38,2)) AS discounted_sales,
-  CAST(SUM(sales) AS DECIMAL(38,2)) AS total_sales,
+SELECT CAST(SUM(CASE WHEN discount > 0 THEN sales END) AS DECIMAL(38,8)) AS discounted_sales,
+  CAST(SUM(sales) AS DECIMAL(38,8)) AS total_sales,
   {_ratio('SUM(CASE WHEN discount > 0 THEN sales END)', 'SUM(sales)')} AS discounted_sales_pct
 FROM fact_sales"""
     for name, keys in (("yoy_sales", ["order_year"]), ("yoy_sales_monthly", ["order_year", "order_month"])):
         k = ", ".join(keys)
         on = " AND ".join(["a.order_year = b.order_year + 1"] + [f"a.{c} = b.{c}" for c in keys[1:]])
         m[name] = f"""{STAR},
-per AS (SELECT {k}, CAST(SUM(sales) AS DECIMAL(38,2)) AS sales FROM {oy} GROUP BY {k})
+per AS (SELECT {k}, CAST(SUM(sales) AS DECIMAL(38,8)) AS sales FROM {oy} GROUP BY {k})
 SELECT {", ".join("a." + c for c in keys)}, a.sales AS total_sales, b.sales AS sales_previous_year,
-  CAST(a.sales - b.sales AS DECIMAL(38,2)) AS sales_yoy_change,
+  CAST(a.sales - b.sales AS DECIMAL(38,8)) AS sales_yoy_change,
   {_ratio('a.sales - b.sales', 'b.sales')} AS sales_yoy_change_pct
 FROM per a LEFT JOIN per b ON {on}"""
     per_name = f"""per AS (
-  SELECT p.product_name, CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales,
-    CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit,
-    {_ratio('SUM(f.profit)', 'SUM(f.sales)')} AS profit_margin
+  SELECT p.product_name, CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales,
+    CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit,
+    {_ratio('SUM(f.profit)', 'SUM(f.sales)')} AS profit_margin,
+    CAST(SUM(f.profit) AS DOUBLE) / NULLIF(CAST(SUM(f.sales) AS DOUBLE), 0) AS margin
   FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key GROUP BY p.product_name
 )"""
     seg = f"""{STAR},
@@ -329,43 +330,48 @@ ms AS (SELECT min(v) AS lo, max(v) AS hi FROM (
   SELECT total_sales AS v, row_number() OVER (ORDER BY total_sales, product_name) AS i,
          COUNT(*) OVER () AS n FROM per) WHERE i IN ((n + 1) // 2, (n + 2) // 2)),
 mm AS (SELECT min(v) AS lo, max(v) AS hi FROM (
-  SELECT profit_margin AS v, row_number() OVER (ORDER BY profit_margin, product_name) AS i,
-         COUNT(*) OVER () AS n FROM per WHERE profit_margin IS NOT NULL) WHERE i IN ((n + 1) // 2, (n + 2) // 2)),
+  SELECT margin AS v, row_number() OVER (ORDER BY margin, product_name) AS i,
+         COUNT(*) OVER () AS n FROM per WHERE margin IS NOT NULL) WHERE i IN ((n + 1) // 2, (n + 2) // 2)),
 seg AS (
   SELECT per.*, CASE
     WHEN total_profit < 0 THEN 'Loss Maker'
-    WHEN total_sales * 2 >= ms.lo + ms.hi AND COALESCE(profit_margin, 0) * 2 >= mm.lo + mm.hi THEN 'Star Product'
-    WHEN total_sales * 2 >= ms.lo + ms.hi AND NOT (COALESCE(profit_margin, 0) * 2 >= mm.lo + mm.hi) THEN 'Revenue Trap'
-    WHEN NOT (total_sales * 2 >= ms.lo + ms.hi) AND COALESCE(profit_margin, 0) * 2 >= mm.lo + mm.hi THEN 'Niche Profitable'
+    WHEN total_sales * 2 >= ms.lo + ms.hi AND COALESCE(margin, 0) * 2 >= mm.lo + mm.hi THEN 'Star Product'
+    WHEN total_sales * 2 >= ms.lo + ms.hi AND NOT (COALESCE(margin, 0) * 2 >= mm.lo + mm.hi) THEN 'Revenue Trap'
+    WHEN NOT (total_sales * 2 >= ms.lo + ms.hi) AND COALESCE(margin, 0) * 2 >= mm.lo + mm.hi THEN 'Niche Profitable'
     ELSE 'Low Performer' END AS portfolio_segment
   FROM per, ms, mm
 )"""
     m["portfolio_segments"] = seg + "\nSELECT product_name, total_sales, total_profit, profit_margin, portfolio_segment FROM seg"
     m["portfolio_segment_counts"] = seg + """
-SELECT portfolio_segment, COUNT(*) AS products, CAST(SUM(total_sales) AS DECIMAL(38,2)) AS total_sales
+SELECT portfolio_segment, COUNT(*) AS products, CAST(SUM(total_sales) AS DECIMAL(38,8)) AS total_sales
 FROM seg GROUP BY portfolio_segment"""
     rank = "RANK() OVER (ORDER BY total_sales DESC NULLS LAST) AS sales_rank, RANK() OVER (ORDER BY total_profit DESC NULLS LAST) AS profit_rank"
     m["rank_customers"] = f"""{STAR}
 SELECT *, {rank} FROM (
   SELECT c.customer_key, c.customer_id, c.customer_name, c.segment,
-    CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit
+    CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit
   FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key
   GROUP BY c.customer_key, c.customer_id, c.customer_name, c.segment)"""
     m["rank_products"] = f"{STAR}\nSELECT *, {rank} FROM ({PRODUCT_TOTALS})"
     m["rank_regions"] = f"""{STAR}
 SELECT *, {rank} FROM (
-  SELECT g.country, g.region, CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales,
-    CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit
+  SELECT g.country, g.region, CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales,
+    CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit
   FROM fact_sales f JOIN dim_geography g ON f.geography_key = g.geography_key GROUP BY g.country, g.region)"""
     m["loss_concentration"] = f"""{STAR},
-lp AS (SELECT *, CAST(-total_profit AS DECIMAL(38,4)) AS loss FROM ({PRODUCT_TOTALS}) WHERE total_profit < 0),
+lp AS (SELECT *, CAST(-total_profit AS DECIMAL(38,8)) AS loss FROM ({PRODUCT_TOTALS}) WHERE total_profit < 0),
 r AS (SELECT *, SUM(loss) OVER () AS total_loss,
         SUM(loss) OVER (ORDER BY loss DESC, product_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_loss
       FROM lp)
 SELECT product_key, product_id, product_name, category, sub_category, total_sales, total_profit, loss,
-  {_ratio('loss', 'total_loss')} AS loss_share, CAST(cumulative_loss AS DECIMAL(38,4)) AS cumulative_loss,
+  {_ratio('loss', 'total_loss')} AS loss_share, CAST(cumulative_loss AS DECIMAL(38,8)) AS cumulative_loss,
   {_ratio('cumulative_loss', 'total_loss')} AS cumulative_loss_pct
 FROM r"""
+    m["loss_by_subcategory"] = f"""{STAR},
+ps AS (SELECT p.category, p.sub_category, CAST(-SUM(f.profit) AS DECIMAL(38,8)) AS loss
+       FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key WHERE f.profit < 0
+       GROUP BY p.category, p.sub_category)
+SELECT *, {_ratio('loss', '(SELECT SUM(loss) FROM ps)')} AS loss_share FROM ps"""
     m["efficiency_measures"] = f"""{STAR}
 SELECT c.segment, COUNT(DISTINCT c.customer_id) AS total_customers,
   {_ratio('SUM(f.sales)', 'COUNT(DISTINCT c.customer_id)')} AS sales_per_customer,
@@ -385,12 +391,12 @@ GROUP BY g.region"""
 SELECT p.category, {_block()} FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key
 GROUP BY p.category"""
     m["loss_lines_by_subcategory"] = f"""{STAR}
-SELECT p.category, p.sub_category, COUNT(*) AS loss_lines, CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales,
-  CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit
+SELECT p.category, p.sub_category, COUNT(*) AS loss_lines, CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales,
+  CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit
 FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key
 WHERE f.profit < 0 GROUP BY p.category, p.sub_category"""
     cust = """SELECT c.customer_key, c.customer_id, c.customer_name, c.segment,
-    CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit
+    CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit
   FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key
   GROUP BY c.customer_key, c.customer_id, c.customer_name, c.segment"""
     m["top_bottom_customers"] = f"""{STAR},
@@ -399,40 +405,41 @@ pc AS ({cust})
 UNION ALL
 (SELECT *, 'Bottom' AS position FROM pc ORDER BY total_profit ASC, customer_key LIMIT 10)"""
     m["segment_contribution"] = f"""{STAR},
-ps AS (SELECT c.segment, CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales,
-         CAST(SUM(f.profit) AS DECIMAL(38,4)) AS total_profit
+ps AS (SELECT c.segment, CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales,
+         CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit
        FROM fact_sales f JOIN dim_customer c ON f.customer_key = c.customer_key GROUP BY c.segment)
 SELECT *, {_ratio('total_sales', '(SELECT SUM(total_sales) FROM ps)')} AS total_sales_share,
   {_ratio('total_profit', '(SELECT SUM(total_profit) FROM ps)')} AS total_profit_share
 FROM ps"""
     m["ship_mode_mix"] = f"""{STAR},
-ps AS (SELECT s.ship_mode, COUNT(*) AS total_order_lines, CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales
+ps AS (SELECT s.ship_mode, COUNT(*) AS total_order_lines, CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales
        FROM fact_sales f JOIN dim_ship_mode s ON f.ship_mode_key = s.ship_mode_key GROUP BY s.ship_mode)
 SELECT *, {_ratio('total_order_lines', '(SELECT SUM(total_order_lines) FROM ps)')} AS total_order_lines_share,
   {_ratio('total_sales', '(SELECT SUM(total_sales) FROM ps)')} AS total_sales_share
 FROM ps"""
     m["shipping_day_distribution"] = f"""{STAR}
 SELECT shipping_days, COUNT(*) AS total_order_lines, COUNT(DISTINCT order_id) AS total_orders,
-  CAST(SUM(sales) AS DECIMAL(38,2)) AS total_sales
+  CAST(SUM(sales) AS DECIMAL(38,8)) AS total_sales
 FROM shipped GROUP BY shipping_days"""
     m["delivery_by_geography"] = f"""{STAR}
 SELECT g.country, g.region, COUNT(DISTINCT f.order_id) AS total_orders,
-  CAST(SUM(f.sales) AS DECIMAL(38,2)) AS total_sales, {_mean('f.shipping_days')} AS avg_shipping_days
+  CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales, {_mean('f.shipping_days')} AS avg_shipping_days
 FROM shipped f JOIN dim_geography g ON f.geography_key = g.geography_key GROUP BY g.country, g.region"""
     m["high_sales_low_profit"] = f"""{STAR},
-per AS (SELECT *, {_ratio('total_profit', 'total_sales')} AS profit_margin FROM ({PRODUCT_TOTALS})),
+per AS (SELECT *, {_ratio('total_profit', 'total_sales')} AS profit_margin,
+  CAST(total_profit AS DOUBLE) / NULLIF(CAST(total_sales AS DOUBLE), 0) AS margin FROM ({PRODUCT_TOTALS})),
 ms AS (SELECT min(v) AS lo, max(v) AS hi FROM (
   SELECT total_sales AS v, row_number() OVER (ORDER BY total_sales, product_key) AS i, COUNT(*) OVER () AS n
   FROM per) WHERE i IN ((n + 1) // 2, (n + 2) // 2)),
 mm AS (SELECT min(v) AS lo, max(v) AS hi FROM (
-  SELECT profit_margin AS v, row_number() OVER (ORDER BY profit_margin, product_key) AS i, COUNT(*) OVER () AS n
-  FROM per WHERE profit_margin IS NOT NULL) WHERE i IN ((n + 1) // 2, (n + 2) // 2))
-SELECT per.* FROM per, ms, mm
+  SELECT margin AS v, row_number() OVER (ORDER BY margin, product_key) AS i, COUNT(*) OVER () AS n
+  FROM per WHERE margin IS NOT NULL) WHERE i IN ((n + 1) // 2, (n + 2) // 2))
+SELECT per.* EXCLUDE (margin) FROM per, ms, mm
 WHERE total_sales * 2 >= ms.lo + ms.hi
-  AND (total_profit < 0 OR NOT COALESCE(profit_margin * 2 >= mm.lo + mm.hi, FALSE))"""
+  AND (total_profit < 0 OR NOT COALESCE(margin * 2 >= mm.lo + mm.hi, FALSE))"""
     m["margin_by_discount"] = f"""{STAR}
-SELECT discount, COUNT(*) AS total_order_lines, CAST(SUM(sales) AS DECIMAL(38,2)) AS total_sales,
-  CAST(SUM(profit) AS DECIMAL(38,4)) AS total_profit, {_ratio('SUM(profit)', 'SUM(sales)')} AS profit_margin
+SELECT discount, COUNT(*) AS total_order_lines, CAST(SUM(sales) AS DECIMAL(38,8)) AS total_sales,
+  CAST(SUM(profit) AS DECIMAL(38,8)) AS total_profit, {_ratio('SUM(profit)', 'SUM(sales)')} AS profit_margin
 FROM fact_sales GROUP BY discount"""
     return m
 
@@ -465,9 +472,10 @@ RAW = f"""WITH raw_rows AS (
     CAST(p_partkey AS VARCHAR) AS product_id, chr(9) || ' ' || p_name || '  ' AS product_name,
     p_type AS category, p_brand AS sub_category,
     CASE WHEN (l_orderkey + l_linenumber) % 40 = 0 THEN 'abc'
+         WHEN (l_orderkey + l_linenumber) % 7 = 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || '049'
          ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS sales,
     CASE WHEN l_linenumber % 3 = 0 THEN {QTY_TEXT} || '.7' ELSE {QTY_TEXT} END AS quantity,
-    CAST({_EXPR['discount']} AS VARCHAR) AS discount,
+    CASE WHEN (l_orderkey + l_linenumber) % 11 = 0 THEN '0.100004' ELSE CAST({_EXPR['discount']} AS VARCHAR) END AS discount,
     CAST({_EXPR['profit']} AS VARCHAR) AS profit,
     CAST(l_linenumber AS VARCHAR) AS a__b, CAST(CAST(l_tax AS DECIMAL(4,2)) AS VARCHAR) AS margin__pct,
     l_orderkey AS _ok
@@ -487,9 +495,9 @@ def _txt(c: str) -> str:
 TYPED = {
     "order_date": f"CAST(try_strptime({_txt('order_date')}, '%d-%m-%Y') AS DATE)",
     "ship_date": f"CAST(try_strptime({_txt('ship_date')}, '%d-%m-%Y') AS DATE)",
-    "sales": f"TRY_CAST({_txt('sales')} AS DECIMAL(22,4))",
-    "profit": f"TRY_CAST({_txt('profit')} AS DECIMAL(22,4))",
-    "discount": f"TRY_CAST({_txt('discount')} AS DECIMAL(8,4))",
+    "sales": f"TRY_CAST({_txt('sales')} AS DECIMAL(28,8))",
+    "profit": f"TRY_CAST({_txt('profit')} AS DECIMAL(28,8))",
+    "discount": f"TRY_CAST({_txt('discount')} AS DECIMAL(28,8))",
     "quantity": f"COALESCE(TRY_CAST(trunc(TRY_CAST({_txt('quantity')} AS DOUBLE)) AS BIGINT), 0)",
 }
 
@@ -517,17 +525,32 @@ def _cleaning() -> dict[str, str]:
         if n in as_text:
             cols.append(f"CAST({n} AS VARCHAR) AS {n}")
         elif n in ("sales", "profit"):
-            cols.append(f"CAST({n} AS DECIMAL(22,4)) AS {n}")
+            cols.append(f"CAST({n} AS DECIMAL(28,8)) AS {n}")
         elif n == "discount":
-            cols.append(f"CAST({n} AS DECIMAL(8,4)) AS {n}")
+            cols.append(f"CAST({n} AS DECIMAL(28,8)) AS {n}")
         else:
             cols.append(n)
+    c["date_parse_failures"] = f"""{RAW}
+SELECT COUNT(*) FILTER (WHERE {_txt('order_date')} IS NOT NULL AND {TYPED['order_date']} IS NULL) AS failed_order_dates,
+  COUNT(*) FILTER (WHERE {_txt('ship_date')} IS NOT NULL AND {TYPED['ship_date']} IS NULL) AS failed_ship_dates
+FROM raw"""
+    c["discount_bands_from_text"] = f"""{RAW},
+cleaned AS (SELECT DISTINCT {full} FROM raw WHERE {not_empty})
+SELECT {BAND} AS discount_band, {_block()} FROM cleaned f GROUP BY 1"""
     c["csv_roundtrip"] = f"WITH lines AS ({_lines_sql()}),\nclean AS ({_clean_sql('lines')})\nSELECT DISTINCT {', '.join(cols)} FROM clean"
     return c
 
 
-CONFLICT_CTES = f"""WITH lines AS ({_lines_sql(PRODUCT_CODE)}),
-clean AS ({_clean_sql('lines')}),
+CONFLICT_CTES = f"""WITH once AS (
+  SELECT l_orderkey, {PRODUCT_CODE} AS product_id,
+    CASE WHEN l_linenumber = 2 THEN p_name || ' ' ELSE p_name END AS product_name,
+    p_type AS category, p_brand AS sub_category,
+    CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS order_date,
+    CASE WHEN (l_orderkey + l_linenumber) % 40 = 0 THEN NULL ELSE {dict(ORDER_LINE_COLUMNS)['sales']} END AS sales,
+    {dict(ORDER_LINE_COLUMNS)['profit']} AS profit
+  FROM {JOINED}
+),
+clean AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE l_orderkey % 10 = 0),
 counts AS (
   SELECT product_id, COUNT(DISTINCT product_name) AS product_name, COUNT(DISTINCT category) AS category,
     COUNT(DISTINCT sub_category) AS sub_category
@@ -541,8 +564,8 @@ top_ids AS (
 ),
 details AS (
   SELECT product_id, product_name, category, sub_category, COUNT(*) AS number_of_rows,
-    CAST(SUM(COALESCE(sales, 0)) AS DECIMAL(38,4)) AS total_sales,
-    CAST(SUM(COALESCE(profit, 0)) AS DECIMAL(38,4)) AS total_profit,
+    CAST(SUM(COALESCE(sales, 0)) AS DECIMAL(38,8)) AS total_sales,
+    CAST(SUM(COALESCE(profit, 0)) AS DECIMAL(38,8)) AS total_profit,
     COALESCE(strftime(min(order_date), '%Y-%m-%d'), '') AS first_order_date,
     COALESCE(strftime(max(order_date), '%Y-%m-%d'), '') AS last_order_date
   FROM clean
@@ -552,11 +575,11 @@ details AS (
 ),
 summary AS (
   SELECT product_id, CAST(SUM(number_of_rows) AS BIGINT) AS total_rows,
-    CAST(SUM(total_sales) AS DECIMAL(38,4)) AS total_sales,
-    CAST(SUM(total_profit) AS DECIMAL(38,4)) AS total_profit,
+    CAST(SUM(total_sales) AS DECIMAL(38,8)) AS total_sales,
+    CAST(SUM(total_profit) AS DECIMAL(38,8)) AS total_profit,
     min(CAST(NULLIF(first_order_date, '') AS DATE)) AS first_order_date,
     max(CAST(NULLIF(last_order_date, '') AS DATE)) AS last_order_date,
-    abs(CAST(SUM(total_profit) AS DECIMAL(38,4))) AS profit_abs
+    abs(CAST(SUM(total_profit) AS DECIMAL(38,8))) AS profit_abs
   FROM details GROUP BY product_id
 )"""
 
@@ -564,7 +587,7 @@ summary AS (
 def _conflicts() -> dict[str, str]:
     return {
         "product_id_attribute_counts": f"{CONFLICT_CTES}\nSELECT * FROM counts",
-        "product_id_conflicts": f"{CONFLICT_CTES}\nSELECT * FROM conf",
+        "product_id_conflicts": f"{CONFLICT_CTES}\nSELECT product_id, product_name, category FROM conf",
         "top_conflict_ids": f"{CONFLICT_CTES}\nSELECT * FROM top_ids",
         "conflict_details": f"{CONFLICT_CTES}\nSELECT * FROM details",
         "conflict_summary": f"{CONFLICT_CTES}\nSELECT * FROM summary",
@@ -574,12 +597,40 @@ def _conflicts() -> dict[str, str]:
     }
 
 
+DIRTY_CTES = """dirty_fact AS (
+  SELECT * REPLACE (CASE WHEN sales_key % 97 <> 0 THEN customer_key END AS customer_key,
+    CASE WHEN sales_key % 101 = 0 THEN product_key + 1000000000 ELSE product_key END AS product_key,
+    CASE WHEN sales_key % 19 = 0 THEN 0 ELSE sales END AS sales,
+    CASE WHEN sales_key % 17 = 0 THEN -0.10 WHEN sales_key % 13 <> 0 THEN discount END AS discount)
+  FROM (SELECT * FROM fact_sales UNION ALL SELECT * FROM fact_sales WHERE sales_key % 103 = 0)
+),
+dirty_customer AS (
+  SELECT * REPLACE (CASE WHEN customer_key % 77 <> 0 THEN customer_key END AS customer_key)
+  FROM (SELECT * FROM dim_customer UNION ALL SELECT * FROM dim_customer WHERE customer_key % 50 = 0)
+)"""
+
+
+def _dirty(sql: dict[str, str]) -> dict[str, str]:
+    """The same checks and views read from a star with faults. A left join to
+    repeated dimension keys counts a fact row once per match, so orphans are
+    looked for in the distinct keys."""
+    out = {}
+    for name in ("pk_violations", "fk_violations", "orphan_counts", "missing_key_counts", "control_totals",
+                 "vw_executive_kpis", "vw_discount_impact", "vw_product_pareto", "vw_segment_profitability"):
+        tail = sql[name][len(STAR):].replace("fact_sales", "dirty_fact").replace("dim_customer", "dirty_customer")
+        out[f"{name}_dirty"] = f"{STAR},\n{DIRTY_CTES}{tail}"
+    return out
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(_star_tables())
+    out["star_reopened_fact"] = out["fact_sales"]
+    out["star_reopened_products_csv"] = out["dim_product"]
     out.update(_views())
     out.update(_quality())
     out.update(_measures())
     out.update(_cleaning())
     out.update(_conflicts())
+    out.update(_dirty(out))
     return out

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
-from ..functions.numeric import mean, ratio
+from ..functions.numeric import exact_margin, mean, ratio, times
 from ..operators.ordered import middle_values, rank_by, running_sum
 from ..session import materialize
 from . import views as V
@@ -80,11 +80,12 @@ def yoy_sales_monthly(star: Star) -> DataFrame:
     return _yoy(per, ["order_year", "order_month"])
 
 
-def _at_least_median(col: str, mid: DataFrame) -> F.Column:
-    """value >= (lo + hi) / 2, tested exactly as 2 * value >= lo + hi."""
+def _at_least_median(col: str, mid: DataFrame, exact: bool = True) -> F.Column:
+    """value >= (lo + hi) / 2, tested as 2 * value >= lo + hi; ``exact`` for
+    money, whose type leaves room for the factor."""
     lo = mid.select("lo").scalar()
     hi = mid.select("hi").scalar()
-    return F.col(col) * 2 >= lo + hi
+    return (times(F.col(col), 2) if exact else F.col(col) + F.col(col)) >= lo + hi
 
 
 def portfolio_segments(star: Star) -> DataFrame:
@@ -92,14 +93,16 @@ def portfolio_segments(star: Star) -> DataFrame:
 
     Medians of per-name sales and margin over all names (names with no
     margin, i.e. zero sales, are left out of the margin median); a missing
-    margin counts as 0 in the tests. Medians are exact and distributed."""
+    margin counts as 0 in the tests. Medians are exact and distributed, and
+    margins are compared unrounded; only the margin shown is rounded."""
     per = (V._inner(star.fact, star.product, "product_key", ["product_name"])
            .groupBy("product_name")
            .agg(M.total_sales(), M.total_profit(), M.profit_margin()))
-    per = materialize(per.withColumn("_margin", F.coalesce("profit_margin", F.lit(0).cast("decimal(18,4)"))),
+    per = materialize(per.withColumn("_exact", exact_margin(F.col("total_profit"), F.col("total_sales"))),
                       "per-product-name")
     big = _at_least_median("total_sales", middle_values(per, "total_sales", ["product_name"]))
-    good = _at_least_median("_margin", middle_values(per, "profit_margin", ["product_name"]))
+    per = per.withColumn("_margin", F.coalesce("_exact", F.lit(0).cast(per.schema["_exact"].dataType)))
+    good = _at_least_median("_margin", middle_values(per, "_exact", ["product_name"]), exact=False)
     seg = (F.when(F.col("total_profit") < 0, LOSS_MAKER)
            .when(big & good, STAR_PRODUCT).when(big & ~good, REVENUE_TRAP)
            .when(~big & good, NICHE).otherwise(LOW))
@@ -150,6 +153,15 @@ def loss_concentration(star: Star) -> DataFrame:
                       ratio(F.col("cumulative_loss"), total).alias("cumulative_loss_pct"))
 
 
+def loss_by_subcategory(star: Star) -> DataFrame:
+    """X12 by sub-category: what the loss-making lines of each sub-category
+    lose, and its share of all such losses."""
+    loss = star.fact.where(F.col("profit") < 0)
+    per = (V._inner(loss, star.product, "product_key", ["category", "sub_category"])
+           .groupBy("category", "sub_category").agg((-F.sum("profit")).cast(M.PROFIT_TYPE).alias("loss")))
+    return _shares(per, ["loss"])
+
+
 def efficiency_measures(star: Star) -> DataFrame:
     """X13 per segment: sales and profit per customer and per shipping day."""
     j = V._inner(V.shipping_days(star), star.customer, "customer_key", ["customer_id", "segment"])
@@ -238,13 +250,14 @@ def delivery_by_geography(star: Star) -> DataFrame:
 
 def high_sales_low_profit(star: Star) -> DataFrame:
     """Products selling at or above the median whose profit is negative
-    or whose margin is below the median margin."""
+    or whose margin is below the median margin, compared unrounded."""
     per = materialize(V.product_totals(star)
-                      .withColumn("profit_margin", ratio(F.col("total_profit"), F.col("total_sales"))),
+                      .withColumn("profit_margin", ratio(F.col("total_profit"), F.col("total_sales")))
+                      .withColumn("_exact", exact_margin(F.col("total_profit"), F.col("total_sales"))),
                       "product-margins")
     big = _at_least_median("total_sales", middle_values(per, "total_sales", ["product_key"]))
-    good = _at_least_median("profit_margin", middle_values(per, "profit_margin", ["product_key"]))
-    return per.where(big & ((F.col("total_profit") < 0) | ~F.coalesce(good, F.lit(False))))
+    good = _at_least_median("_exact", middle_values(per, "_exact", ["product_key"]), exact=False)
+    return per.where(big & ((F.col("total_profit") < 0) | ~F.coalesce(good, F.lit(False)))).drop("_exact")
 
 
 def margin_by_discount(star: Star) -> DataFrame:

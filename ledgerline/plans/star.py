@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -21,7 +21,9 @@ from ..operators.clean import existing
 from ..operators.lookup import lookup_key
 from ..operators.ordered import ordered_index
 from ..session import materialize
+from ..sources.tables import write_csv
 
+# Natural columns of the dimensions, keys and measures of the fact.
 CUSTOMER_COLS = ("customer_id", "customer_name", "segment")
 PRODUCT_COLS = ("product_id", "product_name", "category", "sub_category")
 GEOGRAPHY_COLS = ("country", "region", "state", "city", "postal_code")
@@ -153,25 +155,18 @@ def fact_sales(numbered: DataFrame, customer: DataFrame | None, product: DataFra
     non-NULL date, so a lookup would return exactly this value; computing it
     saves two joins. The other dimensions are LEFT-joined on their natural
     keys, NULL matching NULL."""
-    f = numbered
-    if "order_date" in f.columns:
-        f = f.withColumn("order_date_key", D.date_key(F.col("order_date")))
-    if "ship_date" in f.columns:
-        f = f.withColumn("ship_date_key", D.date_key(F.col("ship_date")))
-    if customer is not None and "customer_id" in f.columns:
-        f = lookup_key(f, customer, ["customer_id"], "customer_key")
-    if product is not None and "product_id" in f.columns:
-        on = [c for c in PRODUCT_COLS if c in f.columns and c in product.columns]
-        f = lookup_key(f, product, on, "product_key")
-    if geography is not None and all(c in f.columns for c in ("country", "region")):
-        on = [c for c in GEOGRAPHY_COLS if c in f.columns and c in geography.columns]
-        f = lookup_key(f, geography, on, "geography_key")
-    if ship_mode is not None and "ship_mode" in f.columns:
-        f = lookup_key(f, ship_mode, ["ship_mode"], "ship_mode_key", null_safe=False)
-    selected = existing(f, FACT_KEYS) + existing(f, MEASURES)
-    if not selected:
-        return f.withColumnRenamed("_row", "sales_key")  # fallback: keep everything (C13)
-    return f.select(F.col("_row").alias("sales_key"), *selected)
+    f = numbered.withColumns({f"{c}_key": D.date_key(F.col(c)) for c in existing(numbered, DATE_COLS)})
+    # dimension, key, columns matched, columns without which there is no lookup, NULL matches NULL
+    lookups = ((customer, "customer_key", CUSTOMER_COLS[:1], CUSTOMER_COLS[:1], True),
+               (product, "product_key", PRODUCT_COLS, PRODUCT_COLS[:1], True),
+               (geography, "geography_key", GEOGRAPHY_COLS, GEOGRAPHY_COLS[:2], True),
+               (ship_mode, "ship_mode_key", ("ship_mode",), ("ship_mode",), False))
+    for dim, key, match, needed, null_safe in lookups:
+        if dim is not None and set(needed) <= set(f.columns):
+            f = lookup_key(f, dim, [c for c in existing(f, match) if c in dim.columns], key, null_safe)
+    kept = existing(f, FACT_KEYS + MEASURES)
+    # Lines with neither a key nor a measure pass through whole.
+    return f.select(F.col("_row").alias("sales_key"), *(kept or [c for c in f.columns if c != "_row"]))
 
 
 def build_star(lines: DataFrame, row_order: Sequence[str] | None = None,
@@ -190,3 +185,25 @@ def build_star(lines: DataFrame, row_order: Sequence[str] | None = None,
                                                for d in (customer, product, geography, ship_mode)]
     fact = keep(fact_sales(numbered, customer, product, geography, ship_mode))
     return Star(calendar, customer, product, geography, ship_mode, fact)
+
+
+def write_star(star: Star, folder: str, file_format: str = "parquet") -> None:
+    """Save the star's tables in a folder of the caller's choice, one
+    subfolder per table, as parquet or as CSV with a header."""
+    for name, df in star.tables().items():
+        path = f"{folder.rstrip('/')}/{name}"
+        write_csv(df, path) if file_format == "csv" else df.write.mode("overwrite").format(file_format).save(path)
+
+
+def read_star(spark: SparkSession, folder: str, like: Star | None = None, file_format: str = "parquet") -> Star:
+    """Open a saved star. Files without types (CSV) take them from ``like``,
+    a star of the same shape; so do the tables expected, else all six are."""
+    def open_table(name: str) -> DataFrame | None:
+        shape = like.tables().get(name) if like else None
+        if like and shape is None:
+            return None
+        reader = spark.read.schema(shape.schema) if shape is not None else spark.read
+        if file_format == "csv":
+            reader = reader.options(header=True, quote='"', escape='"', dateFormat="yyyy-MM-dd")
+        return reader.format(file_format).load(f"{folder.rstrip('/')}/{name}")
+    return Star(*map(open_table, ("dim_date", "dim_customer", "dim_product", "dim_geography", "dim_ship_mode", "fact_sales")))

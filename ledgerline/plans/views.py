@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
-from ..functions.numeric import mean_truncated, ratio
+from ..functions.numeric import mean_truncated, ratio, times
 from ..operators.ordered import running_sum
 from ..session import materialize
 from .star import Star
@@ -27,6 +27,7 @@ from .star import Star
 DISCOUNT_BANDS = (("No Discount", None, 0.0), ("0-10%", 0.0, 0.10), ("10-20%", 0.10, 0.20),
                   ("20-30%", 0.20, 0.30), ("30-50%", 0.30, 0.50))
 OTHER_BAND = "50%+"
+# Labels of the two Pareto groups.
 PARETO_TOP = "Top 80% Sales Contributors"
 PARETO_REST = "Remaining Products"
 
@@ -91,10 +92,13 @@ def customer_profitability(star: Star) -> DataFrame:
 
 def segment_profitability(star: Star) -> DataFrame:
     """V7: by segment, with distinct customers and average order value."""
-    j = _inner(star.fact, star.customer, "customer_key", ["customer_id", "segment"])
-    b = M.block(aov=True)
-    return j.groupBy("segment").agg(
-        b[0], F.count_distinct("customer_id").alias("total_customers"), *b[1:])
+    # Two distinct counts in one aggregate would copy every fact row, so the
+    # customers are counted from the distinct keys and joined on the segment.
+    block = _inner(star.fact, star.customer, "customer_key", ["segment"]).groupBy("segment").agg(*M.block(aov=True))
+    buyers = (_inner(star.fact.select("customer_key").distinct(), star.customer, "customer_key",
+                     ["customer_id", "segment"])
+              .groupBy(F.col("segment").alias("_segment")).agg(F.count_distinct("customer_id").alias("total_customers")))
+    return block.join(buyers, block.segment.eqNullSafe(buyers._segment)).drop("_segment")
 
 
 def discount_impact(star: Star) -> DataFrame:
@@ -141,7 +145,8 @@ def product_pareto(star: Star) -> DataFrame:
     run = running_sum(totals, [F.col("total_sales").desc_nulls_last(), F.col("product_key")],
                       "total_sales", "cumulative_sales")
     cum = F.col("cumulative_sales")
-    top = (((grand > 0) & (cum * 5 <= grand * 4)) | ((grand < 0) & (cum * 5 >= grand * 4)))
+    top = (((grand > 0) & (times(cum, 5) <= times(grand, 4)))
+           | ((grand < 0) & (times(cum, 5) >= times(grand, 4))))
     return run.select(
         "product_key", *PRODUCT_ATTRS, "total_sales", "total_profit",
         ratio(F.col("total_profit"), F.col("total_sales")).alias("profit_margin"),
@@ -158,6 +163,7 @@ def loss_making_products(star: Star) -> DataFrame:
     return star.product.select("product_key", *PRODUCT_ATTRS).join(per_key, "product_key", "inner")
 
 
+# Columns of the detail view, in order.
 SALES_DETAIL_COLUMNS = (
     "sales_key", "order_id", "order_date", "order_year", "order_quarter", "order_month",
     "order_month_name", "ship_date", "shipping_days", "customer_id", "customer_name", "segment",
@@ -171,11 +177,11 @@ def sales_detail(star: Star) -> DataFrame:
                           F.col("year").alias("order_year"), F.col("quarter").alias("order_quarter"),
                           F.col("month").alias("order_month"), F.col("month_name").alias("order_month_name"))
     sd = star.date.select(F.col("date_key").alias("ship_date_key"), F.col("date").alias("ship_date"))
-    f = (star.fact.join(od, "order_date_key", "left").join(sd, "ship_date_key", "left")
-         .join(star.customer.select("customer_key", *CUSTOMER_ATTRS), "customer_key", "left")
-         .join(star.product.select("product_key", *PRODUCT_ATTRS), "product_key", "left")
-         .join(star.geography, "geography_key", "left")
-         .join(star.ship_mode, "ship_mode_key", "left"))
+    f = star.fact.join(od, "order_date_key", "left").join(sd, "ship_date_key", "left")
+    for dim, key, attrs in ((star.customer, "customer_key", CUSTOMER_ATTRS), (star.product, "product_key", PRODUCT_ATTRS),
+                            (star.geography, "geography_key", None), (star.ship_mode, "ship_mode_key", None)):
+        if dim is not None and key in f.columns:
+            f = f.join(dim.select(key, *[c for c in attrs if c in dim.columns]) if attrs else dim, key, "left")
     cols = []
     for c in SALES_DETAIL_COLUMNS:
         if c == "shipping_days":
@@ -205,8 +211,24 @@ VIEWS = {
 }
 
 
+# The dimension that a view cannot do without.
+NEEDS = {
+    "vw_category_profitability": "product", "vw_product_profitability": "product",
+    "vw_region_performance": "geography", "vw_customer_profitability": "customer",
+    "vw_segment_profitability": "customer", "vw_shipping_performance": "ship_mode",
+    "vw_product_pareto": "product", "vw_loss_making_products": "product",
+}
+
+
+def available(star: Star) -> dict:
+    """The views whose dimension the star has."""
+    return {name: fn for name, fn in VIEWS.items() if getattr(star, NEEDS.get(name, "fact")) is not None}
+
+
 def register_views(star: Star) -> None:
-    """createOrReplaceTempView for the star tables and all twelve views."""
+    """createOrReplaceTempView for the star tables and the views whose
+    dimension is there. All but the Pareto view are lazy; that one is
+    computed now, as its running total is written in range partitions."""
     star.register_views()
-    for name, fn in VIEWS.items():
+    for name, fn in available(star).items():
         fn(star).createOrReplaceTempView(name)

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .functions.dates import MONTH_FIRST, parse_date
+from .functions.dates import MONTH_FIRST, failed_date, parse_date
 from .operators import clean as C
 from .plans import conflicts as Q
 from .plans import measures as X
@@ -27,7 +28,7 @@ from .sources.tables import read_csv, read_table, write_csv
 
 _LOCK = threading.Lock()
 _STARS: dict[tuple, Star] = {}
-_LINES: dict[tuple, DataFrame] = {}
+_VARIANTS: dict[tuple, DataFrame] = {}
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,24 +74,66 @@ def _month_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("order_date", parse_date(F.col("order_date_text"), StringType(), MONTH_FIRST))
 
 
-def _conflict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned lines keyed by product code, written once per session and scale.
-
-    Writing them cuts the lineage: the reports stack several aggregates and
-    joins on top, and planning them over the full cleaning lineage (a wide
-    projection under an all-NULL filter) sends constraint inference into a
-    combinatorial search."""
+def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribute variants per product code, aggregated once from the raw
+    lines and written once per session and scale; all reports read them."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
-        if key not in _LINES:
+        if key not in _VARIANTS:
             ensure_checkpoint_dir(spark)
-            _LINES[key] = materialize(C.clean_order_lines(FX.conflict_order_lines(spark, sf_dir)),
-                                      "conflict-lines")
-        return _LINES[key]
+            _VARIANTS[key] = materialize(Q.variants(FX.conflict_order_lines(spark, sf_dir)), "variants")
+        return _VARIANTS[key]
+
+
+def _reopened_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a star saved to a folder and opened again."""
+    folder = scratch_path(spark, "saved-star")
+    K.write_star(star(spark, sf_dir), folder)
+    return K.read_star(spark, folder).fact
+
+
+def _reopened_products_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dimension of a star saved as CSV and opened again."""
+    st, folder = star(spark, sf_dir), scratch_path(spark, "saved-star-csv")
+    K.write_star(st, folder, "csv")
+    return K.read_star(spark, folder, st, "csv").product
+
+
+def _failed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many non-empty date texts of the raw lines are no date."""
+    raw = C.clean_strings(_raw(spark, sf_dir))
+    return raw.agg(*[F.count_if(failed_date(F.col(c), StringType())).alias(f"failed_{c}s") for c in C.DATE_COLUMNS])
+
+
+def dirty_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The star with faults put in by rule: NULL and orphan keys, repeated
+    fact rows and customers, a customer without key, zero sales, and NULL and
+    negative discounts."""
+    st, k = star(spark, sf_dir), F.col("sales_key")
+    fact = st.fact.unionByName(st.fact.where(k % 103 == 0)).withColumns({
+        "customer_key": F.when(k % 97 != 0, F.col("customer_key")),
+        "product_key": F.when(k % 101 == 0, F.col("product_key") + 1_000_000_000).otherwise(F.col("product_key")),
+        "sales": F.when(k % 19 == 0, F.lit(0)).otherwise(F.col("sales")).cast(st.fact.schema["sales"].dataType),
+        "discount": F.when(k % 17 == 0, F.lit("-0.10").cast(st.fact.schema["discount"].dataType))
+                     .when(k % 13 != 0, F.col("discount"))})
+    c = st.customer.unionByName(st.customer.where(F.col("customer_key") % 50 == 0)) \
+        .withColumn("customer_key", F.when(F.col("customer_key") % 77 != 0, F.col("customer_key")))
+    return replace(st, fact=fact, customer=c)
+
+
+def _on_dirty(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: fn(dirty_star(spark, sf_dir))
+
+
+def _bands_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discount bands over cleaned text lines, sales with five decimals and
+    discounts just over a band's end among them (C6, V8)."""
+    lines = C.clean_order_lines(FX.raw_order_lines(spark, sf_dir))
+    return V.discount_impact(Star(None, None, None, None, None, lines))
 
 
 def _details(spark, sf_dir):
-    return Q.conflict_details(_conflict_lines(spark, sf_dir))
+    return Q.conflict_details(_variants(spark, sf_dir))
 
 
 def _summary_via_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +177,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and cleaning
     "csv_roundtrip": _csv_roundtrip,
     "star_csv_roundtrip": _star_csv_counts,
+    "star_reopened_fact": _reopened_fact,
+    "star_reopened_products_csv": _reopened_products_csv,
     "sql_over_views": _sql_over_views,
+    "date_parse_failures": _failed_dates,
+    "discount_bands_from_text": _bands_from_text,
     "normalize_columns": _raw,
     "drop_empty_rows": lambda s, d: C.drop_empty_rows(_raw(s, d)),
     "clean_strings": lambda s, d: C.clean_strings(_raw(s, d)),
@@ -164,6 +211,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_detail_top20": _on_star(G.sales_detail_top),
 }
 QUERIES.update({name: _on_star(fn) for name, fn in V.VIEWS.items()})
+#: Checks and views on a star with faults.
+DIRTY = {"pk_violations": G.pk_violations, "fk_violations": G.fk_violations, "orphan_counts": G.orphan_counts,
+         "missing_key_counts": G.missing_key_counts, "control_totals": G.control_totals,
+         "vw_executive_kpis": V.executive_kpis, "vw_discount_impact": V.discount_impact,
+         "vw_product_pareto": V.product_pareto, "vw_segment_profitability": V.segment_profitability}
+QUERIES.update({f"{name}_dirty": _on_dirty(fn) for name, fn in DIRTY.items()})
 QUERIES.update({
     # measures
     "core_measures": _on_star(X.core_measures),
@@ -177,6 +230,7 @@ QUERIES.update({
     "rank_products": _on_star(X.rank_products),
     "rank_regions": _on_star(X.rank_regions),
     "loss_concentration": _on_star(X.loss_concentration),
+    "loss_by_subcategory": _on_star(X.loss_by_subcategory),
     "efficiency_measures": _on_star(X.efficiency_measures),
     "discounted_vs_full_price": _on_star(X.discounted_vs_full_price),
     # report pages
@@ -191,9 +245,9 @@ QUERIES.update({
     "high_sales_low_profit": _on_star(X.high_sales_low_profit),
     "margin_by_discount": _on_star(X.margin_by_discount),
     # identifier conflicts
-    "product_id_attribute_counts": lambda s, d: Q.attribute_counts(_conflict_lines(s, d)),
-    "product_id_conflicts": lambda s, d: Q.conflicts(_conflict_lines(s, d)),
-    "top_conflict_ids": lambda s, d: Q.top_conflict_ids(_conflict_lines(s, d)),
+    "product_id_attribute_counts": lambda s, d: Q.attribute_counts(_variants(s, d)),
+    "product_id_conflicts": lambda s, d: Q.conflict_list(_variants(s, d)),
+    "top_conflict_ids": lambda s, d: Q.top_conflict_ids(_variants(s, d)),
     "conflict_details": _details,
     "conflict_summary": lambda s, d: Q.conflict_summary(_details(s, d)),
     "conflict_summary_from_csv": _summary_via_csv,

@@ -28,7 +28,7 @@ LOCAL_CONF = {
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  driver_memory: str = "16g", app_name: str = "ledgerline",
+                  driver_memory: str = "6g", app_name: str = "ledgerline",
                   extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app_name)
     conf = dict(LOCAL_CONF)
@@ -53,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder every "
             "executor can reach (HDFS, object store) before building a star")
@@ -67,19 +67,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side file helpers can use a path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df, label: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and
     return a reader of it.
@@ -91,4 +78,4 @@ def materialize(df, label: str):
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

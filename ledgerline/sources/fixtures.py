@@ -69,21 +69,19 @@ def order_lines(spark: SparkSession, sf_dir: str, product_id: str = "p_partkey")
 
 
 def conflict_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines keyed by a product code that several parts share."""
-    return order_lines(spark, sf_dir, product_id=PRODUCT_CODE)
-
-
-# Raw header names of the text fixture, as a spreadsheet export
-# would write them, with two extra awkward names.
-RAW_HEADERS = (
-    ("order_id", "Order ID"), ("order_date", "Order Date"), ("ship_date", "Ship Date"),
-    ("ship_mode", "Ship Mode"), ("customer_id", "Customer ID"), ("customer_name", "Customer Name"),
-    ("segment", "Segment"), ("country", "Country"), ("region", "Region"),
-    ("postal_code", "Postal Code"), ("product_id", "Product ID"), ("product_name", "Product Name"),
-    ("category", "Category"), ("sub_category", "Sub-Category"), ("sales", "Sales"),
-    ("quantity", "Quantity"), ("discount", "Discount"), ("profit", "Profit"),
-    ("a__b", "a - b"), ("margin__pct", "Margin %"),
-)
+    """Raw text lines keyed by a product code that several parts share: dates
+    month first with every 50th 'bad', names of second lines padded by a
+    space, every 40th sales value 'abc', and a second copy of every line
+    whose order key ends in 0."""
+    expr = dict(ORDER_LINE_COLUMNS)
+    lines = joined_tables(spark, sf_dir).selectExpr(
+        "l_orderkey", f"{PRODUCT_CODE} AS `Product ID`",
+        "CASE WHEN l_linenumber = 2 THEN p_name || ' ' ELSE p_name END AS `Product Name`",
+        "p_type AS `Category`", "p_brand AS `Sub-Category`",
+        "CASE WHEN o_orderkey % 50 = 0 THEN 'bad' ELSE date_format(o_orderdate, 'MM/dd/yyyy') END AS `Order Date`",
+        f"CASE WHEN (l_orderkey + l_linenumber) % 40 = 0 THEN 'abc' ELSE CAST({expr['sales']} AS STRING) END AS `Sales`",
+        f"CAST({expr['profit']} AS STRING) AS `Profit`")
+    return lines.unionByName(lines.where("l_orderkey % 10 = 0")).drop("l_orderkey")
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,13 +89,16 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Dirt, all deterministic: day-first date text with every 50th order date
     'bad'; product names padded with a tab and spaces; every 40th sales value
-    'abc'; every third quantity with a '.7' fraction; all-NULL rows (one per
+    'abc', every seventh with five decimals; every eleventh discount just over
+    a band's end; every third quantity with a '.7' fraction; all-NULL rows (one per
     100 orders); a second copy of every line whose order key ends in 0."""
     j = joined_tables(spark, sf_dir)
     s = lambda c: F.col(c).cast("string")
     day_first = lambda c: F.date_format(F.col(c), "dd-MM-yyyy")
-    sales = F.expr("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)")
     line = F.col("l_orderkey") + F.col("l_linenumber")
+    price = F.expr("CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)")
+    sales = F.when(line % 7 == 0, F.concat(price, F.lit("049"))).otherwise(price)
+    rate = F.expr("CAST(CAST(CAST(l_discount AS DECIMAL(4,2))*6 AS DECIMAL(4,2)) AS STRING)")
     cols = {
         "Order ID": s("o_orderkey"),
         "Order Date": F.when(F.col("o_orderkey") % 50 == 0, F.lit("bad")).otherwise(day_first("o_orderdate")),
@@ -117,7 +118,7 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Quantity": F.when(F.col("l_linenumber") % 3 == 0,
                            F.concat(F.expr("CAST(CAST(l_quantity AS BIGINT) AS STRING)"), F.lit(".7")))
                      .otherwise(F.expr("CAST(CAST(l_quantity AS BIGINT) AS STRING)")),
-        "Discount": F.expr("CAST(CAST(CAST(l_discount AS DECIMAL(4,2))*6 AS DECIMAL(4,2)) AS STRING)"),
+        "Discount": F.when(line % 11 == 0, F.lit("0.100004")).otherwise(rate),
         "Profit": F.expr("CAST(" + dict(ORDER_LINE_COLUMNS)["profit"] + " AS STRING)"),
         "a - b": s("l_linenumber"),
         "Margin %": F.expr("CAST(CAST(l_tax AS DECIMAL(4,2)) AS STRING)"),

@@ -31,6 +31,3 @@ def write_csv(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("header", True).option("quote", '"')
      .option("escape", '"').option("dateFormat", "yyyy-MM-dd").csv(path))
 
-
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
