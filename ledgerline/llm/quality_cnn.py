@@ -186,7 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on at most ``per_class`` rows of either label, those of smallest
     id hash among the rows not held out. Of a text over ``train_bytes`` long,
     evenly spread pieces of that total length are learned from. Rows with a
-    NULL id or label, and labels without a document, are not used."""
+    NULL id or label, and labels without a document, are not used; of rows
+    that share an id the least text is."""
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
         .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~is_held_out("id", modulus, remainder))
     counts = dict(known.groupBy("y").count().collect())
@@ -205,9 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return pa.array([of(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t")) \
-        .join(F.broadcast(sample), "id").select("id", "y", spread("t").alias("t")).collect()
-    rows.sort(key=lambda r: (r.id, r.y, bytes(r.t)))
-    rows = rows[:2 * per_class]
+        .join(F.broadcast(sample), "id").select("id", F.struct("y", spread("t").alias("t")).alias("r")) \
+        .groupBy("id").agg(F.min("r").alias("r")).orderBy("id").select("r.*").collect()  # at most twice per_class
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
     return train([bytes(r.t) for r in rows], [r.y for r in rows], share if counts else 0.5, **shape)
 

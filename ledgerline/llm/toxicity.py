@@ -80,10 +80,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   other_rows: int = 12_000, entries: int = 400, groups: int = 12, least: int = 4,
                   support: float = 0.005, odds: float = 3.0) -> tuple[Lexicon, float, DataFrame]:
     """The lexicon, the share of label 1 and the rows learned from: ``(id,
-    y)``, at most ``toxic_rows`` rows
-    of label 1 and ``other_rows`` of label 0, those of smallest id hash among
-    the rows not held out. Terms are counted on Spark, each text once however
-    often it is repeated; of the terms in ``least`` toxic texts and a share
+    y)``, at most ``toxic_rows`` of label 1 and ``other_rows`` of label 0,
+    those of smallest id hash among the rows not held out. Terms are counted
+    on Spark, each text once however often it is repeated; of the terms in ``least`` toxic texts and a share
     ``support`` of them or more, with smoothed log odds over ``odds``, the
     ``entries`` of largest odds stay.
     Words and word starts are dealt to voters of like support."""
@@ -275,8 +274,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     from at most ``sample`` documents, those of smallest feature hash."""
     lexicon, share, known = learn_lexicon(docs, labels, id_col, text_col, label_col, modulus, remainder, **lexicon_limits)
     features = materialize(text_features(docs, lexicon, id_col, text_col, modulus, remainder), "toxicity-features")
-    known = features.join(F.broadcast(known), features.doc_id == known.id).orderBy("doc_id", "features") \
-        .select("features", "y").collect()
+    known = features.join(F.broadcast(known), features.doc_id == known.id).groupBy("id") \
+        .agg(F.min(F.struct("features", "y")).alias("r")).orderBy("id").select("r.*").collect()  # one row per labelled id
     voted = votes_of([r[0] for r in known], lexicon.voter_of, lexicon.voters)
     model = fit_label_model(*vote_moments(features, lexicon), share, voted, np.array([r[1] for r in known], float))
     some = [r[0] for r in features.filter("not held_out").orderBy(F.xxhash64("doc_id"), "doc_id", "features")
