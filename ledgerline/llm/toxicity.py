@@ -65,11 +65,7 @@ class Lexicon:
         return int(self.voter_of.max()) + 1 if len(self.voter_of) else 0
 
     def features(self, text: str) -> list[int]:
-        seen = set(words(text))
-        get = self.terms.get
-        found = {i for w in seen if (i := get(w.decode("utf-8", "replace"))) is not None} if self.terms else set()
-        starts = {w.decode("utf-8", "replace")[:START] for w in seen if len(w) > START}
-        found |= {i for s in starts if (i := get("^" + s)) is not None}
+        found = {self.terms[t] for t in terms_of(words(text)) & self.terms.keys()}
         base = len(self.voter_of) - len(_PATTERNS)
         found |= {base + k for k, p in enumerate(_PATTERNS) if p.search(text)}
         return sorted(found)
@@ -82,9 +78,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """The lexicon, the share of label 1 and the rows learned from: ``(id,
     y)``, at most ``toxic_rows`` of label 1 and ``other_rows`` of label 0,
     those of smallest id hash among the rows not held out. Terms are counted
-    on Spark, each text once however often it is repeated; of the terms in ``least`` toxic texts and a share
-    ``support`` of them or more, with smoothed log odds over ``odds``, the
-    ``entries`` of largest odds stay.
+    on Spark, each text once however often it is repeated; of the terms in
+    ``least`` toxic texts and a share ``support`` of them or more, with
+    smoothed log odds over ``odds``, the ``entries`` of largest odds stay.
     Words and word starts are dealt to voters of like support."""
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
         .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~is_held_out("id", modulus, remainder))
