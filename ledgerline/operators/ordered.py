@@ -95,22 +95,28 @@ def running_sum(df: DataFrame, order: Sequence[Column | str], value: str, name:
             .drop("_part", "_local", "_offset"))
 
 
-def rank_by(df: DataFrame, value: str, name: str, descending: bool = True,
-            dense: bool = False, partitions: int | None = None) -> DataFrame:
-    """SQL RANK (or DENSE_RANK) over the whole frame by one value column.
+def rank_table(df: DataFrame, value: str, name: str, descending: bool = True,
+               dense: bool = False, partitions: int | None = None) -> DataFrame:
+    """``(value, name)``: SQL RANK (or DENSE_RANK) of each distinct value.
 
-    rank(v) = 1 + number of rows ordered strictly before v. Computed on the
-    distinct values (one row per value with its multiplicity), then joined
-    back on the value, null-safe. NULL values rank last, as in Spark."""
+    rank(v) = 1 + number of rows ordered strictly before v, from the distinct
+    values with their multiplicities. NULL values rank last, as in Spark."""
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
     key = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     if dense:
-        ranked = ordered_index(counts, [key], "_r", partitions).select(value, F.col("_r").alias(name))
-    else:
-        run = running_sum(counts, [key], "_c", "_cum", partitions)
-        ranked = run.select(value, (F.col("_cum") - F.col("_c") + F.lit(1)).alias(name))
+        return ordered_index(counts, [key], "_r", partitions).select(value, F.col("_r").alias(name))
+    run = running_sum(counts, [key], "_c", "_cum", partitions)
+    return run.select(value, (F.col("_cum") - F.col("_c") + F.lit(1)).alias(name))
+
+
+def rank_by(df: DataFrame, value: str, name: str, descending: bool = True,
+            dense: bool = False, partitions: int | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """The rows with their RANK (or DENSE_RANK) by one value column, joined
+    back on the value, null-safe. Ranks are counted over ``counted`` (default
+    the rows themselves): pass a written table when ranking several times."""
+    ranked = rank_table(df if counted is None else counted, value, name, descending, dense, partitions)
     ranked = ranked.withColumnRenamed(value, "_v")
-    return (df.join(ranked, df[value].eqNullSafe(ranked["_v"]), "inner").drop("_v"))
+    return df.join(ranked, df[value].eqNullSafe(ranked["_v"]), "inner").drop("_v")
 
 
 def middle_values(df: DataFrame, value: str, tie_break: Sequence[str],
@@ -127,4 +133,5 @@ def middle_values(df: DataFrame, value: str, tie_break: Sequence[str],
     lo_pos = F.floor((n + F.lit(1)) / 2)
     hi_pos = F.floor((n + F.lit(2)) / 2)
     mid = idx.where((F.col("_i") == lo_pos) | (F.col("_i") == hi_pos))
-    return mid.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    # One row, written as both bounds are read from it.
+    return materialize(mid.agg(F.min(value).alias("lo"), F.max(value).alias("hi")), "middle")

@@ -118,8 +118,7 @@ def portfolio_segment_counts(star: Star) -> DataFrame:
 
 def _ranked(per: DataFrame) -> DataFrame:
     per = materialize(per, "ranked-input")
-    per = rank_by(per, "total_sales", "sales_rank")
-    return rank_by(per, "total_profit", "profit_rank")
+    return rank_by(rank_by(per, "total_sales", "sales_rank"), "total_profit", "profit_rank", counted=per)
 
 
 def rank_customers(star: Star) -> DataFrame:

@@ -22,7 +22,7 @@ from .plans import quality as G
 from .plans import star as K
 from .plans import views as V
 from .plans.star import Star
-from .session import ensure_checkpoint_dir, materialize, scratch_path
+from .session import ensure_checkpoint_dir, materialize, release_scratch, scratch_path
 from .sources import fixtures as FX
 from .sources.tables import read_csv, read_table, write_csv
 
@@ -46,6 +46,16 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         return _STARS[key]
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop the stars and variants kept for this session, for when their
+    input has changed, and delete all written intermediates."""
+    with _LOCK:
+        for kept in (_STARS, _VARIANTS):
+            for key in [k for k in kept if k[0] == spark.sparkContext.applicationId]:
+                del kept[key]
+        release_scratch(spark)
+
+
 def _on_star(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(star(spark, sf_dir))

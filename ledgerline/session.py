@@ -79,3 +79,12 @@ def materialize(df, label: str):
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what :func:`materialize` and :func:`scratch_path` have made for
+    this session, on whatever store the checkpoint folder is. Call it when no
+    DataFrame read from there is needed any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -111,3 +111,13 @@ def test_views_without_some_dimensions(spark):
     assert star.fact.sparkSession.sql("SELECT * FROM vw_sales_detail").count() == star.fact.count()
     assert {r.relationship for r in G.fk_violations(star).collect()} == {"order_date", "ship_date", "customer", "product"}
     assert G.table_row_counts(star).count() == 4 and G.view_row_counts(star).count() == 10
+
+
+def test_forgotten_star_is_built_anew(spark):
+    from ledgerline.session import materialize
+    path = materialize(spark.range(3), "gone").inputFiles()[0]
+    old = R.star(spark, SF)
+    R.forget(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+    assert R.star(spark, SF) is not old and R.star(spark, SF).fact.count() > 0
