@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +14,7 @@ from pyspark.sql.types import BinaryType
 
 from ..session import materialize
 
-__all__ = ["table", "text_or_empty", "long_id", "text_mark", "ascii_lower_bytes", "free_names", "rows_kept",
+__all__ = ["table", "text_or_empty", "long_id", "text_mark", "ascii_lower_bytes", "free_names", "give_back", "rows_kept",
            "connected_components", "materialize", "NO_ID"]
 
 #: Stands for a NULL id inside the operators, so that groupings stay total.
@@ -59,9 +63,23 @@ def rows_kept(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
     return some.select(*docs.columns)
 
 
+def give_back(encoders: bool = True) -> None:
+    """Return what a worker does not use to the system, as workers live on
+    while their executor needs the memory for other steps: buffers that Arrow
+    has freed, and the remembered words of an earlier step's tokenizers."""
+    tokens = sys.modules.get(f"{__package__}.tokens")
+    if encoders and tokens is not None and tokens._loaded:
+        tokens._loaded.clear()
+        gc.collect()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+    pa.default_memory_pool().release_unused()
+
+
 @F.arrow_udf(BinaryType())
 def ascii_lower_bytes(text: pa.Array) -> pa.Array:
     """UTF-8 bytes of a text with A-Z, and only those, lower-cased."""
+    give_back()
     return pc.ascii_lower(text).cast(pa.binary())
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, free_names, long_id, materialize, text_mark, text_or_empty
+from .common import NO_ID, free_names, give_back, long_id, materialize, text_mark, text_or_empty
 from .tokens import in_small_batches
 
 K1, B = 1.2, 0.75
@@ -260,6 +260,7 @@ def _search(docs: DataFrame, packed, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = pickle.loads(packed.value)
         for batch in batches:
+            give_back()
             out, ids = [], batch.column(0).to_pylist()
             for some in in_small_batches(zip(ids, batch.column(1)), lambda r: len(r[1].as_buffer()), 500_000):
                 found = searcher.hits([t.as_py() for _, t in some])

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import give_back, text_or_empty
 from .tokens import encoder, in_small_batches
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -126,6 +126,7 @@ def read_items(batches: Iterator[pa.RecordBatch], tokenizer: str, prompts: bool)
     each row ``(doc_id, prompt, text)``."""
     code, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
     for batch in batches:
+        give_back(encoders=False)
         doc_ids, texts = batch.column(0).to_pylist(), batch.column(2)
         sizes = pc.binary_length(texts).to_pylist()
         for some in in_small_batches(range(len(doc_ids)), sizes.__getitem__):

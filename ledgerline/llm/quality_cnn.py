@@ -17,10 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import give_back, text_or_empty
+from .tokens import in_small_batches
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 BLOCK = 1 << 16
@@ -98,6 +100,16 @@ def score(net: Network, tables: list[np.ndarray], docs: list[bytes]) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(mean + net.shift, -60, 60)))
 
 
+def score_texts(net: Network, tables: list[np.ndarray], texts: pa.Array, limit: int = 1_000_000) -> np.ndarray:
+    """Scores of a batch, some texts of about ``limit`` bytes at a time."""
+    give_back()
+    sizes, out = pc.binary_length(texts).to_pylist(), [np.zeros(0)]
+    for some in in_small_batches(range(len(sizes)), sizes.__getitem__, limit):
+        part = texts.slice(some[0], len(some)).cast(pa.binary()).to_pylist()
+        out.append(score(net, tables, part))
+    return np.concatenate(out)
+
+
 def train(texts: list[bytes], labels: list[int], share: float, filters: int = 24, width: int = 6, hidden: int = 16,
           epochs: int = 10, batch: int = 48, rate: float = 0.01, half: int = 512, seed: int = 7) -> Network:
     """Fit by Adam on the logistic loss. ``share`` is the true share of label
@@ -226,17 +238,7 @@ def quality_scores(docs: DataFrame, net: Network, id_col: str = "doc_id", text_c
         net = shared.value
         tables = net.pair_tables()
         for batch in batches:
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            out, some, size = [], [], 0
-            for t in texts:
-                some.append(t)
-                size += len(t)
-                if size >= 1_000_000:
-                    out.append(score(net, tables, some))
-                    some, size = [], 0
-            if some:
-                out.append(score(net, tables, some))
-            found = np.concatenate(out) if out else np.zeros(0)
+            found = score_texts(net, tables, batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found), pa.array((found >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])
@@ -253,16 +255,7 @@ def keep_good(docs: DataFrame, net: Network, text_col: str = "text", threshold:
     def scored(texts: pa.Array) -> pa.Array:
         net = shared.value
         tables = _tables(net)
-        docs = texts.cast(pa.binary()).to_pylist()
-        out, at = [], 0
-        while at < len(docs):
-            size, end = 0, at
-            while end < len(docs) and size < 1_000_000:
-                size += len(docs[end])
-                end += 1
-            out.append(score(net, tables, docs[at:end]))
-            at = end
-        return pa.array(np.concatenate(out) if out else np.zeros(0))
+        return pa.array(score_texts(net, tables, texts))
 
     return docs.filter(scored(text_or_empty(text_col)) >= threshold)
 

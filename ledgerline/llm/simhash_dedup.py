@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import NO_ID, connected_components, long_id, materialize, rows_kept, text_mark, text_or_empty
+from .common import NO_ID, connected_components, give_back, long_id, materialize, rows_kept, text_mark, text_or_empty
 
 BITS = 64
 
@@ -61,6 +61,7 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 def fingerprint_column(text: Column, shingle: int, seed: int = 42) -> Column:
     @F.arrow_udf(LongType())
     def of(texts: pa.Array) -> pa.Array:
+        give_back()
         return pa.array([_signed(fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle, seed))
                          for t in texts.cast(pa.binary())], pa.int64())
     return of(text)

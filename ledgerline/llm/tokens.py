@@ -39,7 +39,7 @@ class Encoder:
     32-bit integers. ``remember`` bounds the words kept: when half as many
     are known, those of the half before that were not met again are dropped."""
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    def __init__(self, path: str, remember: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library, self.remember = Tokenizer.from_file(path), remember
@@ -64,7 +64,9 @@ class Encoder:
         if len(self.known) >= self.remember // 2:
             self.older, self.known = self.known, {}
         new = []
-        for w in words - self.known.keys():
+        for w in words:
+            if w in self.known:
+                continue
             ids = self.older.get(w)
             if ids is None:
                 new.append(w)
