@@ -63,10 +63,14 @@ def rows_kept(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
     return some.select(*docs.columns)
 
 
-def give_back(encoders: bool = True) -> None:
+def give_back(encoders: bool = True, tables: bool = True) -> None:
     """Return what a worker does not use to the system, as workers live on
     while their executor needs the memory for other steps: buffers that Arrow
-    has freed, and the remembered words of an earlier step's tokenizers."""
+    has freed, and the remembered words of tokenizers and tables of networks that
+    an earlier step has left."""
+    quality = sys.modules.get(f"{__package__}.quality_cnn")
+    if tables and quality is not None:
+        quality._last.clear()
     tokens = sys.modules.get(f"{__package__}.tokens")
     if encoders and tokens is not None and tokens._loaded:
         tokens._loaded.clear()

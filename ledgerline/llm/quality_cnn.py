@@ -102,7 +102,7 @@ def score(net: Network, tables: list[np.ndarray], docs: list[bytes]) -> np.ndarr
 
 def score_texts(net: Network, tables: list[np.ndarray], texts: pa.Array, limit: int = 1_000_000) -> np.ndarray:
     """Scores of a batch, some texts of about ``limit`` bytes at a time."""
-    give_back()
+    give_back(tables=False)
     sizes, out = pc.binary_length(texts).to_pylist(), [np.zeros(0)]
     for some in in_small_batches(range(len(sizes)), sizes.__getitem__, limit):
         part = texts.slice(some[0], len(some)).cast(pa.binary()).to_pylist()
