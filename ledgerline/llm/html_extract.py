@@ -9,7 +9,8 @@ all pages belong to the template; varying slots may hold content. The slot
 that gathers most of the varying text, an article or main element if there
 is one on the way, is the content root of the host.
 
-Every page takes part in its host's template: tasks fold the pages they
+Every distinct page takes part in its host's template, once: each of n equal
+pages of a host weighs 1/n, so all counts are counts of different pages. Tasks fold the pages they
 read into partial templates, partial templates merge by host and salt, then
 by host, each time folding a sorted stream, so no host gathers anywhere.
 Elements that by name, class or role are menus, headers, footers, sidebars,
@@ -180,11 +181,11 @@ class Slot:
         self.kids: list[Slot] = []
         self.mark, self.root = None, False
 
-    def note(self, text: int) -> None:
+    def note(self, text: int, weight: float = 1) -> None:
         """Count a page's text. Only texts of the slot's first pages are
         counted: what stands on nearly all pages is among them."""
         if text in self.texts or self.pages <= self.FIRST and len(self.texts) < self.REMEMBER:
-            self.texts[text] = self.texts.get(text, 0) + 1
+            self.texts[text] = self.texts.get(text, 0) + weight
 
     def settle(self) -> None:
         """Once there are enough pages, forget texts on less than half."""
@@ -195,7 +196,9 @@ class Slot:
         return 1 + sum(k.size() for k in self.kids)
 
     def constant(self, text: int, pages: int, share: float) -> bool:
-        return self.pages >= pages and self.texts.get(text, 0) >= share * self.pages
+        """Whether the text stands on that share of enough different pages;
+        sums of weights may miss whole numbers by their rounding."""
+        return self.pages > pages - 1e-6 and self.texts.get(text, 0) > share * self.pages - 1e-6
 
 
 def key_of(text: str) -> int:
@@ -248,15 +251,15 @@ def aligned(kids: list[Slot], parts: list[tuple], memo: dict) -> list[tuple[Slot
     return out[::-1]
 
 
-def fold_page(slot: Slot, nodes: list[Node], page: object) -> None:
+def fold_page(slot: Slot, nodes: list[Node], page: object, weight: float = 1) -> None:
     """Add a page's run of like nodes to the slot aligned with them."""
     if slot.mark is not page:
-        slot.mark, slot.pages = page, slot.pages + 1
-        if slot.pages == slot.SETTLED:
+        slot.mark, slot.pages = page, slot.pages + weight
+        if slot.pages - weight < slot.SETTLED <= slot.pages:
             slot.settle()
     for text in {t for n in nodes if (t := n.own_text())}:
-        slot.note(key_of(text))
-        slot.chars += len(text)
+        slot.note(key_of(text), weight)
+        slot.chars += len(text) * weight
     for node in nodes:
         parts, kids = node.runs(), []
         if not parts:
@@ -265,7 +268,7 @@ def fold_page(slot: Slot, nodes: list[Node], page: object) -> None:
             if kid is None:
                 kid = Slot(part[0], part[1][0].tag)
             if part is not None:
-                fold_page(kid, part[1], page)
+                fold_page(kid, part[1], page, weight)
             kids.append(kid)
         slot.kids = kids
 
@@ -366,19 +369,31 @@ def host_of(url: str) -> Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
 
 
+def weighed(pages: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
+    """``(host, html, weight)``: each of n equal pages of a host weighs 1/n.
+    Only the digests of pages with copies are joined back, by broadcast up to
+    ``broadcast_rows`` of them."""
+    digests = pages.select("host", "html", F.md5("html").alias("digest"))
+    copies = materialize(digests.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "page-copies")
+    if copies.count() <= broadcast_rows:
+        copies = F.broadcast(copies)
+    return digests.join(copies, ["host", "digest"], "left") \
+        .select("host", "html", (F.lit(1.0) / F.coalesce("n", F.lit(1))).alias("weight"))
+
+
 def host_templates(pages: DataFrame, limit: int, hosts: int = 2000, salts: int = 32) -> DataFrame:
     """``(host, template)``, one row per host; ``pages`` has host and html. A
     task holds at most ``hosts`` partial templates at a time."""
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Slot] = {}
         for batch in batches:
-            for host, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for host, text, weight in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 if host not in held and len(held) >= hosts:
                     yield _templates(held)
                     held = {}
                 top = held.setdefault(host, Slot("#root", "#root"))
-                fold_page(top, [parse(text.as_py())], object())
-                if top.pages % 64 == 0:
+                fold_page(top, [parse(text.as_py())], object(), weight)
+                if top.pages // 64 > (top.pages - weight) // 64:
                     prune(top, limit)
         if held:
             yield _templates(held)
@@ -398,7 +413,7 @@ def host_templates(pages: DataFrame, limit: int, hosts: int = 2000, salts: int =
             yield _templates({now: top})
 
     schema = "host string, template binary"
-    parts = materialize(pages.select("host", "html").mapInArrow(fold, schema), "page-templates")
+    parts = materialize(weighed(pages).mapInArrow(fold, schema), "page-templates")
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("template"), F.lit(salts)))
     some = salted.repartition("host", "salt").sortWithinPartitions("host", "salt") \
         .select("host", "template").mapInArrow(join, schema)
@@ -425,7 +440,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     n_chars (its code points).
 
     Text counts as template if it stands in the same slot on ``share`` of at
-    least ``least_pages`` pages. NULL html counts as empty; pages with a NULL
+    least ``least_pages`` different pages; copies of a page count once. NULL html counts as empty; pages with a NULL
     or odd URL share one template; NULL ids stay; repeated rows are extracted
     alike; other columns are ignored; empty in, empty out. Templates go to
     the tasks by broadcast up to ``broadcast_bytes`` in all, else by a join

@@ -67,3 +67,17 @@ def test_merged_templates_count_like_one(spark):
     def shape(s):
         return s.label, s.pages, s.chars, [shape(k) for k in s.kids]
     assert shape(merge(fold(range(10)), fold(range(10, 25)))) == shape(fold(range(25)))
+
+
+@pytest.mark.parametrize("others", [1, 100])
+def test_copies_of_a_page_count_once(spark, others):
+    copy = site(1000, "A story told on twenty equal pages</p><ul><li>Only here</ul><p>Its end")
+    rows = [(i, f"http://a.example/{i}", copy) for i in range(20)]
+    rows += [(100 + i, f"http://a.example/o{i}", site(i, f"Other body {i}")) for i in range(others)]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    for i in range(20):
+        assert {"Only here", "Start 1000", "A story told on twenty equal pages"} <= set(got[i].split("\n"))
+    assert all({f"Start {i}", f"Other body {i}"} <= set(got[100 + i].split("\n")) for i in range(others))
+    if others >= 10:
+        assert all("Read our terms here" not in t and "Welcome to our site" not in t for t in got.values())
