@@ -1,7 +1,9 @@
 """License scan: an exact set-similarity join with DataFrame functions only.
 
-Every line of every document, cut into overlapping windows where it is very
-long, is a block; a template is a set of words. A block meets a template
+The words of every document, in overlapping windows that run across line
+feeds, are its blocks, so a notice is met however its lines are broken; so
+are lines too long for a window to hold all their parts together. A template
+is a set of words. A block meets a template
 when it holds at least ``containment`` of the template's words. Words are
 put in one global order, from rarest to most frequent over all documents,
 and a pair is looked at only if
@@ -92,19 +94,37 @@ def template_table(spark: SparkSession, templates) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*rows)).alias("t")).select("t.*")
 
 
-def blocks_of(docs: DataFrame, vocabulary: list[str], width: int) -> DataFrame:
-    """``(id, h, block)``: the vocabulary words of each block, each once."""
+def windows_of(docs: DataFrame, vocabulary: list[str], width: int) -> DataFrame:
+    """``(id, h, block)``: the vocabulary words of each window of the whole
+    text, each once. Windows are two runs of ``width // 2`` words in a row;
+    any run of so many words lies whole in one of them."""
+    step = width // 2
+    runs = F.transform(F.sequence(F.lit(0), F.expr(f"(size(w) - 1) div {step}").cast("int")), lambda i: F.array_distinct(
+        F.filter(F.slice("w", i * step + 1, step), lambda x: x.isin(vocabulary))))
+    pairs = F.when(F.size("runs") == 1, F.col("runs")).otherwise(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.size("runs") - 1, F.lit(1))),
+                    lambda i: F.array_union(F.element_at("runs", i), F.element_at("runs", i + 1))))
+    return docs.select("id", "h", F.split(F.lower("text"), f"{NOT_WORD}+").alias("w")) \
+        .select("id", "h", runs.alias("runs")).select("id", "h", F.explode(pairs).alias("block"))
+
+
+def blocks_of(docs: DataFrame, vocabulary: list[str], width: int, least: int = 0) -> DataFrame:
+    """``(id, h, block)``: the vocabulary words of each line, or of each window
+    of a very long one, each once; lines of up to ``least`` words left out."""
     words = F.split(F.lower("line"), f"{NOT_WORD}+")
     step = width // 2
     windows = F.when(F.size("w") <= width, F.array("w")).otherwise(
         F.transform(F.sequence(F.lit(0), F.expr(f"(size(w) - {step} - 1) div {step}").cast("int")),
                     lambda i: F.slice("w", i * step + 1, width)))
-    return docs.select("id", "h", F.explode(F.split("text", "\n")).alias("line")).select("id", "h", words.alias("w")) \
+    lines = docs.select("id", "h", F.explode(F.split("text", "\n")).alias("line"))
+    if least:
+        lines = lines.filter(F.length("line") >= 2 * least)
+    return lines.select("id", "h", words.alias("w")).filter(F.size("w") > least) \
         .select("id", "h", F.explode(windows).alias("w")) \
         .select("id", "h", F.array_distinct(F.filter("w", lambda x: x.isin(vocabulary))).alias("block"))
 
 
-def template_hits(docs: DataFrame, templates, containment: float, width: int) -> DataFrame:
+def template_hits(docs: DataFrame, templates, containment: float, width: int, across_lines: bool) -> DataFrame:
     """``(id, h, labels, best)`` of the documents with a block that meets a
     template, with the labels its blocks meet best; ``docs`` has id, h, text."""
     spark = docs.sparkSession
@@ -123,7 +143,12 @@ def template_hits(docs: DataFrame, templates, containment: float, width: int) ->
     prefix = ranked.select("label", "words", "needed", F.posexplode("words").alias("at", "word")) \
         .filter(F.col("at") <= F.size("words") - F.col("needed"))
     fewest = min(math.ceil(len(s) * containment - 1e-9) for s in sets.values())
-    blocks = blocks_of(docs, vocabulary, width).filter(F.size("block") >= fewest) \
+    if across_lines:  # lines of up to a step of words lie whole in a window
+        broken = docs.filter(F.col("text").contains("\n"))
+        blocks = windows_of(docs, vocabulary, width).unionAll(blocks_of(broken, vocabulary, width, width // 2))
+    else:
+        blocks = blocks_of(docs, vocabulary, width)
+    blocks = blocks.filter(F.size("block") >= fewest) \
         .select("id", "h", F.array_sort(F.transform("block", lambda w: rank[w])).alias("block"))
     found = blocks.select("id", "h", "block", F.posexplode("block").alias("place", "word")) \
         .join(F.broadcast(prefix), "word") \
@@ -138,7 +163,8 @@ def template_hits(docs: DataFrame, templates, containment: float, width: int) ->
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
-                  templates=TEMPLATES, containment: float = 0.8, width: int = 512) -> DataFrame:
+                  templates=TEMPLATES, containment: float = 0.8, width: int = 512,
+                  across_lines: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word,
     last_word, base_labels, labels, score.
 
@@ -147,12 +173,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the templates met to the base ones; both are distinct, sorted and joined
     by commas, empty if there are none; of the templates that one block
     meets, those met best give the label. score is 1 with a place of a phrase,
-    else the largest share of a template met, else 0. NULL text counts as
+    else the largest share of a template met, else 0. With ``across_lines``,
+    as registered, blocks run over the whole text, line feeds being white
+    space; else each line is by itself. NULL text counts as
     empty, NULL ids stay, repeated rows are scanned alike; other columns are
     ignored; empty in, empty out."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), long_id(id_col).alias("id"),
                        text_or_empty(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
-    hits = materialize(template_hits(rows, templates, containment, width), "license-hits")
+    hits = materialize(template_hits(rows, templates, containment, width, across_lines), "license-hits")
     some = reduce(Column.__or__, (may_hold("text", p) for p, _ in phrases))
     split = F.split("text", f"{NOT_WORD}+")
     count = F.size("w") - (F.element_at("w", 1) == "").cast("int") \

@@ -1,7 +1,9 @@
 import re
+import textwrap
 
 import pytest
 
+from ledgerline.llm import queries
 from ledgerline.llm.license_scan import PHRASES, TEMPLATES, _word_set, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -60,3 +62,35 @@ def test_empty_and_wrong_templates(docs):
     assert scan_licenses(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         scan_licenses(docs, templates=(("none", "!"),))
+
+
+def labels_of(spark, monkeypatch, texts):
+    """Labels that the registered query gives the texts."""
+    monkeypatch.setattr(queries, "table", lambda *_: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return [set(r.labels.split(",")) for r in queries.op5_license_scan(spark, "").orderBy("doc_id").collect()]
+
+
+def whole_text_shares(text, width=512):
+    """Largest share of each template over the windows of the whole text and
+    its lines, by force."""
+    best = dict.fromkeys(dict(TEMPLATES), 0.0)
+    for part in [text, *text.split("\n")]:
+        w = re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", part.lower())
+        for i in range(0, max(1, len(w) - width // 2), width // 2):
+            block = set(w[i:i + width])
+            for a, b in TEMPLATES:
+                best[a] = max(best[a], len(set(_word_set(b)) & block) / len(_word_set(b)))
+    return best
+
+
+def test_notices_over_several_lines(spark, monkeypatch):
+    wrapped = [("x " * 250 + "\n" if i % 2 else "Code\n\n") + "\n".join(" * " + x for x in textwrap.wrap(t, 40)) + "\n\nint x = 1;\n"
+               for i, (_, t) in enumerate(TEMPLATES)]
+    words = dict(TEMPLATES)["isc-terms"].split()
+    spread = "x\n" * 300 + " ".join(words[:13]) + " y" * 400 + " " + " ".join(words[13:])
+    got = labels_of(spark, monkeypatch, [*wrapped, spread, "a\nb", ""])
+    for (label, _), labels in zip(TEMPLATES, got):
+        assert label in labels
+    assert whole_text_shares(spread)["isc-terms"] == 1 and "isc-terms" in got[-3] and got[-2:] == [{""}, {""}]
+    for text, labels in zip([*wrapped, spread], got):
+        assert {a for a in labels if a in dict(TEMPLATES)} <= {a for a, s in whole_text_shares(text).items() if s >= 0.8 - 1e-9}
