@@ -126,7 +126,12 @@ def blocks_of(docs: DataFrame, vocabulary: list[str], width: int, least: int = 0
 
 def template_hits(docs: DataFrame, templates, containment: float, width: int, across_lines: bool) -> DataFrame:
     """``(id, h, labels, best)`` of the documents with a block that meets a
-    template, with the labels its blocks meet best; ``docs`` has id, h, text."""
+    template, with the labels its blocks meet; ``docs`` has id, h, text.
+
+    A block gives the labels of all templates it meets, but for those that it
+    gives no word of its own: where all words it shares with a template it
+    also shares with one it meets better, as CC BY-NC but for "nc" is also
+    most of CC BY-SA, only the better one counts."""
     spark = docs.sparkSession
     sets = {label: _word_set(text) for label, text in templates}
     vocabulary = sorted(set().union(*sets.values()))
@@ -154,12 +159,14 @@ def template_hits(docs: DataFrame, templates, containment: float, width: int, ac
         .join(F.broadcast(prefix), "word") \
         .filter(F.size("block") >= F.col("needed")) \
         .filter(F.least(F.size("words") - F.col("at"), F.size("block") - F.col("place")) >= F.col("needed")) \
-        .withColumn("overlap", F.size(F.array_intersect("block", "words"))).filter(F.col("overlap") >= F.col("needed"))
-    share = (F.col("overlap") / F.size("words")).alias("share")
-    met = found.select("id", "h", "block", "label", share).distinct()
-    best = met.groupBy("id", "h", "block").agg(F.max("share").alias("best"), F.collect_set(F.struct("label", "share")).alias("met"))
-    return best.select("id", "h", "best", F.explode("met").alias("m")).filter("m.share = best").groupBy("id", "h").agg(
-        F.collect_set("m.label").alias("labels"), F.max("best").alias("best"))
+        .withColumn("shared", F.array_intersect("block", "words")).filter(F.size("shared") >= F.col("needed"))
+    share = (F.size("shared") / F.size("words")).alias("share")
+    met = found.select("id", "h", "block", F.struct("label", share, "shared").alias("m")).groupBy("id", "h", "block") \
+        .agg(F.collect_set("m").alias("met"))
+    own = F.filter("met", lambda m: ~F.exists("met", lambda n: (n["share"] > m["share"]) & (
+        F.size(F.array_except(m["shared"], n["shared"])) == 0)))
+    return met.select("id", "h", F.explode(own).alias("m")).groupBy("id", "h").agg(
+        F.collect_set("m.label").alias("labels"), F.max("m.share").alias("best"))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
@@ -171,8 +178,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_base counts the places of all phrases; first_word and last_word are the
     smallest and largest, NULL if there is none. labels adds the labels of
     the templates met to the base ones; both are distinct, sorted and joined
-    by commas, empty if there are none; of the templates that one block
-    meets, those met best give the label. score is 1 with a place of a phrase,
+    by commas, empty if there are none; all templates that a block meets give
+    their label, but for those without a word of their own, see
+    :func:`template_hits`. score is 1 with a place of a phrase,
     else the largest share of a template met, else 0. With ``across_lines``,
     as registered, blocks run over the whole text, line feeds being white
     space; else each line is by itself. NULL text counts as

@@ -94,3 +94,13 @@ def test_notices_over_several_lines(spark, monkeypatch):
     assert whole_text_shares(spread)["isc-terms"] == 1 and "isc-terms" in got[-3] and got[-2:] == [{""}, {""}]
     for text, labels in zip([*wrapped, spread], got):
         assert {a for a in labels if a in dict(TEMPLATES)} <= {a for a, s in whole_text_shares(text).items() if s >= 0.8 - 1e-9}
+
+
+def test_all_templates_of_a_block_count(spark, monkeypatch):
+    t = dict(TEMPLATES)
+    part = {a: " ".join(t[a].split()[:-1]) for a in ("bsd-terms", "apache-terms", "isc-terms")}
+    got = labels_of(spark, monkeypatch, [t["mit-terms"] + " " + part["bsd-terms"], t["mit-terms"] + " " + part["apache-terms"] +
+                                         " " + part["isc-terms"], t["cc-by-nc"], t["cc-by-nc"] + " " + t["cc-by-sa"],
+                                         t["gpl-terms"], t["agpl-notice"]])
+    assert got == [{"mit-terms", "bsd-terms"}, {"mit-terms", "apache-terms", "isc-terms"}, {"cc-by-nc"}, {"cc-by-nc", "cc-by-sa"},
+                   {"gpl", "gpl-terms"}, {"agpl-notice", "gpl", "gpl-terms"}]
