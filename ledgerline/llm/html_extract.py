@@ -5,9 +5,10 @@ template: their trees are aligned by simple tree matching (equal labels, the
 largest order-keeping match of the children), runs of like siblings count as
 one repeated node, and each node notes in how many pages it occurs, how much
 text it holds and which texts recur. Nodes whose text is the same on nearly
-all pages belong to the template; varying slots may hold content. The slot
-that gathers most of the varying text, an article or main element if there
-is one on the way, is the content root of the host.
+all pages belong to the template; all varying slots are content. The slot that
+gathers most of the varying text, an article or main element if there is one
+on the way, is the core of the host's content; outside of it half as many
+pages tell that a text is template.
 
 Every distinct page takes part in its host's template, once: each of n equal
 pages of a host weighs 1/n, so all counts are counts of different pages. Tasks fold the pages they
@@ -298,7 +299,7 @@ def prune(slot: Slot, limit: int) -> Slot:
 
 
 def find_root(top: Slot, pages: int, share: float) -> Slot:
-    """Marks and returns the content root: from the top down, the child with
+    """Marks and returns the core of the content: from the top down, the child with
     nearly all varying text, as far as an article or main element."""
     def varying(s: Slot) -> float:
         fixed = sum((text >> 32) * n for text, n in s.texts.items() if s.constant(text, pages, share))
@@ -316,15 +317,14 @@ def find_root(top: Slot, pages: int, share: float) -> Slot:
 
 
 def main_text(page: Node, top: Slot | None, pages: int = 10, share: float = 0.95) -> str:
-    """Text of the content root's blocks, without template text."""
+    """Text of all blocks, without template text. Where a host has too few
+    pages for a template, its article and main elements and top headings, if
+    there are any, stand for the content."""
     slots: dict[int, Slot] = {}
-    roots: list[Node] = []
 
     def place(slot: Slot, nodes: list[Node]) -> None:
         for n in nodes:
             slots[id(n)] = slot
-            if slot.root:
-                roots.append(n)
             if (parts := n.runs()) and slot.kids:
                 for kid, part in aligned(slot.kids, parts, {}):
                     if kid is not None and part is not None:
@@ -332,34 +332,37 @@ def main_text(page: Node, top: Slot | None, pages: int = 10, share: float = 0.95
 
     if top is not None:
         place(top, [page])
-    roots = roots or _semantic_roots(page) or [page]
+    roots = [page] if top is not None and top.pages > pages - 1e-6 else _semantic_roots(page)
+    if all(r.tag == "h1" for r in roots):
+        roots = [page]
     blocks: list[str] = []
 
-    def walk(node: Node) -> None:
+    def walk(node: Node, core: bool) -> None:
         buffer: list[str] = []
 
         def flush() -> None:
             text = clean("".join(buffer))
             buffer.clear()
-            if text and not (slot and slot.constant(key_of(text), pages, share)):
+            if text and not (slot and slot.constant(key_of(text), pages if core else pages // 2, share)):
                 blocks.append(text)
         slot = slots.get(id(node))
+        core = core or slot is not None and slot.root
         for c in node.children:
             if type(c) is str:
                 buffer.append(c)
             else:
                 flush()
                 if not c.dropped:
-                    walk(c)
+                    walk(c, core)
         flush()
 
     for r in roots:
-        walk(r)
+        walk(r, False)
     return "\n".join(blocks)
 
 
 def _semantic_roots(node: Node) -> list[Node]:
-    found = [] if node.dropped else [node] if node.tag in ("article", "main") else \
+    found = [] if node.dropped else [node] if node.tag in ("article", "main", "h1") else \
         [r for c in node.children if type(c) is not str for r in _semantic_roots(c)]
     return found
 

@@ -81,3 +81,26 @@ def test_copies_of_a_page_count_once(spark, others):
     assert all({f"Start {i}", f"Other body {i}"} <= set(got[100 + i].split("\n")) for i in range(others))
     if others >= 10:
         assert all("Read our terms here" not in t and "Welcome to our site" not in t for t in got.values())
+
+
+def texts_of(spark, pages):
+    """Sets of blocks that op3 finds in the pages of one host, in order."""
+    rows = [(i, f"http://a.example/{i}", p) for i, p in enumerate(pages)]
+    got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()
+    return [r.text.split("\n") for r in got]
+
+
+def test_varying_text_beside_the_core_stays(spark):
+    body = "A long body of words that goes on and on "
+    plain = [f"<body><div class=top><p>Our site</p></div><div class=head><p>Title {i}</p></div><div class=story><p>{body * 9}{i}</p></div>"
+             f"<div class=more><p>Appended section {i}</p></div><div class=end><p>All done</p></div></body>" for i in range(30)]
+    heads = [f"<body><div class=top><p>Our site</p></div><main><h1>Head {i}</h1><article><p>{body * 9}{i}</p></article></main></body>"
+             for i in range(30)]
+    rare = [f"<body><div class=top><p>Our site</p></div><div class=story></div><div class=late><p>Elsewhere {i}</p></div></body>"
+            for i in range(3)]
+    for i, got in enumerate(texts_of(spark, plain + rare)[:30]):
+        assert got == [f"Title {i}", (body * 9).strip() + f" {i}", f"Appended section {i}"]
+    for i, got in enumerate(texts_of(spark, plain + rare)[30:]):
+        assert got == [f"Elsewhere {i}"]
+    for i, got in enumerate(texts_of(spark, heads)):
+        assert got == [f"Head {i}", (body * 9).strip() + f" {i}"]
