@@ -14,8 +14,10 @@ Every distinct page takes part in its host's template, once: each of n equal
 pages of a host weighs 1/n, so all counts are counts of different pages. Tasks fold the pages they
 read into partial templates, partial templates merge by host and salt, then
 by host, each time folding a sorted stream, so no host gathers anywhere.
-Elements that by name, class or role are menus, headers, footers, sidebars,
-notices, adverts, forms, scripts or comments never count as content.
+Elements that by name are menus, headers, footers, asides, forms or scripts
+never count as content. Nor do those that a class, id or role marks as menu,
+advert, notice, comments and so on by a whole token, unless an article or main
+element or half of the host's varying text is inside.
 """
 
 from __future__ import annotations
@@ -57,13 +59,18 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*>)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _MARK_WORD = re.compile(r"[a-z]+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
-    __slots__ = ("tag", "label", "dropped", "children")
+    """dropped: never content; marked: no content by a class, id or role,
+    unless an article or main element inside (``holds``) or the host's
+    template says otherwise."""
 
-    def __init__(self, tag: str, label: str, dropped: bool):
-        self.tag, self.label, self.dropped, self.children = tag, label, dropped, []
+    __slots__ = ("tag", "label", "dropped", "marked", "holds", "children")
+
+    def __init__(self, tag: str, label: str, dropped: bool, marked: bool = False):
+        self.tag, self.label, self.dropped, self.marked, self.holds, self.children = tag, label, dropped, marked, False, []
 
     def own_text(self) -> str:
         return clean("".join(c for c in self.children if type(c) is str))
@@ -85,21 +92,28 @@ def clean(raw: str) -> str:
     return " ".join((html.unescape(raw) if "&" in raw else raw).split())
 
 
-def _label(tag: str, attributes: str, in_article: bool) -> tuple[str, bool]:
-    dropped = tag in DROPPED or tag == "header" and not in_article
+def _is_mark(token: str) -> bool:
+    """Whether a class, id or role is made of nothing but words in MARKS."""
+    words = _MARK_WORD.findall(token)
+    return bool(words) and MARKS.issuperset(words)
+
+
+def _label(tag: str, attributes: str, in_article: bool) -> tuple[str, bool, bool]:
+    """Label of an element, whether it is dropped, and whether it is marked."""
+    dropped, marked = tag in DROPPED or tag == "header" and not in_article, False
     if len(attributes) < 4:
-        return tag, dropped
+        return tag, dropped, marked
     names = []
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             dropped = dropped or name == "hidden"
         elif name != "aria-hidden":
-            found = _MARK_WORD.findall(value)
-            names += found
-            if tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(found):
-                dropped = True
-    return (tag + "." + ".".join(names) if names else tag), dropped
+            names += _MARK_WORD.findall(value)
+            if tag not in ("html", "body", "main") and not (name == "id" and tag in HEADINGS):
+                marked = marked or any(map(_is_mark, value.split()))
+    label = tag + "." + ".".join(names) if names else tag
+    return label + "!" if marked else label, dropped, marked
 
 
 def parse(text: str) -> Node:
@@ -137,8 +151,8 @@ def parse(text: str) -> Node:
             if tag == "br" or tag == "img":
                 stack[-1].children.append(" ")
             elif len(attributes) > 3:
-                label, dropped = _label(tag, attributes, articles > 0)
-                if dropped:
+                _, dropped, marked = _label(tag, attributes, articles > 0)
+                if dropped or marked:
                     at = _after(text, at, tag)
             continue
         closing = {"p"} if tag in CLOSES_P else CLOSES.get(tag)
@@ -149,8 +163,13 @@ def parse(text: str) -> Node:
                     break
                 if stack[depth].tag in FENCE:
                     break
-        label, dropped = _label(tag, attributes, articles > 0)
-        node = Node(tag, label, dropped)
+        label, dropped, marked = _label(tag, attributes, articles > 0)
+        if tag in ("article", "main"):
+            if not (marked or dropped or any(n.dropped for n in stack)):
+                for n in stack:
+                    n.holds = True
+            marked = False
+        node = Node(tag, label, dropped, marked)
         stack[-1].children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(text, at) if tag != "plaintext" else None
@@ -173,7 +192,7 @@ def _after(text: str, at: int, tag: str) -> int:
 class Slot:
     """A node of a template."""
 
-    __slots__ = ("label", "tag", "pages", "chars", "texts", "kids", "mark", "root")
+    __slots__ = ("label", "tag", "pages", "chars", "texts", "kids", "mark", "root", "keep")
     FIRST, REMEMBER, SETTLED = 3, 64, 16
 
     def __init__(self, label: str, tag: str):
@@ -181,6 +200,7 @@ class Slot:
         self.texts: dict[int, int] = {}
         self.kids: list[Slot] = []
         self.mark, self.root = None, False
+        self.keep = not label.endswith("!") or tag == "article"
 
     def note(self, text: int, weight: float = 1) -> None:
         """Count a page's text. Only texts of the slot's first pages are
@@ -300,10 +320,24 @@ def prune(slot: Slot, limit: int) -> Slot:
 
 def find_root(top: Slot, pages: int, share: float) -> Slot:
     """Marks and returns the core of the content: from the top down, the child with
-    nearly all varying text, as far as an article or main element."""
+    nearly all varying text, as far as an article or main element. A marked
+    slot with half of the host's varying text is no menu or the like and kept."""
     def varying(s: Slot) -> float:
+        if not s.keep:
+            return 0
         fixed = sum((text >> 32) * n for text, n in s.texts.items() if s.constant(text, pages, share))
         return s.chars - fixed + sum(map(varying, s.kids))
+
+    def marked(s: Slot) -> list[Slot]:
+        return [s] * (not s.keep) + [m for k in s.kids for m in marked(k)]
+
+    some = marked(top)
+    for m in some:
+        m.keep = True
+    total = varying(top)
+    hold = [total > 0 and varying(m) >= 0.5 * total for m in some]
+    for m, keep in zip(some, hold):
+        m.keep = keep
     at = top
     while at.tag not in ("article", "main") and at.kids:
         total, kid = varying(at), max(at.kids, key=varying)
@@ -352,7 +386,7 @@ def main_text(page: Node, top: Slot | None, pages: int = 10, share: float = 0.95
                 buffer.append(c)
             else:
                 flush()
-                if not c.dropped:
+                if not c.dropped and (not c.marked or c.holds or id(c) in slots and slots[id(c)].keep):
                     walk(c, core)
         flush()
 
@@ -362,7 +396,7 @@ def main_text(page: Node, top: Slot | None, pages: int = 10, share: float = 0.95
 
 
 def _semantic_roots(node: Node) -> list[Node]:
-    found = [] if node.dropped else [node] if node.tag in ("article", "main", "h1") else \
+    found = [] if node.dropped or node.marked and not node.holds else [node] if node.tag in ("article", "main", "h1") else \
         [r for c in node.children if type(c) is not str for r in _semantic_roots(c)]
     return found
 

@@ -104,3 +104,17 @@ def test_varying_text_beside_the_core_stays(spark):
         assert got == [f"Elsewhere {i}"]
     for i, got in enumerate(texts_of(spark, heads)):
         assert got == [f"Head {i}", (body * 9).strip() + f" {i}"]
+
+
+def test_names_of_wrappers_and_headings(spark):
+    body = "A long body of words that goes on and on "
+
+    def page(i, wrapper, inner="div"):
+        return (f"<body><div class=top><p>Our site</p></div><div {wrapper}><{inner} class=story><h2 id=social-media-and-search>Part {i}</h2>"
+                f"<p>{body * 9}{i}</p></{inner}></div><div class=menu><p>Menu {i}</p></div><div class='box ad'><p>Buy {i}</p></div></body>")
+    for wrapper in ("class='layout has-sidebar'", "id=page class=header-fixed", "class=search", "role=form"):
+        for inner in ("div", "article"):
+            for i, got in enumerate(texts_of(spark, [page(i, wrapper, inner) for i in range(20)])):
+                assert got == [f"Part {i}", (body * 9).strip() + f" {i}"]
+    assert text_of(page(1, "class=search", "article")) == f"Part 1\n{body * 9}1"
+    assert text_of("<section class=comments><article class=comment>no</article></section><p>yes</p><p class=share>no</p>") == "yes"
