@@ -3,8 +3,11 @@
 A page becomes a tree of its block elements. The pages of a host share a
 template: their trees are aligned by simple tree matching (equal labels, the
 largest order-keeping match of the children), runs of like siblings count as
-one repeated node, and each node notes in how many pages it occurs, how much
-text it holds and which texts recur. Nodes whose text is the same on nearly
+one repeated node, and each node notes in how many pages it occurs and how
+much text it holds. Then all pages are aligned with the template of their host
+and the texts of each slot counted by a groupBy; a node that the template has
+no slot for counts by the labels of its path, so no text goes uncounted,
+however long the page or rare the layout. Nodes whose text is the same on nearly
 all pages belong to the template; all varying slots are content. The slot that
 gathers most of the varying text, an article or main element if there is one
 on the way, is the core of the host's content; outside of it half as many
@@ -26,7 +29,10 @@ import html
 import pickle
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -72,8 +78,8 @@ class Node:
     def __init__(self, tag: str, label: str, dropped: bool, marked: bool = False):
         self.tag, self.label, self.dropped, self.marked, self.holds, self.children = tag, label, dropped, marked, False, []
 
-    def own_text(self) -> str:
-        return clean("".join(c for c in self.children if type(c) is str))
+    def own_chars(self) -> int:
+        return len(clean("".join(c for c in self.children if type(c) is str)))
 
     def runs(self) -> list[tuple[str, list["Node"]]]:
         """Element children, like siblings in a row together."""
@@ -109,7 +115,8 @@ def _label(tag: str, attributes: str, in_article: bool) -> tuple[str, bool, bool
         if name == "hidden" or name == "aria-hidden" and value == "true":
             dropped = dropped or name == "hidden"
         elif name != "aria-hidden":
-            names += _MARK_WORD.findall(value)
+            if name != "id":
+                names += _MARK_WORD.findall(value)
             if tag not in ("html", "body", "main") and not (name == "id" and tag in HEADINGS):
                 marked = marked or any(map(_is_mark, value.split()))
     label = tag + "." + ".".join(names) if names else tag
@@ -192,35 +199,25 @@ def _after(text: str, at: int, tag: str) -> int:
 class Slot:
     """A node of a template."""
 
-    __slots__ = ("label", "tag", "pages", "chars", "texts", "kids", "mark", "root", "keep")
-    FIRST, REMEMBER, SETTLED = 3, 64, 16
+    __slots__ = ("label", "tag", "pages", "chars", "kids", "mark", "root", "keep", "no")
 
     def __init__(self, label: str, tag: str):
         self.label, self.tag, self.pages, self.chars = label, tag, 0, 0
-        self.texts: dict[int, int] = {}
         self.kids: list[Slot] = []
-        self.mark, self.root = None, False
+        self.mark, self.root, self.no = None, False, 0
         self.keep = not label.endswith("!") or tag == "article"
 
-    def note(self, text: int, weight: float = 1) -> None:
-        """Count a page's text. Only texts of the slot's first pages are
-        counted: what stands on nearly all pages is among them."""
-        if text in self.texts or self.pages <= self.FIRST and len(self.texts) < self.REMEMBER:
-            self.texts[text] = self.texts.get(text, 0) + weight
-
-    def settle(self) -> None:
-        """Once there are enough pages, forget texts on less than half."""
-        if self.pages >= self.SETTLED:
-            self.texts = {k: n for k, n in self.texts.items() if 2 * n >= self.pages}
+    def number(self, no: int = 0) -> int:
+        """Numbers the slots from the top down; the next number."""
+        self.no = no
+        no += 1
+        for k in self.kids:
+            no = k.number(no)
+        return no
 
     def size(self) -> int:
         return 1 + sum(k.size() for k in self.kids)
 
-    def constant(self, text: int, pages: int, share: float) -> bool:
-        """Whether the text stands on that share of enough different pages;
-        sums of weights may miss whole numbers by their rounding."""
-        return self.pages > pages - 1e-6 and self.texts.get(text, 0) > share * self.pages - 1e-6
-
 
 def key_of(text: str) -> int:
     """Checksum and, in the high bits, length of a text."""
@@ -276,11 +273,7 @@ def fold_page(slot: Slot, nodes: list[Node], page: object, weight: float = 1) ->
     """Add a page's run of like nodes to the slot aligned with them."""
     if slot.mark is not page:
         slot.mark, slot.pages = page, slot.pages + weight
-        if slot.pages - weight < slot.SETTLED <= slot.pages:
-            slot.settle()
-    for text in {t for n in nodes if (t := n.own_text())}:
-        slot.note(key_of(text), weight)
-        slot.chars += len(text) * weight
+    slot.chars += sum(n.own_chars() for n in nodes) * weight
     for node in nodes:
         parts, kids = node.runs(), []
         if not parts:
@@ -297,16 +290,13 @@ def fold_page(slot: Slot, nodes: list[Node], page: object, weight: float = 1) ->
 def merge(a: Slot, b: Slot) -> Slot:
     """Two templates of one host as one."""
     a.pages, a.chars, a.mark = a.pages + b.pages, a.chars + b.chars, None
-    for text, n in b.texts.items():
-        a.texts[text] = a.texts.get(text, 0) + n
-    a.settle()
     a.kids = [merge(k, p[1][0]) if k and p else k or p[1][0] for k, p in aligned(a.kids, _parts(b), {})]
     return a
 
 
 def prune(slot: Slot, limit: int) -> Slot:
-    """Drop the rarest slots of a template that has grown over ``limit``; a
-    slot on very few pages tells nothing about the others."""
+    """Drop the rarest slots of a template that has grown over ``limit``; their
+    nodes count by the labels of their paths."""
     least = 1
     while slot.size() > limit:
         least *= 2
@@ -318,15 +308,19 @@ def prune(slot: Slot, limit: int) -> Slot:
     return slot
 
 
-def find_root(top: Slot, pages: int, share: float) -> Slot:
+def find_root(top: Slot, fixed: list, pages: int) -> Slot:
     """Marks and returns the core of the content: from the top down, the child with
     nearly all varying text, as far as an article or main element. A marked
     slot with half of the host's varying text is no menu or the like and kept."""
+    same: dict[int, float] = {}
+    for place, text, n, on in fixed:
+        if on > pages - 1e-6:
+            same[place] = same.get(place, 0) + (text >> 32) * n
+
     def varying(s: Slot) -> float:
         if not s.keep:
             return 0
-        fixed = sum((text >> 32) * n for text, n in s.texts.items() if s.constant(text, pages, share))
-        return s.chars - fixed + sum(map(varying, s.kids))
+        return max(s.chars - same.get(s.no, 0), 0) + sum(map(varying, s.kids))
 
     def marked(s: Slot) -> list[Slot]:
         return [s] * (not s.keep) + [m for k in s.kids for m in marked(k)]
@@ -350,10 +344,14 @@ def find_root(top: Slot, pages: int, share: float) -> Slot:
     return at
 
 
-def main_text(page: Node, top: Slot | None, pages: int = 10, share: float = 0.95) -> str:
-    """Text of all blocks, without template text. Where a host has too few
-    pages for a template, its article and main elements and top headings, if
-    there are any, stand for the content."""
+@lru_cache(1 << 16)
+def _path(above: int, label: str) -> int:
+    """Number, under 0, of a place that no slot stands for."""
+    return -2 - (int.from_bytes(blake2b(f"{above} {label}".encode("utf-8", "replace"), digest_size=8).digest()) >> 2)
+
+
+def placed(page: Node, top: Slot | None) -> dict[int, Slot]:
+    """The slots of a page's nodes, by id of the node."""
     slots: dict[int, Slot] = {}
 
     def place(slot: Slot, nodes: list[Node]) -> None:
@@ -366,33 +364,52 @@ def main_text(page: Node, top: Slot | None, pages: int = 10, share: float = 0.95
 
     if top is not None:
         place(top, [page])
-    roots = [page] if top is not None and top.pages > pages - 1e-6 else _semantic_roots(page)
-    if all(r.tag == "h1" for r in roots):
-        roots = [page]
-    blocks: list[str] = []
+    return slots
+
+
+def blocks_in(roots: list[Node], slots: dict[int, Slot], every: bool = False) -> tuple[list[tuple[int, bool, str]], set[int]]:
+    """Place of each block of text, whether it is inside the core, and its
+    text; and all places there are. ``every`` also goes into marked nodes."""
+    blocks: list[tuple[int, bool, str]] = []
+    places: set[int] = set()
 
-    def walk(node: Node, core: bool) -> None:
+    def walk(node: Node, core: bool, place: int) -> None:
         buffer: list[str] = []
 
         def flush() -> None:
             text = clean("".join(buffer))
             buffer.clear()
-            if text and not (slot and slot.constant(key_of(text), pages if core else pages // 2, share)):
-                blocks.append(text)
+            if text:
+                blocks.append((place, core, text))
         slot = slots.get(id(node))
+        place = _path(place, node.label) if slot is None else slot.no
         core = core or slot is not None and slot.root
+        places.add(place)
         for c in node.children:
             if type(c) is str:
                 buffer.append(c)
             else:
                 flush()
-                if not c.dropped and (not c.marked or c.holds or id(c) in slots and slots[id(c)].keep):
-                    walk(c, core)
+                if not c.dropped and (every or not c.marked or c.holds or id(c) in slots and slots[id(c)].keep):
+                    walk(c, core, place)
         flush()
 
     for r in roots:
-        walk(r, False)
-    return "\n".join(blocks)
+        walk(r, False, -1)
+    return blocks, places
+
+
+def main_text(page: Node, top: Slot | None, fixed: dict[tuple[int, int], float] | None = None, pages: int = 10) -> str:
+    """Text of all blocks, without template text; ``fixed`` has, by place and
+    text, on how many pages the place is of which nearly all have the text.
+    Where a host has too few pages for a template, its article and main
+    elements and top headings, if there are any, stand for the content."""
+    roots = [page] if top is not None and top.pages > pages - 1e-6 else _semantic_roots(page)
+    if all(r.tag == "h1" for r in roots):
+        roots = [page]
+    blocks, _ = blocks_in(roots, placed(page, top))
+    return "\n".join(text for place, core, text in blocks
+                     if not fixed or fixed.get((place, key_of(text)), 0) < (pages if core else pages // 2) - 1e-6)
 
 
 def _semantic_roots(node: Node) -> list[Node]:
@@ -419,7 +436,7 @@ def weighed(pages: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
 
 
 def host_templates(pages: DataFrame, limit: int, hosts: int = 2000, salts: int = 32) -> DataFrame:
-    """``(host, template)``, one row per host; ``pages`` has host and html. A
+    """``(host, template)``, one row per host; ``pages`` is weighed. A
     task holds at most ``hosts`` partial templates at a time."""
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Slot] = {}
@@ -450,7 +467,7 @@ def host_templates(pages: DataFrame, limit: int, hosts: int = 2000, salts: int =
             yield _templates({now: top})
 
     schema = "host string, template binary"
-    parts = materialize(weighed(pages).mapInArrow(fold, schema), "page-templates")
+    parts = materialize(pages.mapInArrow(fold, schema), "page-templates")
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("template"), F.lit(salts)))
     some = salted.repartition("host", "salt").sortWithinPartitions("host", "salt") \
         .select("host", "template").mapInArrow(join, schema)
@@ -470,6 +487,79 @@ def _unmark(slot: Slot) -> None:
         _unmark(k)
 
 
+def _dealt(rows: DataFrame, templates: DataFrame, broadcast_bytes: int):
+    """The templates by broadcast, if they are small, else None, and the rows,
+    else joined with their host's template."""
+    n = [F.octet_length("template")] + [24 * F.coalesce(F.size("fixed"), F.lit(0)) for c in templates.columns if c == "fixed"]
+    total = templates.agg(F.sum(sum(n[1:], n[0]))).first()[0] or 0
+    if total > broadcast_bytes:
+        return None, rows.join(templates, "host").sortWithinPartitions("host")
+    held = {r[0]: (bytes(r[1]), [tuple(f) for f in r[2] or ()] if len(r) > 2 else []) for r in templates.collect()}
+    return rows.sparkSession.sparkContext.broadcast(held), rows
+
+
+def _opened(batch: pa.RecordBatch, row: int, column: int, tops: dict, known, pages: int) -> tuple[Slot, dict]:
+    """Template and fixed texts of a row's host, from the broadcast or, if
+    there is none, from ``column`` on."""
+    host = batch.column(0)[row].as_py()
+    if host not in tops:
+        if len(tops) >= 2000 or known is None:
+            tops.clear()
+        if known is not None:
+            blob, fixed = known.value[host]
+        else:
+            found = [c[row].as_py() for c in batch.columns[column:]]
+            blob, fixed = found[0], [tuple(f.values()) for f in found[1] or ()] if len(found) > 1 else []
+        top = pickle.loads(blob)
+        top.number()
+        find_root(top, fixed, pages)
+        tops[host] = top, {(place, text): on for place, text, _, on in fixed}
+    return tops[host]
+
+
+def fixed_texts(pages: DataFrame, templates: DataFrame, least: int, share: float, broadcast_bytes: int,
+                held: int = 200_000) -> DataFrame:
+    """``(host, fixed)``: by host, each place and text on ``share`` of at least
+    half of ``least`` pages that have the place, with both numbers of pages;
+    ``pages`` is weighed. All blocks of all pages are counted."""
+    known, rows = _dealt(pages, templates, broadcast_bytes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tops: dict[str, tuple] = {}
+        counts: Counter = Counter()
+        for batch in batches:
+            for i, (html, weight) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
+                top, _ = _opened(batch, i, 3, tops, known, least)
+                page, host = parse(html.as_py()), batch.column(0)[i].as_py()
+                blocks, places = blocks_in([page], placed(page, top), every=True)
+                for key in {(host, place, key_of(text)) for place, _, text in blocks}:
+                    counts[key] += weight
+                for place in places:
+                    counts[host, place, -1] += weight
+                if len(counts) >= held:
+                    yield _counted(counts)
+                    counts = Counter()
+        yield _counted(counts)
+
+    few = least // 2
+    columns = ["host", "html", "weight"] + ([] if known else ["template"])
+    sums = rows.select(*columns).mapInArrow(count, "host string, place long, text long, n double") \
+        .groupBy("host", "place", "text").agg(F.sum("n").alias("n")).filter(F.col("n") > share * few - 1e-6)
+    sums = materialize(sums, "text-counts")  # places under so many pages have no fixed text
+    on = sums.filter("text = -1").select("host", "place", F.col("n").alias("on"))
+    return sums.filter("text <> -1").join(on, ["host", "place"]) \
+        .filter((F.col("on") > few - 1e-6) & (F.col("n") > share * F.col("on") - 1e-6)) \
+        .groupBy("host").agg(F.collect_list(F.struct("place", "text", "n", "on")).alias("fixed"))
+
+
+def _counted(counts: Counter) -> pa.RecordBatch:
+    keys = list(counts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
+         pa.array([k[2] for k in keys], pa.int64()), pa.array(map(float, counts.values()), pa.float64())],
+        ["host", "place", "text", "n"])
+
+
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                       least_pages: int = 10, share: float = 0.95, limit: int = 1000,
                       broadcast_bytes: int = 32_000_000) -> DataFrame:
@@ -484,28 +574,22 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     on the host."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         text_or_empty(html_col).alias("html"), host_of(url_col).alias("host"))
-    templates = materialize(host_templates(rows, limit), "host-templates")
-    total = templates.agg(F.sum(F.octet_length("template"))).first()[0] or 0
-    small = total <= broadcast_bytes
-    known = {r.host: bytes(r.template) for r in templates.collect()} if small else {}
-    shared = pages.sparkSession.sparkContext.broadcast(known)
-    if not small:
-        rows = rows.join(templates, "host").sortWithinPartitions("host")
+    weights = weighed(rows)
+    templates = materialize(host_templates(weights, limit), "host-templates")
+    fixed = materialize(fixed_texts(weights, templates, least_pages, share, broadcast_bytes), "template-texts")
+    templates = templates.join(fixed, "host", "left")
+    known, rows = _dealt(rows, templates, broadcast_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tops: dict[str, Slot] = {}
+        tops: dict[str, tuple] = {}
         for batch in batches:
             texts = []
-            for i, (host, page) in enumerate(zip(batch.column(3).to_pylist(), batch.column(2))):
-                if host not in tops:
-                    if len(tops) >= 2000 or not small:
-                        tops.clear()
-                    tops[host] = pickle.loads(shared.value[host] if small else batch.column(4)[i].as_py())
-                    find_root(tops[host], least_pages, share)
-                texts.append(main_text(parse(page.as_py()), tops[host], least_pages, share))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
+            for i, page in enumerate(batch.column(1)):
+                top, same = _opened(batch, i, 4, tops, known, least_pages)
+                texts.append(main_text(parse(page.as_py()), top, same, least_pages))
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])
 
-    columns = ["page_id", "url", "html", "host"] + ([] if small else ["template"])
+    columns = ["host", "html", "page_id", "url"] + ([] if known else ["template", "fixed"])
     return rows.select(*columns).mapInArrow(run, SCHEMA)

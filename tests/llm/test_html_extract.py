@@ -118,3 +118,21 @@ def test_names_of_wrappers_and_headings(spark):
                 assert got == [f"Part {i}", (body * 9).strip() + f" {i}"]
     assert text_of(page(1, "class=search", "article")) == f"Part 1\n{body * 9}1"
     assert text_of("<section class=comments><article class=comment>no</article></section><p>yes</p><p class=share>no</p>") == "yes"
+
+
+def test_no_cap_hides_a_template_text(spark):
+    def long(i):
+        many = "".join(f"<p>Paragraph {i} {k}</p>" for k in range(100))
+        notice = "<p>Read our terms here</p>" if i > 1 else ""
+        return f"<body><div class=story id=post-{'abcdefghij'[i % 10]}>{many}{notice}</div></body>"
+    for i, got in enumerate(texts_of(spark, [long(i) for i in range(60)])):
+        assert got == [f"Paragraph {i} {k}" for k in range(100)]
+
+    def varied(i):
+        rare = "".join(f"<div class=r{'abcdefghijklmnopqrst'[i % 20]}{'abcdefghijklmnopqrst'[k]}><p>Rare {i % 20} {k}</p></div>" for k in range(20))
+        return f"<body>{rare}<div class=story><p>Story {i}</p></div></body>"
+    rows = [(i, f"http://a.example/{i}", varied(i)) for i in range(240)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7, "page_id")
+    for limit in (1000, 30):
+        for r in extract_main_text(pages, limit=limit).collect():
+            assert r.text == f"Story {r.page_id}"
