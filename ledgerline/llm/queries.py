@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chosen_path import similar_groups
 from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_groups
@@ -69,13 +70,17 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents"), width=2, threshold=80)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_pack, op2_decontaminate, op3_html_text, op4_warc, op5_license_scan, op6_quality, op7_toxicity,
-    op8_simhash_near_dedup, op9_exact_dedup, op10_token_files, op11_vector_codes, op13_filter_audit)}
+    op8_simhash_near_dedup, op9_exact_dedup, op10_token_files, op11_vector_codes, op12_minhash_near_dedup, op13_filter_audit)}
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -111,6 +116,20 @@ FROM r JOIN k USING (vec_id)"""
 
 ORACLE_SQL = {
     "op11_vector_codes": _vector_codes_sql(),
+    "op12_minhash_near_dedup": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ s AS MATERIALIZED (SELECT doc_id, CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w ELSE
+        list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM d),
+ g AS MATERIALIZED (SELECT doc_id, unnest(g) AS x FROM s),
+ c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM g a JOIN g b USING (x)
+       WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+ l AS MATERIALIZED (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+       WHERE 100 * n >= 80 * (len(x.g) + len(y.g) - n)),
+ e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+ r AS (SELECT doc_id, doc_id AS at FROM s UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.at)
+SELECT s.doc_id, CAST(any_value(len(s.g)) AS BIGINT) AS n_shingles, min(r.at) AS component_id, s.doc_id = min(r.at) AS kept
+FROM s JOIN r USING (doc_id) GROUP BY s.doc_id""",
     "op13_filter_audit": r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
