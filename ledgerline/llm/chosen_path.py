@@ -12,9 +12,10 @@ derived from its own signature, so a level needs no more than counts.
 Two things keep large groups of near copies cheap without losing a link:
 first every entry is compared with one representative of its deep nodes, and
 what that links is one component; a node whose entries are all in one component
-is done, and within small nodes just pairs of different components are
-compared. Pairs must pass the size bound and a sketch of the signature, then
-are confirmed on the full sets of the texts.
+is done, and within small nodes just entries of different components are
+compared, whose links leave as a spanning forest. Pairs must pass the size
+bound and a sketch of the signature; links are confirmed on the full sets of
+the texts.
 
 A pair exactly at 0.8 stays together to depth 3 of a tree with 0.58, to depth
 5 with 0.46; ten trees miss it with 0.0002 and 0.002, closer pairs less.
@@ -37,6 +38,7 @@ LEVELS = 4  # of a signature; each has a function and a second one
 SPARE = 16  # functions of the sketch beside those of the trees
 FIELDS = 32  # of two bits in a word of the sketch
 FIRST = 3  # depth at which nodes are first counted
+LARGEST, FEW = 1 << 22, 64  # shingles of a small node, and members that are few for any size
 
 
 def shingles(text: bytes, width: int = 2) -> set[bytes]:
@@ -118,17 +120,93 @@ def step(level: int, rate: float, trees_at: str = "tree") -> Column:
     return F.when(second, F.array(child(0), child(1))).otherwise(F.array(child(0)))
 
 
+def most_differing(fields: int, threshold: int) -> int:
+    """Of the sketch's fields, which differ with 3/4 (1 - J), the mean at the
+    threshold (in percent) and four deviations."""
+    p = 0.75 * (1 - threshold / 100)
+    return int(fields * p + 4 * (fields * p * (1 - p)) ** 0.5 + 1)
+
+
 def near(a: str, b: str, words: int, fields: int, threshold: int) -> Column:
-    """Whether sizes and sketches allow the threshold (in percent)."""
-    def get(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
-    least, most = F.least(get(a, "n"), get(b, "n")), F.greatest(get(a, "n"), get(b, "n"))
+    """Whether sizes and sketches of two structs allow the threshold."""
+    least, most = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
     odd = F.lit(0x5555555555555555)
     differ = reduce(Column.__add__, (F.bit_count((x.bitwiseOR(F.shiftrightunsigned(x, 1))).bitwiseAND(odd)) for x in (
-        get(a, f"s{k}").bitwiseXOR(get(b, f"s{k}")) for k in range(words))))
-    # Fields differ with 3/4 (1 - J): as many as the mean at the threshold and four deviations.
-    p = 0.75 * (1 - threshold / 100)
-    return (100 * least >= threshold * most) & (differ <= int(fields * p + 4 * (fields * p * (1 - p)) ** 0.5 + 1))
+        F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}")) for k in range(words))))
+    return (100 * least >= threshold * most) & (differ <= most_differing(fields, threshold))
+
+
+def nodes_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole nodes, from rows sorted by path: what a batch ends, then the last."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        new, path = pa.Table.from_batches([batch]), batch.column(0).to_numpy()
+        if held and held[-1]["path"][-1].as_py() != path[0]:
+            yield pa.concat_tables(held)
+            held = []
+        ends = np.flatnonzero(path[1:] != path[:-1])
+        if len(ends):
+            yield pa.concat_tables([*held, new.slice(0, int(ends[-1]) + 1)])
+            new, held = new.slice(int(ends[-1]) + 1), []
+        held.append(new)
+    if held:
+        yield pa.concat_tables(held)
+
+
+def columns_of(rows: pa.Table, words: int) -> tuple[np.ndarray, ...]:
+    return tuple(rows[c].to_numpy() for c in ("path", "node", "comp", "n", *(f"s{k}" for k in range(words))))
+
+
+def allowed(n: np.ndarray, sketches: list[np.ndarray], x: np.ndarray | int, y: np.ndarray, most: int, threshold: int) -> np.ndarray:
+    """Whether sizes and sketches allow that x and y meet the threshold."""
+    differ = np.zeros(len(y), np.int64)
+    for s in sketches:
+        bits = s[x] ^ s[y]
+        differ += np.bitwise_count((bits | (bits >> 1)) & np.int64(0x5555555555555555))
+    return (differ <= most) & (100 * np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]))
+
+
+def with_partners(rows: pa.Table, words: int, fields: int, threshold: int) -> pa.Table:
+    """Those members that have an allowed partner in another component of their node."""
+    path, _, comp, n, *sketches = columns_of(rows, words)
+    some, live, gap = np.zeros(len(path), bool), np.arange(len(path)), 0
+    while len(live):
+        gap += 1
+        live = live[:np.searchsorted(live, len(path) - gap)]
+        live = live[path[live] == path[live + gap]]
+        x = live[comp[live] != comp[live + gap]]
+        x = x[allowed(n, sketches, x, x + gap, most_differing(fields, threshold), threshold)]
+        some[x] = some[x + gap] = True
+    return rows.filter(pa.array(some))
+
+
+def node_links(rows: pa.Table, words: int, fields: int, threshold: int, width: int) -> Iterator[tuple[int, int]]:
+    """Of one node with the texts of its members: links that connect its
+    components as all links do. Each member outside the largest component is
+    compared with all others; what it meets becomes one component with it."""
+    _, node, comp, n, *sketches = columns_of(rows, words)
+    texts = rows["text"].cast(pa.large_binary())
+    hashes = [np.fromiter(map(xxhash.xxh3_64_intdigest, shingles(t.as_buffer().to_pybytes(), width)), np.uint64) for t in texts]
+    starts = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
+    tokens, place = np.unique(np.concatenate(hashes), return_inverse=True)
+    del hashes
+    label = np.unique(comp, return_inverse=True)[1]
+    for x in np.flatnonzero(label != np.bincount(label).argmax()):
+        others = np.flatnonzero(label != label[x])
+        others = others[allowed(n, sketches, x, others, most_differing(fields, threshold), threshold)]
+        if not len(others):
+            continue
+        mine = np.zeros(len(tokens), bool)
+        mine[place[starts[x]:starts[x + 1]]] = True
+        both = np.add.reduceat(mine[place], starts[:-1], dtype=np.int64)[others]
+        for y in others[100 * both >= threshold * (n[others] + n[x] - both)]:
+            if label[y] != label[x]:
+                grams = [shingles(texts[int(i)].as_buffer().to_pybytes(), width) for i in (x, y)]
+                if 100 * len(grams[0] & grams[1]) >= threshold * len(grams[0] | grams[1]):
+                    yield int(node[x]), int(node[y])
+                    label[label == label[y]] = label[x]
 
 
 class Join:
@@ -146,20 +224,21 @@ class Join:
         self.links: DataFrame | None = None
 
     def texts(self, nodes: DataFrame) -> DataFrame:
-        """``(node, text)`` of the nodes, written."""
+        """``(node, text)`` of the nodes, written; rows may repeat a head."""
         heads = self.entries.join(nodes, "node", "left_semi").select("node", F.col("head.id").alias("i"), F.col("head.mark").alias("m"))
         body = self.docs.select(long_id(self.id_col).alias("i"), text_mark(self.text_col).alias("m"),
                                 text_or_empty(self.text_col).alias("text"))
-        return materialize(body.join(heads, ["i", "m"]).select("node", "text"), "path-texts")
+        found = materialize(body.join(heads, ["i", "m"]).select("node", "text"), "path-texts")
+        if found.groupBy("node").count().filter("count > 1").limit(1).count():
+            found = materialize(found.dropDuplicates(["node"]), "path-texts")
+        return found
 
     def confirm(self, pairs: DataFrame) -> None:
         """Adds those of the pairs (a, b) that meet the threshold on their full sets."""
         pairs = materialize(pairs.distinct(), "path-pairs")
         if not pairs.limit(1).count():
             return
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        texts = self.texts(nodes).groupBy("node").agg(F.first("text").alias("text"))  # rows may be repeated
-        texts = materialize(texts, "path-text")
+        texts = self.texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a") \
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
         met = materialize(both.filter(similar(F.col("x"), F.col("y"), self.width, self.threshold)).select("a", "b"), "path-links")
@@ -203,27 +282,49 @@ class Join:
         rows = self.with_components(self.entries.select("node", "sign", *self.carry))
         now, level, found = self.descend(self.roots(rows), 0, FIRST, rate, *keep), FIRST, []
         while True:
-            mixed = now.groupBy("path").agg(F.count(F.lit(1)).alias("many"), F.min("comp").alias("u"), F.max("comp").alias("v")) \
-                .filter("many > 1 and u <> v").select("path", "many")
+            mixed = now.groupBy("path").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("size"), F.min("comp").alias("u"),
+                                            F.max("comp").alias("v")).filter("many > 1 and u <> v").select("path", "many", "size")
             members = materialize(now.join(mixed, "path"), "path-members")
-            found.append(materialize(self.exhaustive(members.filter(F.col("many") <= self.small)), "path-found"))
-            large = members.filter(F.col("many") > self.small).drop("many")
+            is_small = (F.col("many") <= self.small) & ((F.col("size") <= LARGEST) | (F.col("many") <= FEW))
+            found.append(materialize(self.exhaustive(members.filter(is_small)), "path-links"))
+            large = members.filter(~is_small).drop("many", "size")
             if not large.limit(1).count():
                 break
-            self.confirm(self.with_representatives(large, True))
-            signs = self.signs(large.select("node").distinct(), level // LEVELS)
-            large = self.with_components(large.drop("comp")).join(signs, "node")
+            if level == FIRST:  # once more, now within their nodes
+                self.confirm(self.with_representatives(large, True))
+                large = self.with_components(large.drop("comp"))
+            large = large.join(self.signs(large.select("node").distinct(), level // LEVELS), "node")
             now = materialize(self.descend(large, level, level + 1, rate, *keep), "path-level")
             level += 1
-        self.confirm(reduce(DataFrame.union, found))
+        self.links = reduce(DataFrame.union, found if self.links is None else [self.links, *found])
 
     def exhaustive(self, members: DataFrame) -> DataFrame:
-        """Pairs of a small node's members in different components."""
-        gathered = members.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("node", "comp", *self.carry))).alias("l"))
-        rest = F.transform("l", lambda x, i: F.struct(x.alias("x"), F.slice("l", i + 2, F.lit(self.small)).alias("ys")))
-        return gathered.select(F.explode(rest).alias("r")).select("r.x", F.explode("r.ys").alias("y")) \
-            .filter((F.col("x.comp") != F.col("y.comp")) & near("x", "y", self.words, self.fields, self.threshold)) \
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        """Links of small nodes: members that the sketches leave with a partner
+        get their texts, and each node is compared in one task."""
+        words, fields, threshold, width = self.words, self.fields, self.threshold, self.width
+        columns = ["path", "node", "comp", *self.carry]
+
+        def by_sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in nodes_of(batches):
+                yield from with_partners(rows, words, fields, threshold).to_batches()
+                give_back()
+
+        def by_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in nodes_of(batches):
+                path = rows["path"].to_numpy()
+                edges = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
+                found = [link for lo, hi in zip(edges, edges[1:])
+                         for link in node_links(rows.slice(lo, hi - lo), words, fields, threshold, width)]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
+                                                 ["a", "b"])
+                give_back()
+
+        some = materialize(members.select(*columns).repartition("path").sortWithinPartitions("path").mapInArrow(
+            by_sketch, members.select(*columns).schema), "path-partners")
+        if not some.limit(1).count():
+            return some.selectExpr("node AS a", "node AS b")
+        return some.join(self.texts(some.select("node").distinct()), "node").select(*columns, "text") \
+            .repartition("path").sortWithinPartitions("path").mapInArrow(by_text, "a long, b long")
 
     def signs(self, nodes: DataFrame, generation: int) -> DataFrame:
         """``(node, sign)``: the first signature is written, deeper levels sign anew."""
@@ -238,7 +339,7 @@ class Join:
                     grams = shingles(text.as_buffer().to_pybytes(), width)
                     signs.append(signature(np.array(list(map(xxhash.xxh3_64_intdigest, grams)), np.uint64), trees, generation).tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signs, pa.binary())], ["node", "sign"])
-        return self.texts(nodes).dropDuplicates(["node"]).mapInArrow(scan, "node long, sign binary")
+        return self.texts(nodes).mapInArrow(scan, "node long, sign binary")
 
     def named(self) -> DataFrame:
         """``(digest, head)``: head is the component's smallest (id, mark)."""
@@ -270,7 +371,7 @@ def similar(x: Column, y: Column, width: int, threshold: int) -> Column:
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2,
-                   threshold: int = 80, trees: int = 10, small: int = 64) -> DataFrame:
+                   threshold: int = 80, trees: int = 10, small: int = 4096) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the
     smallest id reachable over links) and kept (doc_id = component_id).
 
@@ -298,7 +399,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2,
-                 threshold: int = 80, trees: int = 10, small: int = 64) -> DataFrame:
+                 threshold: int = 80, trees: int = 10, small: int = 4096) -> DataFrame:
     """``docs`` with the row of smallest id of each component, columns as they
     were; any one of them if rows repeat it."""
     kept = _grouped(docs, id_col, text_col, width, threshold, trees, small) \
