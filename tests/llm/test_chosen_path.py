@@ -47,11 +47,10 @@ def corpus(seed, n=220):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("small", [64, 3])
-def test_all_components_against_all_pairs(spark, small):
-    docs = corpus(small)
+def test_all_components_against_all_pairs(spark):
+    docs = corpus(64)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert rows(similar_groups(df, small=small)) == brute(docs)
+    assert rows(similar_groups(df)) == brute(docs)
 
 
 def test_without_representatives_nothing_is_lost(spark, monkeypatch):
@@ -92,7 +91,9 @@ def test_large_group_of_near_copies_goes_below_the_first_signature(spark):
 
 
 def test_odd_rows(spark, odd_docs):
-    docs = odd_docs.selectExpr("*", "1 AS node", "2 AS path", "3 AS tree", "4 AS comp", "5 AS n", "'x' AS digest")
+    more = spark.createDataFrame([(21, "a"), (22, "A"), (23, "a b"), (24, "a b a b"), (25, " \t")], "doc_id long, text string")
+    docs = odd_docs.unionByName(more, allowMissingColumns=True) \
+        .selectExpr("*", "1 AS node", "2 AS path", "3 AS tree", "4 AS comp", "5 AS n", "'x' AS digest")
     assert rows(similar_groups(docs)) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
     kept = drop_similar(docs)
     assert kept.columns == docs.columns
@@ -101,13 +102,18 @@ def test_odd_rows(spark, odd_docs):
 
 
 def test_no_documents(spark, no_docs):
-    assert similar_groups(no_docs).collect() == [] and drop_similar(no_docs).collect() == []
+    assert similar_groups(no_docs).collect() == []
 
 
-def test_documents_without_words_link_with_nothing(spark):
-    docs = [(1, ""), (2, None), (3, " \t"), (4, "a"), (5, "A"), (6, "a b"), (7, "a b a b")]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert rows(similar_groups(df)) == brute(docs)
+def test_nodes_over_batches_and_links_of_a_node():
+    import pyarrow as pa
+    rows_ = [(1, 1), (1, 2), (2, 3), (2, 4), (2, 5), (3, 6)]
+    table = pa.table({"path": [p for p, _ in rows_], "node": [n for _, n in rows_]})
+    for size in (1, 2, 4, 9):
+        nodes = list(chosen_path.nodes_of(table.to_batches(max_chunksize=size)))
+        assert [x for t in nodes for x in t["node"].to_pylist()] == [1, 2, 3, 4, 5, 6]
+        paths = [set(t["path"].to_pylist()) for t in nodes]
+        assert all(not a & b for i, a in enumerate(paths) for b in paths[i + 1:])
 
 
 def test_sketch_and_signature_estimate_similarity():
@@ -121,7 +127,7 @@ def test_sketch_and_signature_estimate_similarity():
 
 
 def test_other_widths_and_thresholds(spark):
-    docs = corpus(5, 55)
+    docs = corpus(5, 33)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert rows(similar_groups(df, width=5, threshold=90)) == brute(docs, 5, 90)
     with pytest.raises(ValueError):
