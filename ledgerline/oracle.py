@@ -8,7 +8,7 @@ casts; nothing here runs on Spark.
 
 from __future__ import annotations
 
-from .sources.fixtures import ORDER_LINE_COLUMNS, ORDER_LINE_NAMES, PRODUCT_CODE
+from .sources.fixtures import FILE_ORDER, ORDER_LINE_COLUMNS, ORDER_LINE_NAMES, ORDER_NOTE_LINE, PRODUCT_CODE
 
 WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
 STRING_COLS = ("ship_mode", "customer_name", "segment", "country", "region",
@@ -136,6 +136,16 @@ shipped AS (
 
 STAR = star_ctes()
 
+
+def _file_order_star() -> str:
+    """The star of a file that holds the latest order and line first: equal
+    lines keep the first, rows are numbered as they stand."""
+    lines, clean = _lines_sql(), _clean_sql("lines")
+    first = clean.replace("SELECT DISTINCT", "SELECT").replace(" FROM lines", f", max(row({', '.join(FILE_ORDER)})) AS place FROM lines GROUP BY ALL")
+    return STAR.replace(lines, lines.replace("SELECT", f"SELECT {', '.join(FILE_ORDER)},", 1)).replace(clean, first) \
+        .replace(f"SELECT *, row_number() OVER (ORDER BY {ORDER_BY_ROW}) AS _row FROM clean",
+                 "SELECT * EXCLUDE (place), row_number() OVER (ORDER BY place DESC) AS _row FROM clean")
+
 BAND = """CASE WHEN f.discount = 0 THEN 'No Discount'
        WHEN f.discount > 0 AND f.discount <= 0.10 THEN '0-10%'
        WHEN f.discount > 0.10 AND f.discount <= 0.20 THEN '10-20%'
@@ -453,6 +463,8 @@ SELECT min(d) AS start_date, max(d) AS end_date, COUNT(DISTINCT d) AS distinct_d
   CAST(max(d) - min(d) + 1 AS BIGINT) AS calendar_days FROM dd"""
     for t in ("dim_date", "dim_customer", "dim_product", "dim_geography", "dim_ship_mode", "fact_sales"):
         s[t] = f"{STAR}\nSELECT * FROM {t}"
+        if t != "dim_date":
+            s[f"{t}_file_order"] = f"{_file_order_star()}\nSELECT * FROM {t}"
     return s
 
 
@@ -537,6 +549,16 @@ FROM raw"""
     c["discount_bands_from_text"] = f"""{RAW},
 cleaned AS (SELECT DISTINCT {full} FROM raw WHERE {not_empty})
 SELECT {BAND} AS discount_band, {_block()} FROM cleaned f GROUP BY 1"""
+    c["csv_multiline_roundtrip"] = "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang, nullif(source, '') AS source FROM documents"
+    notes = f"WITH notes AS (SELECT o_orderkey, o_orderpriority, {ORDER_NOTE_LINE} AS record FROM orders)"
+    c["csv_multiline_notes"] = f"""{notes}
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 11 = 5 THEN '5" ' ELSE '' END || o_orderpriority AS priority,
+  CASE WHEN o_orderkey % 7 = 3 THEN 'one, "two"' || chr(10) || 'three, ' || o_orderkey ELSE 'note' END AS note
+FROM notes WHERE o_orderkey % 50 NOT IN (1, 2)"""
+    c["csv_rejected_records"] = f"""{notes}
+SELECT CASE o_orderkey % 50 WHEN 1 THEN 'too few fields' ELSE 'too many fields' END AS reason, COUNT(*) AS records,
+  min(o_orderkey) AS first_order, CAST(sum(o_orderkey) AS BIGINT) AS order_sum
+FROM notes WHERE o_orderkey % 50 IN (1, 2) GROUP BY 1"""
     c["csv_roundtrip"] = f"WITH lines AS ({_lines_sql()}),\nclean AS ({_clean_sql('lines')})\nSELECT DISTINCT {', '.join(cols)} FROM clean"
     return c
 

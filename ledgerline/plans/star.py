@@ -2,10 +2,11 @@
 geography and ship-mode dimensions with surrogate keys (K1-K10).
 
 Spark has no row order, so "order of first appearance" needs an explicit
-order: ``row_order`` (by default every column of the cleaned lines, in
-column order, which is total because the lines are de-duplicated). The
-lines are numbered once (``_row``), written once, and every dimension and
-the fact are derived from that written copy.
+order: ``row_order``. For files read with positions it is file order; the
+default is every column of the cleaned lines, in column order, which is
+total because the lines are de-duplicated. The lines are numbered once
+(``_row``), written once, and all dimensions come from one aggregate over
+that written copy.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators.clean import existing
+from ..operators.clean import existing, first_rows
 from ..operators.lookup import lookup_key
 from ..operators.ordered import ordered_index
-from ..session import materialize
+from ..session import materialize, scratch_path
+from ..sources.csv_records import POSITION
 from ..sources.tables import write_csv
 
 # Natural columns of the dimensions, keys and measures of the fact.
@@ -102,49 +104,84 @@ def dim_date(lines: DataFrame) -> DataFrame:
         D.weekday_name(d).alias("weekday"))
 
 
-def _keyed(first: DataFrame, attrs: Sequence[str], key: str) -> DataFrame:
-    """Dense surrogate key 1..n by first appearance (K7)."""
-    return ordered_index(first, ["_first"], key).select(*attrs, key)
+def _dimensions(lines: DataFrame) -> dict[str, tuple[list[str], list[str]]]:
+    """Of each dimension that the lines allow: the columns that make its key
+    (K3-K6) and those that come from the first line."""
+    found: dict[str, tuple[list[str], list[str]]] = {}
+    customer = existing(lines, CUSTOMER_COLS)
+    if "customer_id" in customer:
+        found["customer"] = (["customer_id"], [c for c in customer if c != "customer_id"])
+    for name, columns in (("product", PRODUCT_COLS), ("geography", GEOGRAPHY_COLS), ("ship_mode", ("ship_mode",))):
+        if cols := existing(lines, columns):
+            found[name] = (cols, [])
+    return found
+
+
+def dimensions(numbered: DataFrame) -> dict[str, DataFrame]:
+    """Customer, product, geography and ship-mode dimensions with dense keys
+    1..n by first appearance (K3-K7).
+
+    One aggregate over grouping sets takes the first line of every natural
+    key of every dimension; one range index over (dimension, first line)
+    numbers them all; one write, a folder a dimension, holds them. A customer
+    id has the attributes of its first line; products are distinct tuples, so
+    an id with conflicting attributes has several keys; locations may hold
+    NULLs; a missing ship mode is no row."""
+    found = _dimensions(numbered)
+    if not found:
+        return {}
+    keys = list(dict.fromkeys(c for own, _ in found.values() for c in own))
+    rest = list(dict.fromkeys(c for _, extra in found.values() for c in extra))
+    # grouping_id has a bit for each key, the first the highest, set where the key is not grouped by.
+    code = {name: sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in own) for name, (own, _) in found.items()}
+    aggregates = [F.grouping_id().alias("_set"), F.min("_row").alias("_first")]
+    if rest:
+        aggregates.append(F.min_by(F.struct(*rest), F.col("_row")).alias("_attrs"))
+    first = numbered.select("_row", *keys, *[c for c in rest if c not in keys]) \
+        .groupingSets([[F.col(c) for c in own] for own, _ in found.values()], *keys).agg(*aggregates)
+    if "ship_mode" in found:
+        first = first.filter((F.col("_set") != code["ship_mode"]) | F.col("ship_mode").isNotNull())
+    name = F.coalesce(*(F.when(F.col("_set") == c, F.lit(n)) for n, c in code.items()))
+    indexed = ordered_index(first.withColumn("dim", name).drop("_set"), ["dim", "_first"], "_key")
+    path = scratch_path(numbered.sparkSession, "dimensions")
+    indexed.write.partitionBy("dim").parquet(path)
+    written = numbered.sparkSession.read.schema(indexed.schema).parquet(path)
+    # A dimension's keys follow those of the dimensions before it: a row a dimension.
+    before = {r["dim"]: r["least"] - 1 for r in written.groupBy("dim").agg(F.min("_key").alias("least")).collect()}
+    out = {}
+    for dim, (own, extra) in found.items():
+        columns = [f.name for f in numbered.schema.fields if f.name in {*own, *extra}]
+        own_rows = numbered.sparkSession.read.schema(indexed.drop("dim").schema).parquet(f"{path}/dim={dim}") \
+            if dim in before else written.filter(F.lit(False))
+        out[dim] = own_rows.select(
+            *(F.col(c) if c in own else F.col(f"_attrs.{c}").alias(c) for c in _in_order(columns, dim)),
+            (F.col("_key") - before.get(dim, 0)).alias(f"{dim}_key"))
+    return out
+
+
+def _in_order(columns: list[str], dim: str) -> list[str]:
+    order = {"customer": CUSTOMER_COLS, "product": PRODUCT_COLS, "geography": GEOGRAPHY_COLS, "ship_mode": ("ship_mode",)}[dim]
+    return [c for c in order if c in columns]
 
 
 def dim_customer(numbered: DataFrame) -> DataFrame | None:
     """One row per customer_id with the attributes of its first line (K3)."""
-    cols = existing(numbered, CUSTOMER_COLS)
-    if "customer_id" not in cols:
-        return None
-    rest = [c for c in cols if c != "customer_id"]
-    agg = [F.min("_row").alias("_first")]
-    if rest:
-        agg.append(F.min_by(F.struct(*rest), F.col("_row")).alias("_attrs"))
-    first = numbered.groupBy("customer_id").agg(*agg)
-    first = first.select("customer_id", *[F.col(f"_attrs.{c}").alias(c) for c in rest], "_first")
-    return _keyed(first, cols, "customer_key")
-
-
-def _distinct_keyed(numbered: DataFrame, cols: list[str], key: str, drop_null: bool = False) -> DataFrame:
-    src = numbered.where(F.col(cols[0]).isNotNull()) if drop_null else numbered
-    first = src.groupBy(*cols).agg(F.min("_row").alias("_first"))
-    return _keyed(first, cols, key)
+    return dimensions(numbered.select("_row", *existing(numbered, CUSTOMER_COLS))).get("customer")
 
 
 def dim_product(numbered: DataFrame) -> DataFrame | None:
-    """Distinct (id, name, category, sub-category) tuples (K4). One
-    product_id may own several keys when its attributes conflict."""
-    cols = existing(numbered, PRODUCT_COLS)
-    return _distinct_keyed(numbered, cols, "product_key") if cols else None
+    """Distinct (id, name, category, sub-category) tuples (K4)."""
+    return dimensions(numbered.select("_row", *existing(numbered, PRODUCT_COLS))).get("product")
 
 
 def dim_geography(numbered: DataFrame) -> DataFrame | None:
     """Distinct location tuples, NULLs included (K5)."""
-    cols = existing(numbered, GEOGRAPHY_COLS)
-    return _distinct_keyed(numbered, cols, "geography_key") if cols else None
+    return dimensions(numbered.select("_row", *existing(numbered, GEOGRAPHY_COLS))).get("geography")
 
 
 def dim_ship_mode(numbered: DataFrame) -> DataFrame | None:
     """Distinct non-NULL ship modes (K6)."""
-    if "ship_mode" not in numbered.columns:
-        return None
-    return _distinct_keyed(numbered, ["ship_mode"], "ship_mode_key", drop_null=True)
+    return dimensions(numbered.select("_row", *existing(numbered, ["ship_mode"]))).get("ship_mode")
 
 
 def fact_sales(numbered: DataFrame, customer: DataFrame | None, product: DataFrame | None,
@@ -170,19 +207,22 @@ def fact_sales(numbered: DataFrame, customer: DataFrame | None, product: DataFra
 
 
 def build_star(lines: DataFrame, row_order: Sequence[str] | None = None,
-               write: bool = True) -> Star:
+               write: bool = True, dedupe: bool = False) -> Star:
     """Cleaned order lines → star. Each table is written once (parquet in the
     shared checkpoint folder) so views read short, fixed lineages with file
-    statistics, column pruning and pushdown."""
+    statistics, column pruning and pushdown.
+
+    ``row_order`` names the columns of a total order, such as the positions
+    that the CSV reader adds; ``dedupe`` drops repeated lines first, the first
+    in that order stays. Full lines then cross one exchange, the range
+    partitioning that numbers them."""
     keep = (lambda df: materialize(df, "star")) if write else (lambda df: df)
-    numbered = number_lines(lines, row_order)
+    if dedupe:
+        lines = first_rows(lines, row_order or ())
+    numbered = number_lines(lines, row_order).drop(*(c for c in row_order or () if c in POSITION))
     calendar = keep(dim_date(numbered))
-    customer = dim_customer(numbered)
-    product = dim_product(numbered)
-    geography = dim_geography(numbered)
-    ship_mode = dim_ship_mode(numbered)
-    customer, product, geography, ship_mode = [None if d is None else keep(d)
-                                               for d in (customer, product, geography, ship_mode)]
+    dims = dimensions(numbered)
+    customer, product, geography, ship_mode = (dims.get(d) for d in ("customer", "product", "geography", "ship_mode"))
     fact = keep(fact_sales(numbered, customer, product, geography, ship_mode))
     return Star(calendar, customer, product, geography, ship_mode, fact)
 

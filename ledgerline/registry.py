@@ -24,6 +24,7 @@ from .plans import views as V
 from .plans.star import Star
 from .session import ensure_checkpoint_dir, materialize, release_scratch, scratch_path
 from .sources import fixtures as FX
+from .sources.csv_records import POSITION, CsvTable, read_csv_table
 from .sources.tables import read_csv, read_table, write_csv
 
 _LOCK = threading.Lock()
@@ -42,7 +43,8 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     with _LOCK:
         if key not in _STARS:
             ensure_checkpoint_dir(spark)
-            _STARS[key] = K.build_star(order_lines(spark, sf_dir))
+            lines = C.clean_order_lines(FX.order_lines(spark, sf_dir), dedupe=False)
+            _STARS[key] = K.build_star(lines, dedupe=True)
         return _STARS[key]
 
 
@@ -75,6 +77,52 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.clean_order_lines(read_csv(spark, path, list(FX.ORDER_LINE_NAMES)))
 
 
+def _csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole document texts, with line breaks, commas and quotes, written as
+    CSV and read again by records (S1, S3)."""
+    path = scratch_path(spark, "documents-csv")
+    write_csv(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), path)
+    return read_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def _order_notes(spark: SparkSession, sf_dir: str) -> CsvTable:
+    path = scratch_path(spark, "order-notes")
+    FX.order_note_files(spark, sf_dir, path)
+    return read_csv_table(spark, path)
+
+
+def _csv_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with the header's number of fields, some over two lines."""
+    return _order_notes(spark, sf_dir).rows.withColumn("order_id", F.col("order_id").cast("long"))
+
+
+def _csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records refused for their number of fields, by reason."""
+    order = F.substring_index("record", ",", 1).cast("long")
+    return _order_notes(spark, sf_dir).rejected.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("records"), F.min(order).alias("first_order"), F.sum(order).alias("order_sum"))
+
+
+def file_order_star(spark: SparkSession, sf_dir: str) -> Star:
+    """A star from CSV files whose lines are not in sort order: keys follow
+    the order of the files, equal lines keep the first (C10, K7, K10)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "file order")
+    with _LOCK:
+        if key not in _STARS:
+            path = scratch_path(spark, "latest-first-csv")
+            write_csv(FX.order_lines_latest_first(spark, sf_dir), path)
+            raw = read_csv_table(spark, path, positions=True).rows
+            _STARS[key] = K.build_star(C.clean_order_lines(raw, position=POSITION, dedupe=False), POSITION, dedupe=True)
+        return _STARS[key]
+
+
+def _in_file_order(dim: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = file_order_star(spark, sf_dir).tables()[dim]
+        return df.withColumns({c: F.col(c).cast("long") for c in ("customer_id", "product_id", "postal_code", "order_id") if c in df.columns})
+    return run
+
+
 def _month_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month-first date text (every 50th 'bad') parsed with month-first layouts."""
     o = read_table(spark, sf_dir, "orders")
@@ -186,6 +234,9 @@ def _sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources and cleaning
     "csv_roundtrip": _csv_roundtrip,
+    "csv_multiline_roundtrip": _csv_multiline,
+    "csv_multiline_notes": _csv_notes,
+    "csv_rejected_records": _csv_rejected,
     "star_csv_roundtrip": _star_csv_counts,
     "star_reopened_fact": _reopened_fact,
     "star_reopened_products_csv": _reopened_products_csv,
@@ -209,6 +260,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_geography": _on_star(lambda st: st.geography),
     "dim_ship_mode": _on_star(lambda st: st.ship_mode),
     "fact_sales": _on_star(lambda st: st.fact),
+    "dim_customer_file_order": _in_file_order("dim_customer"),
+    "dim_product_file_order": _in_file_order("dim_product"),
+    "dim_geography_file_order": _in_file_order("dim_geography"),
+    "dim_ship_mode_file_order": _in_file_order("dim_ship_mode"),
+    "fact_sales_file_order": _in_file_order("fact_sales"),
     # load checks
     "pk_violations": _on_star(G.pk_violations),
     "fk_violations": _on_star(G.fk_violations),

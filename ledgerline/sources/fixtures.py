@@ -128,3 +128,37 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = (read_table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 100 == 0)
              .select(*[F.lit(None).cast("string").alias(n) for n in cols]))
     return lines.unionByName(dupes).unionByName(empty)
+
+
+# Lines of the order notes file, as SQL over orders. By the order's key some records are short,
+# some long, some have a note over two lines with doubled quotes, and some a quote inside a plain field.
+ORDER_NOTE_HEADER = "order_id,priority,note"
+ORDER_NOTE_LINE = """CAST(o_orderkey AS VARCHAR(20)) || ',' || CASE WHEN o_orderkey % 11 = 5 THEN '5" ' || o_orderpriority ELSE o_orderpriority END
+    || CASE WHEN o_orderkey % 50 = 1 THEN '' WHEN o_orderkey % 7 = 3 THEN ',"one, ""two""' || chr(10) || 'three, ' || CAST(o_orderkey AS VARCHAR(20)) || '"' ELSE ',note' END
+    || CASE WHEN o_orderkey % 50 = 2 THEN ',more' ELSE '' END"""
+
+
+def order_note_files(spark: SparkSession, sf_dir: str, path: str, files: int = 16) -> None:
+    """Writes the order notes as text, a folder a file, each with a header."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.expr(ORDER_NOTE_LINE.replace("VARCHAR(20)", "STRING")).alias("value"),
+        (F.col("o_orderkey") % files).alias("file"))
+    heads = spark.range(files).select(F.lit(-1).cast("long").alias("o_orderkey"), F.lit(ORDER_NOTE_HEADER).alias("value"),
+                                      F.col("id").alias("file"))
+    orders.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "value", F.col("file").cast("long").alias("file")) \
+        .union(heads).repartition(files, "file").sortWithinPartitions("file", "o_orderkey") \
+        .select("file", "value").write.partitionBy("file").text(path)
+
+
+#: By these, descending, the lines of the file stand.
+FILE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+
+
+def order_lines_latest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in an order that is not their own: latest order key and
+    line first, as a file would hold them; every tenth order's lines twice."""
+    exprs = [f"{expr} AS {name}" for name, expr in ORDER_LINE_COLUMNS]
+    lines = joined_tables(spark, sf_dir).selectExpr(
+        "explode(CASE WHEN l_orderkey % 10 = 0 THEN array(1, 2) ELSE array(1) END) AS copy", *FILE_ORDER, *exprs)
+    order = [*map(F.desc, FILE_ORDER), "copy"]
+    return lines.repartitionByRange(8, *order).sortWithinPartitions(*order).select(*ORDER_LINE_NAMES)
