@@ -355,6 +355,36 @@ seg AS (
     m["portfolio_segment_counts"] = seg + """
 SELECT portfolio_segment, COUNT(*) AS products, CAST(SUM(total_sales) AS DECIMAL(38,8)) AS total_sales
 FROM seg GROUP BY portfolio_segment"""
+
+    def in_contexts(per: str, key: str, by: str) -> str:
+        """Middle values of sales and margin within each context."""
+        def middle(v: str) -> str:
+            return f"""SELECT {by}, min(v) AS lo, max(v) AS hi FROM (
+  SELECT {by}, {v} AS v, row_number() OVER (PARTITION BY {by} ORDER BY {v}, {key}) AS i, COUNT(*) OVER (PARTITION BY {by}) AS n
+  FROM per WHERE {v} IS NOT NULL) WHERE i IN ((n + 1) // 2, (n + 2) // 2) GROUP BY {by}"""
+        return f"""{STAR},
+per AS (SELECT *, {_ratio('total_profit', 'total_sales')} AS profit_margin,
+  CAST(total_profit AS DOUBLE) / NULLIF(CAST(total_sales AS DOUBLE), 0) AS margin FROM ({per})),
+ms AS ({middle('total_sales')}),
+mm AS ({middle('margin')}),
+j AS (SELECT per.*, total_sales * 2 >= ms.lo + ms.hi AS big, margin * 2 >= mm.lo + mm.hi AS good,
+  COALESCE(margin, 0) * 2 >= mm.lo + mm.hi AS good_or_zero FROM per LEFT JOIN ms USING ({by}) LEFT JOIN mm USING ({by}))"""
+
+    sums = "CAST(SUM(f.sales) AS DECIMAL(38,8)) AS total_sales, CAST(SUM(f.profit) AS DECIMAL(38,8)) AS total_profit"
+    segment = """CASE WHEN total_profit < 0 THEN 'Loss Maker' WHEN big AND good_or_zero THEN 'Star Product'
+    WHEN big AND NOT good_or_zero THEN 'Revenue Trap' WHEN NOT big AND good_or_zero THEN 'Niche Profitable'
+    ELSE 'Low Performer' END AS portfolio_segment"""
+    named = "FROM fact_sales f JOIN dim_product p ON f.product_key = p.product_key JOIN dim_geography g ON f.geography_key = g.geography_key JOIN dim_customer c ON f.customer_key = c.customer_key"
+    for name, by, context in (("by_year", "order_year", "CAST(f.order_date_key // 10000 AS INTEGER)"), ("by_region", "region", "g.region")):
+        per = f"SELECT {context} AS {by}, p.product_name, {sums} {named} GROUP BY 1, 2"
+        m[f"portfolio_segments_{name}"] = in_contexts(per, "product_name", by) + f"""
+SELECT {by}, product_name, total_sales, total_profit, profit_margin, {segment} FROM j"""
+    per = f"SELECT 1 AS one, p.product_name, {sums} {named} WHERE g.region = 'EUROPE' AND c.segment = 'BUILDING' GROUP BY 1, 2"
+    m["portfolio_segments_in_context"] = in_contexts(per, "product_name", "one") + f"""
+SELECT product_name, total_sales, total_profit, profit_margin, {segment} FROM j"""
+    per = f"SELECT c.segment, p.product_key, p.product_id, p.product_name, p.category, p.sub_category, {sums} {named} GROUP BY ALL"
+    m["high_sales_low_profit_by_segment"] = in_contexts(per, "product_key", "segment") + """
+SELECT * EXCLUDE (margin, big, good, good_or_zero) FROM j WHERE big AND (total_profit < 0 OR NOT COALESCE(good, FALSE))"""
     rank = "RANK() OVER (ORDER BY total_sales DESC NULLS LAST) AS sales_rank, RANK() OVER (ORDER BY total_profit DESC NULLS LAST) AS profit_rank"
     m["rank_customers"] = f"""{STAR}
 SELECT *, {rank} FROM (

@@ -1,20 +1,23 @@
 """Measures (X1-X14) and report-page queries.
 
 A measure is an aggregate expression; its filter context is a filtered or
-grouped fact. Whole-frame ranks, running totals and medians use the
-distributed operators of ``operators.ordered``; grand totals enter as scalar
+grouped fact. Whole-frame ranks and running totals use the distributed
+operators of ``operators.ordered``, medians those of ``operators.medians``; grand totals enter as scalar
 subqueries (one value computed once, not a join). Where a query reads the
 same product- or customer-level aggregate several times (medians, totals,
 rank passes), that aggregate is written once so the fact is scanned once."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
 from ..functions.numeric import exact_margin, mean, ratio, times
-from ..operators.ordered import middle_values, rank_by, running_sum
+from ..operators.medians import with_middles
+from ..operators.ordered import rank_by, running_sum
 from ..session import materialize
 from . import views as V
 from .star import Star
@@ -80,33 +83,57 @@ def yoy_sales_monthly(star: Star) -> DataFrame:
     return _yoy(per, ["order_year", "order_month"])
 
 
-def _at_least_median(col: str, mid: DataFrame, exact: bool = True) -> F.Column:
-    """value >= (lo + hi) / 2, tested as 2 * value >= lo + hi; ``exact`` for
-    money, whose type leaves room for the factor."""
-    lo = mid.select("lo").scalar()
-    hi = mid.select("hi").scalar()
-    return (times(F.col(col), 2) if exact else F.col(col) + F.col(col)) >= lo + hi
-
-
-def portfolio_segments(star: Star) -> DataFrame:
+def in_context(star: Star, order_year: int | None = None, **equal: str) -> Star:
+    """The star under filters, as a report page sets them: the order year
+    and any dimension column, e.g. ``in_context(star, order_year=2014,
+    region="West")``. Every measure and report takes the result."""
+    fact = star.fact
+    if order_year is not None:
+        fact = fact.filter(F.floor(F.col("order_date_key") / 10000) == order_year)
+    dims = {"customer_key": star.customer, "product_key": star.product, "geography_key": star.geography, "ship_mode_key": star.ship_mode}
+    for column, value in equal.items():
+        key, dim = next(((k, d) for k, d in dims.items() if d is not None and column in d.columns), (None, None))
+        if key is None:
+            raise ValueError(f"no dimension has a column {column}")
+        fact = fact.join(dim.filter(F.col(column) == value).select(key), key, "left_semi")
+    return replace(star, fact=fact.select(*star.fact.columns))
+
+
+def _lines_by(star: Star, by: str | None) -> tuple[DataFrame, list[str]]:
+    """The fact with the column that sets the filter context."""
+    if by is None:
+        return star.fact, []
+    if by == "order_year":
+        return star.fact.withColumn(by, F.floor(F.col("order_date_key") / 10000).cast("int")), [by]
+    if star.geography is not None and by in star.geography.columns:
+        return V._inner(star.fact, star.geography, "geography_key", [by]), [by]
+    if star.customer is not None and by in star.customer.columns:
+        return V._inner(star.fact, star.customer, "customer_key", [by]), [by]
+    raise ValueError(f"cannot set a context by {by}")
+
+
+def portfolio_segments(star: Star, by: str | None = None) -> DataFrame:
     """X10 per product name: sales, profit, margin and portfolio segment.
 
     Medians of per-name sales and margin over all names (names with no
     margin, i.e. zero sales, are left out of the margin median); a missing
     margin counts as 0 in the tests. Medians are exact and distributed, and
-    margins are compared unrounded; only the margin shown is rounded."""
-    per = (V._inner(star.fact, star.product, "product_key", ["product_name"])
-           .groupBy("product_name")
-           .agg(M.total_sales(), M.total_profit(), M.profit_margin()))
+    margins are compared unrounded; only the margin shown is rounded. With
+    ``by`` (order_year or a column of geography or customer) each of its
+    values is a filter context with medians of its own."""
+    lines, context = _lines_by(star, by)
+    per = V._inner(lines, star.product, "product_key", ["product_name"]) \
+        .groupBy(*context, "product_name").agg(M.total_sales(), M.total_profit(), M.profit_margin())
     per = materialize(per.withColumn("_exact", exact_margin(F.col("total_profit"), F.col("total_sales"))),
                       "per-product-name")
-    big = _at_least_median("total_sales", middle_values(per, "total_sales", ["product_name"]))
-    per = per.withColumn("_margin", F.coalesce("_exact", F.lit(0).cast(per.schema["_exact"].dataType)))
-    good = _at_least_median("_margin", middle_values(per, "_exact", ["product_name"]), exact=False)
+    per = with_middles(per, {"_s": "total_sales", "_m": "_exact"}, context)
+    margin = F.coalesce("_exact", F.lit(0).cast(per.schema["_exact"].dataType))
+    big = times(F.col("total_sales"), 2) >= F.col("_s.lo") + F.col("_s.hi")
+    good = margin + margin >= F.col("_m.lo") + F.col("_m.hi")
     seg = (F.when(F.col("total_profit") < 0, LOSS_MAKER)
            .when(big & good, STAR_PRODUCT).when(big & ~good, REVENUE_TRAP)
            .when(~big & good, NICHE).otherwise(LOW))
-    return per.select("product_name", "total_sales", "total_profit", "profit_margin",
+    return per.select(*context, "product_name", "total_sales", "total_profit", "profit_margin",
                       seg.alias("portfolio_segment"))
 
 
@@ -247,16 +274,21 @@ def delivery_by_geography(star: Star) -> DataFrame:
         M.total_orders(), M.total_sales(), mean(F.col("shipping_days")).alias("avg_shipping_days"))
 
 
-def high_sales_low_profit(star: Star) -> DataFrame:
+def high_sales_low_profit(star: Star, by: str | None = None) -> DataFrame:
     """Products selling at or above the median whose profit is negative
-    or whose margin is below the median margin, compared unrounded."""
-    per = materialize(V.product_totals(star)
-                      .withColumn("profit_margin", ratio(F.col("total_profit"), F.col("total_sales")))
+    or whose margin is below the median margin, compared unrounded; with
+    ``by``, within each context (see :func:`portfolio_segments`)."""
+    lines, context = _lines_by(star, by)
+    totals = star.product.select("product_key", *V.PRODUCT_ATTRS).join(
+        lines.groupBy(*context, "product_key").agg(M.total_sales(), M.total_profit()), "product_key")
+    per = materialize(totals.withColumn("profit_margin", ratio(F.col("total_profit"), F.col("total_sales")))
                       .withColumn("_exact", exact_margin(F.col("total_profit"), F.col("total_sales"))),
                       "product-margins")
-    big = _at_least_median("total_sales", middle_values(per, "total_sales", ["product_key"]))
-    good = _at_least_median("_exact", middle_values(per, "_exact", ["product_key"]), exact=False)
-    return per.where(big & ((F.col("total_profit") < 0) | ~F.coalesce(good, F.lit(False)))).drop("_exact")
+    columns = [c for c in per.columns if c != "_exact"]
+    per = with_middles(per, {"_s": "total_sales", "_m": "_exact"}, context)
+    big = times(F.col("total_sales"), 2) >= F.col("_s.lo") + F.col("_s.hi")
+    good = F.col("_exact") + F.col("_exact") >= F.col("_m.lo") + F.col("_m.hi")
+    return per.where(big & ((F.col("total_profit") < 0) | ~F.coalesce(good, F.lit(False)))).select(*columns)
 
 
 def margin_by_discount(star: Star) -> DataFrame:

@@ -291,6 +291,10 @@ QUERIES.update({
     "yoy_sales": _on_star(X.yoy_sales),
     "yoy_sales_monthly": _on_star(X.yoy_sales_monthly),
     "portfolio_segments": _on_star(X.portfolio_segments),
+    "portfolio_segments_by_year": _on_star(lambda st: X.portfolio_segments(st, "order_year")),
+    "portfolio_segments_by_region": _on_star(lambda st: X.portfolio_segments(st, "region")),
+    "portfolio_segments_in_context": _on_star(lambda st: X.portfolio_segments(X.in_context(st, region="EUROPE", segment="BUILDING"))),
+    "high_sales_low_profit_by_segment": _on_star(lambda st: X.high_sales_low_profit(st, "segment")),
     "portfolio_segment_counts": _on_star(X.portfolio_segment_counts),
     "rank_customers": _on_star(X.rank_customers),
     "rank_products": _on_star(X.rank_products),
