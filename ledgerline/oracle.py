@@ -671,6 +671,21 @@ def _dirty(sql: dict[str, str]) -> dict[str, str]:
                  "vw_executive_kpis", "vw_discount_impact", "vw_product_pareto", "vw_segment_profitability"):
         tail = sql[name][len(STAR):].replace("fact_sales", "dirty_fact").replace("dim_customer", "dirty_customer")
         out[f"{name}_dirty"] = f"{STAR},\n{DIRTY_CTES}{tail}"
+    bad = """customers AS (SELECT *, concat_ws(', ', CASE WHEN customer_key IS NULL THEN 'null key' END,
+    CASE WHEN customer_key IS NOT NULL AND COUNT(*) OVER (PARTITION BY customer_key) > 1 THEN 'repeated key' END) AS reason FROM dirty_customer),
+good AS (SELECT customer_key FROM customers WHERE reason = ''),
+facts AS (SELECT *, concat_ws(', ', CASE WHEN COUNT(*) OVER (PARTITION BY sales_key) > 1 THEN 'repeated key' END,
+    CASE WHEN customer_key IS NOT NULL AND customer_key NOT IN (SELECT customer_key FROM good) THEN 'orphan customer' END,
+    CASE WHEN product_key IS NOT NULL AND product_key NOT IN (SELECT product_key FROM dim_product) THEN 'orphan product' END) AS reason
+  FROM dirty_fact)"""
+    out["load_quarantine_dirty"] = f"""{STAR},\n{DIRTY_CTES},\n{bad}
+SELECT 'dim.customer' AS table_name, CAST(customer_key AS BIGINT) AS row_key, reason FROM customers WHERE reason <> ''
+UNION ALL SELECT 'fact.sales', CAST(sales_key AS BIGINT), reason FROM facts WHERE reason <> ''"""
+    out["load_accepted_dirty"] = f"""{STAR},\n{DIRTY_CTES},\n{bad}
+SELECT *, CAST(0 AS BIGINT) AS orphans_left FROM (
+  SELECT 'dim.date' AS table_name, COUNT(*) AS row_count FROM dim_date UNION ALL SELECT 'dim.customer', COUNT(*) FROM good
+  UNION ALL SELECT 'dim.product', COUNT(*) FROM dim_product UNION ALL SELECT 'dim.geography', COUNT(*) FROM dim_geography
+  UNION ALL SELECT 'dim.ship_mode', COUNT(*) FROM dim_ship_mode UNION ALL SELECT 'fact.sales', COUNT(*) FROM facts WHERE reason = '')"""
     return out
 
 

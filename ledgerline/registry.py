@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType
 from .functions.dates import MONTH_FIRST, failed_date, parse_date
 from .operators import clean as C
 from .plans import conflicts as Q
+from .plans import load as L
 from .plans import measures as X
 from .plans import quality as G
 from .plans import star as K
@@ -183,6 +184,22 @@ def _on_dirty(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str],
     return lambda spark, sf_dir: fn(dirty_star(spark, sf_dir))
 
 
+def _loaded(spark: SparkSession, sf_dir: str) -> L.Load:
+    """The star with faults, loaded with its constraints kept."""
+    return L.load_star(dirty_star(spark, sf_dir), scratch_path(spark, "loads"))
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loaded(spark, sf_dir).quarantine.drop("row")
+
+
+def _loaded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the loaded tables, and the violations left in them (none)."""
+    loaded = _loaded(spark, sf_dir).star
+    return G.table_row_counts(loaded).withColumn(
+        "orphans_left", G.fk_violations(loaded).agg(F.sum("orphan_rows")).scalar())
+
+
 def _bands_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discount bands over cleaned text lines, sales with five decimals and
     discounts just over a band's end among them (C6, V8)."""
@@ -275,6 +292,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_counts": _on_star(G.orphan_counts),
     "view_row_counts": _on_star(G.view_row_counts),
     "sales_detail_top20": _on_star(G.sales_detail_top),
+    "load_quarantine_dirty": _quarantine,
+    "load_accepted_dirty": _loaded_counts,
 }
 QUERIES.update({name: _on_star(fn) for name, fn in V.VIEWS.items()})
 #: Checks and views on a star with faults.

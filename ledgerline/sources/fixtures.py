@@ -75,13 +75,13 @@ def conflict_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     whose order key ends in 0."""
     expr = dict(ORDER_LINE_COLUMNS)
     lines = joined_tables(spark, sf_dir).selectExpr(
-        "l_orderkey", f"{PRODUCT_CODE} AS `Product ID`",
+        "explode(CASE WHEN l_orderkey % 10 = 0 THEN array(1, 2) ELSE array(1) END) AS copy", f"{PRODUCT_CODE} AS `Product ID`",
         "CASE WHEN l_linenumber = 2 THEN p_name || ' ' ELSE p_name END AS `Product Name`",
         "p_type AS `Category`", "p_brand AS `Sub-Category`",
         "CASE WHEN o_orderkey % 50 = 0 THEN 'bad' ELSE date_format(o_orderdate, 'MM/dd/yyyy') END AS `Order Date`",
         f"CASE WHEN (l_orderkey + l_linenumber) % 40 = 0 THEN 'abc' ELSE CAST({expr['sales']} AS STRING) END AS `Sales`",
         f"CAST({expr['profit']} AS STRING) AS `Profit`")
-    return lines.unionByName(lines.where("l_orderkey % 10 = 0")).drop("l_orderkey")
+    return lines.drop("copy")
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
