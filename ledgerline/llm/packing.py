@@ -94,7 +94,8 @@ def room(item: tuple, tokens: int, bearing: int) -> int:
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
          prompt_col: str | None = None, length: int = 1024, max_segments: int = 64,
-         max_loss: int = 1024, pool: int = 1024, least: int = 8, with_ids: bool = False) -> DataFrame:
+         max_loss: int = 1024, pool: int = 1024, least: int = 8, with_ids: bool = False,
+         remember: int = 500_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, loss_tokens, and ids (binary, little-endian unsigned
     32-bit) if asked for.
@@ -105,7 +106,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     Every id lies in one piece; pieces of a sequence lie gapless from offset
     0. A cut shorter than ``least`` is not made. NULL ids and repeated rows
     are packed like others; other columns are ignored; an empty table gives
-    no pieces. Sequence ids are unique and, for the same partitions of input,
+    no pieces. ``remember`` bounds the words whose ids a worker keeps (memory
+    for time, the same result). Sequence ids are unique and, for the same partitions of input,
     the same in every run."""
     if min(length, max_segments, max_loss, pool) < 1:
         raise ValueError("every limit must be at least 1")
@@ -113,7 +115,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     limits = length, max_segments, max_loss
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = read_items(batches, tokenizer, prompt_col is not None)
+        items = read_items(batches, tokenizer, prompt_col is not None, remember)
         yield from place_items(items, limits, pool, least, with_ids, TaskContext.get().partitionId() << 33)
 
     prompt = text_or_empty(prompt_col) if prompt_col else F.lit("")
@@ -121,10 +123,11 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         .mapInArrow(place, SCHEMA + (", ids binary" if with_ids else ""))
 
 
-def read_items(batches: Iterator[pa.RecordBatch], tokenizer: str, prompts: bool) -> Iterator[tuple]:
+def read_items(batches: Iterator[pa.RecordBatch], tokenizer: str, prompts: bool,
+               remember: int = 500_000) -> Iterator[tuple]:
     """``(doc_id, 0, ids, number of ids, first loss-bearing position)`` of
     each row ``(doc_id, prompt, text)``."""
-    code, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+    code, end = encoder(tokenizer, remember), np.array([END_ID], "<u4").tobytes()
     for batch in batches:
         give_back(encoders=False)
         doc_ids, texts = batch.column(0).to_pylist(), batch.column(2)

@@ -22,7 +22,8 @@ from .warc import archive_folder, read_archives, write_archives
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), default_tokenizer(), length=1024, max_segments=64, max_loss=1024)
+    return pack(table(spark, sf_dir, "documents"), default_tokenizer(), length=1024, max_segments=64, max_loss=1024,
+                remember=1_500_000)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,6 +84,15 @@ class EliasFano:
         word = int.from_bytes(self.lows[first // 8:-(-last // 8)], "little")
         return word >> first % 8 & (1 << self.low) - 1
 
+    def ascending(self) -> Iterator[int]:
+        """All values, from one noted one to the next: no table of them."""
+        for block, at in enumerate(self.samples.tolist()):
+            i, n = block * EVERY, min(EVERY, self.n - block * EVERY)
+            bits = np.unpackbits(np.frombuffer(self.highs, np.uint8, offset=at // 8)[:self._span(i)], bitorder="little")
+            ones = (at + np.flatnonzero(bits[at % 8:])[:n] - np.arange(i, i + n)).tolist()
+            for k, high in enumerate(ones, i):
+                yield high << self.low | self._low(k)
+
     def values(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.highs, np.uint8), bitorder="little"))[:self.n]
         bits = np.unpackbits(np.frombuffer(self.lows, np.uint8), bitorder="little")[:self.n * self.low]
@@ -112,26 +121,28 @@ def read_file(f) -> Iterator[tuple[int | None, int, np.ndarray]]:
     magic, n, nulls, first, _, width = HEADER.unpack(f.read(HEADER.size))
     if magic != MAGIC:
         raise ValueError("not a token-id file")
-    named, ends = EliasFano.read(f).values(), EliasFano.read(f).values()
+    named, ends = EliasFano.read(f).ascending(), EliasFano.read(f).ascending()
     start = 0
     for i in range(n):
-        end = int(ends[i])
+        end = next(ends)
         ids = np.frombuffer(f.read((end - start) * width), f"<u{width}").astype("<u4")
-        yield (first + int(named[i - nulls]) if i >= nulls else None), start, ids
+        yield (first + next(named) if i >= nulls else None), start, ids
         start = end
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id",
-                      text_col: str = "text", file_ids: int = 4_000_000) -> DataFrame:
+                      text_col: str = "text", file_ids: int = 4_000_000, remember: int = 1_000_000) -> DataFrame:
     """Write all documents in ascending id order; returns the written
     manifest: path, documents, ids and first_id of each file, the last the
     number of ids in all files before it.
 
     NULL text counts as empty (the end id alone), NULL ids come first,
     repeated rows are written each; other columns are ignored; an empty
-    table gives an empty manifest. A file holds about ``file_ids`` ids."""
+    table gives an empty manifest. A file holds about ``file_ids`` ids, and a
+    worker keeps the ids of about ``remember`` words. Rows that share an id
+    are spread over tasks by a hash of their text and lie in its order."""
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, end = encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+        code, end = encoder(tokenizer, remember), np.array([END_ID], "<u4").tobytes()
         store, base = filesystem(folder)
         store.create_dir(base, recursive=True)
         doc_ids, ids, size, seq = [], [], 0, 0
@@ -159,7 +170,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, id_col: str
             yield close()
 
     rows = docs.select(long_id(id_col).alias("id"), text_or_empty(text_col).alias("text")) \
-        .repartitionByRange("id").sortWithinPartitions("id").mapInArrow(write, MANIFEST)
+        .withColumn("mark", F.xxhash64("text")).repartitionByRange("id", "mark").sortWithinPartitions("id", "mark") \
+        .select("id", "text").mapInArrow(write, MANIFEST)
     before = Window.orderBy("task", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return materialize(materialize(rows, "token-manifest").select(
         "path", "documents", "ids", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("first_id")), "token-files")

@@ -18,7 +18,7 @@ import numpy as np
 
 ID = np.dtype("<u4")
 _RUN = re.compile(r"\s[ \n]")
-_loaded: dict[str, "Encoder"] = {}
+_loaded: dict[tuple[str, int], "Encoder"] = {}
 
 
 def default_tokenizer() -> str:
@@ -27,11 +27,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str) -> "Encoder":
+def encoder(path: str, remember: int = 500_000) -> "Encoder":
     """The encoder of this worker process for a tokenizer file."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    if (path, remember) not in _loaded:
+        _loaded[path, remember] = Encoder(path, remember)
+    return _loaded[path, remember]
 
 
 class Encoder:
@@ -64,9 +64,7 @@ class Encoder:
         if len(self.known) >= self.remember // 2:
             self.older, self.known = self.known, {}
         new = []
-        for w in words:
-            if w in self.known:
-                continue
+        for w in words.difference(self.known):
             ids = self.older.get(w)
             if ids is None:
                 new.append(w)
@@ -101,15 +99,15 @@ class Encoder:
         whole, split, words = [], [], set()
         for i, text in enumerate(texts):
             if self.by_word and not _RUN.search(text) and not any(s in text for s in self.special):
-                units = text.replace("\n", " \n").split(" ")
-                split.append((i, units))
-                words.update(units[1:])
+                head, *units = text.replace("\n", " \n").split(" ")
+                split.append((i, head, units))
+                words.update(units)
             else:
                 whole.append(i)
         self._learn(words)
         known = self.known.__getitem__
-        for (i, units), head in zip(split, self._whole([units[0] for _, units in split])):
-            out[i] = head + b"".join(map(known, units[1:]))
+        for (i, _, units), ids in zip(split, self._whole([head for _, head, _ in split])):
+            out[i] = ids + b"".join(map(known, units))
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         return out
