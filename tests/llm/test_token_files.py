@@ -50,3 +50,34 @@ def test_documents_in_order(spark, odd_docs):
 def test_empty(spark, no_docs):
     folder = token_file_folder(spark)
     assert read_token_files(write_token_files(no_docs, default_tokenizer(), folder), folder).count() == 0
+
+
+def test_the_query_reads_by_the_select_structure(spark, odd_docs, tmp_path, monkeypatch):
+    import numpy as np
+
+    from ledgerline.llm.token_files import EVERY, EliasFano
+    rng = np.random.default_rng(4)
+    for n in (0, 1, EVERY - 1, EVERY, EVERY + 1, 5 * EVERY + 3):
+        for top in (1, 50, 1 << 40):
+            values = np.sort(rng.integers(0, top, n, np.uint64))
+            coded = EliasFano.of(values)
+            assert list(coded.ascending()) == values.tolist() == [coded.select(i) for i in range(n)]
+    import inspect
+
+    from ledgerline.llm import token_files
+    assert "values()" not in inspect.getsource(token_files.read_file)
+
+
+def test_rows_without_id_are_spread(spark, tmp_path):
+    from ledgerline.llm.token_files import read_token_files, write_token_files
+    from ledgerline.llm.tokens import default_tokenizer
+    docs = spark.range(900).selectExpr("if(id % 3 = 0, null, id) AS doc_id", "concat('text ', id) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = write_token_files(docs, default_tokenizer(), str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["documents"] for r in manifest.collect()]
+    assert sum(sizes) == 900 and max(sizes) < 300
+    ids = [r["doc_id"] for r in read_token_files(manifest, str(tmp_path)).orderBy("start").collect()]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
