@@ -126,8 +126,11 @@ def steps() -> list[dict]:
 def filter_interactions(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         part_col: str = "source", **limits) -> DataFrame:
     """One row per part, order of the five filters and step: kept, removed,
-    redundant, unique_fails, good_lost, toxic_lost and shapley, as documents of
-    the part (see the module's contract in the README).
+    redundant, unique_fails, good_lost, toxic_lost and shapley, as numbers of
+    documents of the part: those left after the step, those its filter takes,
+    those it would take that went before, those that fail it alone, labelled
+    good or toxic ones it takes, and what it takes at any step in all orders.
+    A: few words; B: few distinct ones; C: many capitals; D: a symbol; E: copies.
 
     NULL text counts as empty, a NULL part as the empty string. A NULL id is
     smaller than any other and has no label. E fails where a smaller id has
