@@ -20,7 +20,14 @@ by host, each time folding a sorted stream, so no host gathers anywhere.
 Elements that by name are menus, headers, footers, asides, forms or scripts
 never count as content. Nor do those that a class, id or role marks as menu,
 advert, notice, comments and so on by a whole token, unless an article or main
-element or half of the host's varying text is inside.
+element or half of the host's varying text is inside. On an inline element, and
+on a heading or paragraph inside an article or main element, only the marks of
+adverts and reader comments count: the others are there names of styles.
+
+Any text parses, in time in proportion to its length: each unclosed tag, quote
+or element is looked at a bounded number of times. Elements nested deeper than
+``DEEPEST`` hang side by side, in page order, on the element at that depth, as
+browsers also do; their text and their marks stay.
 """
 
 from __future__ import annotations
@@ -62,10 +69,22 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor s
                   "signup login share sharing social related recommended widget widgets search searchbox pagination pager toolbar "
                   "complementary contentinfo dialog form skip hidden".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*>)", re.S)
+#: Of these, the marks of adverts and reader comments.
+ALWAYS_MARKS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion comment comments "
+                         "disqus reply replies responses".split())
+
+#: Elements deeper than this hang on the one at this depth.
+DEEPEST = 200
+
+#: Start of a tag, to its end if no quoted value holds an angle bracket, or of other markup.
+_MARKUP = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*+)([^>\"']*+(?:(?:\"[^\"<>]*\"|'[^'<>]*')[^>\"']*+)*+>)?|[!?])")
+_PLAIN = re.compile(r"[^>\"']*")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _MARK_WORD = re.compile(r"[a-z]+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTENT = frozenset(("article", "main"))
+TEXT_BLOCKS = HEADINGS | {"p", "pre", "blockquote"}
+_LONG_NUMBER = re.compile(r"&#[0-9]{20,};?")
 
 
 class Node:
@@ -95,17 +114,28 @@ class Node:
 
 def clean(raw: str) -> str:
     """Character references decoded, white space turned into one space."""
-    return " ".join((html.unescape(raw) if "&" in raw else raw).split())
+    if "&" in raw:
+        raw = html.unescape(_LONG_NUMBER.sub(_shortened, raw))
+    return " ".join(raw.split())
+
+
+def _shortened(number: re.Match) -> str:
+    """A numeric reference with leading zeros left out; a number that is still
+    long is no character."""
+    digits = number.group().strip("&#;").lstrip("0") or "0"
+    return f"&#{digits};" if len(digits) < 20 else "\ufffd"
 
 
-def _is_mark(token: str) -> bool:
-    """Whether a class, id or role is made of nothing but words in MARKS."""
+def _is_mark(token: str, always: bool) -> bool:
+    """Whether a class, id or role is made of nothing but words in MARKS, with
+    ``always`` one in ALWAYS_MARKS among them."""
     words = _MARK_WORD.findall(token)
-    return bool(words) and MARKS.issuperset(words)
+    return bool(words) and MARKS.issuperset(words) and not (always and ALWAYS_MARKS.isdisjoint(words))
 
 
-def _label(tag: str, attributes: str, in_article: bool) -> tuple[str, bool, bool]:
+def _label(tag: str, attributes: str, in_article: bool, in_content: bool) -> tuple[str, bool, bool]:
     """Label of an element, whether it is dropped, and whether it is marked."""
+    always = tag in INLINE or in_content and tag in TEXT_BLOCKS
     dropped, marked = tag in DROPPED or tag == "header" and not in_article, False
     if len(attributes) < 4:
         return tag, dropped, marked
@@ -118,82 +148,190 @@ def _label(tag: str, attributes: str, in_article: bool) -> tuple[str, bool, bool
             if name != "id":
                 names += _MARK_WORD.findall(value)
             if tag not in ("html", "body", "main") and not (name == "id" and tag in HEADINGS):
-                marked = marked or any(map(_is_mark, value.split()))
+                marked = marked or any(_is_mark(token, always) for token in value.split())
     label = tag + "." + ".".join(names) if names else tag
     return label + "!" if marked else label, dropped, marked
 
 
+class Markup:
+    """The markup of a text, from left to right. What is known to be missing
+    from some place on is not looked for again."""
+
+    def __init__(self, text: str):
+        self.text, self.last = text, text.rfind(">")
+        self.unclosed: set[int] = set()  # quotes after which no tag ends
+        self.cdata = True
+        self.ends: dict[str, dict[int, int]] = {}
+
+    def next(self, at: int) -> tuple[int, int, str | None, bool, str]:
+        """Start and end of the next piece of markup, and of a tag its name,
+        whether it closes, and its attributes; a CDATA section has the name
+        ``![``, other markup none. At the end both places are the text's end."""
+        text = self.text
+        found = _MARKUP.search(text, at)
+        start = found.start() if found else len(text)
+        if start > self.last:  # no tag can end here, only a comment runs on
+            start = text.find("<!--", start)
+            return (start if start >= 0 else len(text)), len(text), None, False, ""
+        if found.group(3) is not None:
+            return start, found.end(), found.group(2).lower(), found.group(1) == "/", found.group(3)
+        if found.group(2) is not None:
+            end = self._tag_end(found.end(2))
+            return start, end, found.group(2).lower(), found.group(1) == "/", text[found.end(2):end]
+        if text.startswith("<!--", start):
+            end = text.find("-->", start + 4)
+            return start, (end + 3 if end >= 0 else len(text)), None, False, ""
+        if self.cdata and text.startswith("<![CDATA[", start):
+            end = text.find("]]>", start + 9)
+            if end >= 0:
+                return start, end + 3, "![", False, text[start + 9:end]
+            self.cdata = False
+        return start, text.index(">", start) + 1, None, False, ""
+
+    def _tag_end(self, at: int) -> int:
+        """Where a tag ends: at the first > outside quotes, or if there is
+        none at the first one."""
+        text, seen, i = self.text, [], at
+        while True:
+            i = _PLAIN.match(text, i).end()
+            if i < len(text) and text[i] == ">":
+                return i + 1
+            if i == len(text) or i in self.unclosed:
+                break
+            seen.append(i)
+            i = text.find(text[i], i + 1) + 1
+            if not i:
+                break
+        self.unclosed.update(seen)
+        return text.index(">", at) + 1
+
+    def after(self, start: int, at: int, tag: str) -> int:
+        """Where the element of an inline tag at ``start`` ends; ``at``, the
+        end of the tag, if it is never closed."""
+        if tag not in self.ends:
+            ends = self.ends[tag] = {}
+            opened, close = [], -1
+            for m in re.compile(rf"<(/?){tag}\b", re.I).finditer(self.text):
+                if m.end() > self.last:
+                    break
+                if not m.group(1):
+                    opened.append(m.start())
+                elif opened:
+                    close = close if close >= m.end() else self.text.index(">", m.end())
+                    ends[opened.pop()] = close + 1
+        return max(self.ends[tag].get(start, at), at)
+
+
+class Open:
+    """The open elements of a page that is being read."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.at: dict[str, list[int]] = {}  # depths of the open elements of a name
+        self.fences: list[int] = []
+        self.dropped = 0
+
+    def inside(self, tag: str) -> bool:
+        return bool(self.at.get(tag))
+
+    def push(self, node: Node) -> None:
+        depth = len(self.stack)
+        self.at.setdefault(node.tag, []).append(depth)
+        if node.tag in FENCE:
+            self.fences.append(depth)
+        self.dropped += node.dropped
+        self.stack.append(node)
+
+    def add(self, node: Node) -> None:
+        """Hang a node on the innermost open element; past DEEPEST on the one
+        there, as part of what is dropped or marked around it."""
+        if len(self.stack) > DEEPEST:
+            inner = self.stack[-1]
+            node.dropped = node.dropped or inner.dropped
+            if inner.marked and not node.marked and node.tag not in CONTENT:
+                node.marked, node.label = True, node.label + "!"
+        self.stack[min(len(self.stack), DEEPEST) - 1].children.append(node)
+
+    def close(self, depth: int) -> None:
+        for node in reversed(self.stack[depth:]):
+            self.at[node.tag].pop()
+            if node.tag in FENCE:
+                self.fences.pop()
+            self.dropped -= node.dropped
+        del self.stack[depth:]
+        self.resume()
+
+    def resume(self) -> None:
+        """After an element past DEEPEST: what follows in the element around
+        it goes to a new node beside it, so that the order stays."""
+        if len(self.stack) > DEEPEST:
+            was = self.stack[-1]
+            rest = self.stack[-1] = Node(was.tag, was.label, was.dropped, was.marked)
+            rest.holds = was.holds
+            self.stack[DEEPEST - 1].children.append(rest)
+
+    def innermost(self, tags: set[str]) -> int:
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def fence(self) -> int:
+        return self.fences[-1] if self.fences else 0
+
+    def hold(self) -> None:
+        """The open elements have an article or main element inside."""
+        for node in reversed(self.stack):
+            if node.holds:
+                break
+            node.holds = True
+
+
 def parse(text: str) -> Node:
     """The tree of block elements. Inline elements are see-through, a br is
     white space; unclosed elements end where the standard implies it."""
     root = Node("#root", "#root", False)
-    stack, at, articles = [root], 0, 0
-    end = len(text)
-    while True:
-        found = _TOKEN.search(text, at)
-        upto = found.start() if found else end
-        if upto > at:
-            stack[-1].children.append(text[at:upto])
-        if not found:
-            return root
-        at, name = found.end(), found.group(2)
-        if name is None:
-            if text.startswith("<![CDATA[", upto):
-                stack[-1].children.append(html.escape(text[upto + 9:at - 3]))
-            continue
-        tag = name.lower()
-        if found.group(1):
-            if tag in INLINE:
-                continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    articles -= sum(n.tag == "article" for n in stack[depth:])
-                    del stack[depth:]
-                    break
-                if tag == "p" and stack[depth].tag in FENCE:
-                    break
+    markup, opened, at, end = Markup(text), Open(root), 0, len(text)
+    while at < end:
+        start, upto, tag, closes, attributes = markup.next(at)
+        if start > at:
+            opened.stack[-1].children.append(text[at:start])
+        before, at = start, upto
+        if tag is None:
             continue
-        attributes = found.group(3)
-        if tag in INLINE:
+        if tag == "![":
+            opened.stack[-1].children.append(html.escape(attributes))
+        elif closes:
+            depth = 0 if tag in INLINE else opened.innermost({tag})
+            if depth and (tag != "p" or depth > opened.fence()):
+                opened.close(depth)
+        elif tag in INLINE:
             if tag == "br" or tag == "img":
-                stack[-1].children.append(" ")
+                opened.stack[-1].children.append(" ")
             elif len(attributes) > 3:
-                _, dropped, marked = _label(tag, attributes, articles > 0)
+                _, dropped, marked = _label(tag, attributes, opened.inside("article"), True)
                 if dropped or marked:
-                    at = _after(text, at, tag)
-            continue
-        closing = {"p"} if tag in CLOSES_P else CLOSES.get(tag)
-        if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in closing:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in FENCE:
-                    break
-        label, dropped, marked = _label(tag, attributes, articles > 0)
-        if tag in ("article", "main"):
-            if not (marked or dropped or any(n.dropped for n in stack)):
-                for n in stack:
-                    n.holds = True
-            marked = False
-        node = Node(tag, label, dropped, marked)
-        stack[-1].children.append(node)
-        if tag in RAW:
-            close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(text, at) if tag != "plaintext" else None
-            at = close.end() if close else end
-        elif tag not in VOID:
-            articles += tag == "article"
-            stack.append(node)
-
-
-def _after(text: str, at: int, tag: str) -> int:
-    """Where an inline element that is no content ends."""
-    depth = 1
-    for m in re.compile(rf"<(/?){tag}\b[^>]*>", re.I).finditer(text, at):
-        depth += -1 if m.group(1) else 1
-        if not depth:
-            return m.end()
-    return at
+                    at = markup.after(before, at, tag)
+        else:
+            closing = {"p"} if tag in CLOSES_P else CLOSES.get(tag)
+            if closing:
+                depth = opened.innermost(closing)
+                if depth and depth >= opened.fence():
+                    opened.close(depth)
+            in_article = opened.inside("article")
+            label, dropped, marked = _label(tag, attributes, in_article, in_article or opened.inside("main"))
+            if tag in CONTENT:
+                if not (marked or dropped or opened.dropped):
+                    opened.hold()
+                marked = False
+            node = Node(tag, label, dropped, marked)
+            opened.add(node)
+            if tag in RAW:
+                close = re.compile(rf"</{tag}\b", re.I).search(text, at) if tag != "plaintext" else None
+                at = text.find(">", close.end()) + 1 or end if close else end
+                opened.resume()
+            elif tag in VOID:
+                opened.resume()
+            else:
+                opened.push(node)
+    return root
 
 
 class Slot:

@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from ledgerline.llm.html_extract import Slot, extract_main_text, fold_page, main_text, merge, parse
+from ledgerline.llm.html_extract import DEEPEST, Slot, extract_main_text, fold_page, main_text, merge, parse
 
 
 def text_of(page):
@@ -136,3 +138,43 @@ def test_no_cap_hides_a_template_text(spark):
     for limit in (1000, 30):
         for r in extract_main_text(pages, limit=limit).collect():
             assert r.text == f"Story {r.page_id}"
+
+
+def nested(n):
+    return "<html><body><main>" + "".join(f"<div>a{i}" for i in range(n)) + "".join(f"</div>b{i}" for i in range(n)) + "</main>"
+
+
+def test_deep_pages_keep_all_text_in_order(spark):
+    for n in (5, DEEPEST - 4, DEEPEST, DEEPEST + 1, 3 * DEEPEST):
+        assert text_of(nested(n)).split("\n") == [f"a{i}" for i in range(n)] + [f"b{i}" for i in range(n)]
+    inner = "<div>" * DEEPEST + "<p>a<hr>b</p><nav><ul><li>menu</li></ul>menu</nav>c<div class='comments'><p>no</p>no</div><p>d</p>"
+    assert text_of(inner) == "a\nb\nc\nd"
+    rows = [(i, "http://deep.example/", "<div>" * (100_000 + i) + f"text {i}") for i in range(12)]
+    rows += [(20, "http://deep.example/", "<center>" * 100_000 + "other" + "</center>" * 100_000 + "end")]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"text {i}" for i in range(12)} | {20: "other\nend"}
+
+
+@pytest.mark.parametrize("page", [
+    '<div a="' * 125_000, '<div a="' * 125_000 + ">x", '<a ">"' * 150_000, "<a " * 300_000 + ">x", "<a" * 400_000, "<!" * 400_000,
+    "<![CDATA[" * 100_000 + ">", "<p><table>" + "<center>" * 50_000 + "</p>" * 100_000, "<article>" * 80_000,
+    "<span hidden>" * 60_000 + "</span>" * 9, "</script" * 100_000, "<!--" * 200_000])
+def test_unclosed_markup_takes_no_quadratic_time(page):
+    begin = time.process_time()
+    text_of(page)
+    assert time.process_time() - begin < 20  # a second or two; by the square it would be many minutes
+
+
+def test_markup_that_is_not_closed():
+    assert text_of('<div a="x>one') == "one" and text_of('<p b=">">two') == "two"
+    assert text_of("three<div") == "three<div" and text_of("four<!-- x<p>five") == "four"
+    assert text_of("six<![CDATA[x>seven") == "six" + "seven"
+    assert text_of("<p>&#" + "9" * 6000 + "; &#" + "0" * 30 + "65;") == "� A"
+
+
+def test_style_names_on_text_inside_an_article_drop_nothing():
+    assert text_of('<article><h2 class="header">Title</h2><p class="notice">An important paragraph.</p></article>') == \
+        "Title\nAn important paragraph."
+    assert text_of('<p>He said <b class="notice">never again</b> and left.') == "He said never again and left."
+    assert text_of('<main><p class="comment">x</p><p class="banner">y</p><div class="notice">z</div><p class="ad">w</p></main>') == "y"
+    assert text_of('<div><p class="notice">z</p><p>y <span class="sponsored">x</span><span hidden>w</span></p></div>') == "y"
