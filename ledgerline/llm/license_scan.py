@@ -1,18 +1,20 @@
 """License scan: an exact set-similarity join with DataFrame functions only.
 
-The words of every document, in overlapping windows that run across line
-feeds, are its blocks, so a notice is met however its lines are broken; so
-are lines too long for a window to hold all their parts together. A template
-is a set of words. A block meets a template
-when it holds at least ``containment`` of the template's words. Words are
-put in one global order, from rarest to most frequent over all documents,
-and a pair is looked at only if
+A template is the set of words of a license notice. The words of every
+document, in overlapping windows that run across line feeds, are its blocks. A
+block meets a template when some stretch of it, ``span`` times as many words
+long as the notice, holds at least ``containment`` of the template's words: a
+notice is met however its lines are broken, words scattered over the block are
+not. Words are put in one global order, from rarest to most frequent over all
+documents, and a pair is looked at only if
 
 * length: the block has as many words of the vocabulary as are needed,
 * prefix: one of the first |T| - needed + 1 words of the template, in that
   order, is in the block (an equality join on the word), and
 * position: the words from there on can still make up what is needed.
 
+The places of the words are looked at in the pairs that are left.
+
 Words outside all templates cannot add to an overlap, so blocks are kept as
 their vocabulary words. The template side is a list in this module, hence
 broadcast; blocks are never shuffled, only documents with hits are grouped.
@@ -63,9 +65,12 @@ TEMPLATES = (
 )
 
 
+def _template_words(text: str) -> list[str]:
+    return "".join(c if c.isalnum() or ord(c) > 127 else " " for c in text.lower()).split()
+
+
 def _word_set(text: str) -> list[str]:
-    kept = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in text.lower())
-    return sorted(set(kept.split()))
+    return sorted(set(_template_words(text)))
 
 
 def _lower(text: str) -> Column:
@@ -87,82 +92,90 @@ def may_hold(text: str, phrase: str) -> Column:
     return F.col(text).rlike("(?i)" + f"{NOT_WORD}+".join(phrase.split()))
 
 
-def template_table(spark: SparkSession, templates) -> DataFrame:
-    """``(label, words)``, one row per template, made inside the plan."""
-    rows = [F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, _word_set(text))).alias("words"))
-            for label, text in templates]
-    return spark.range(1).select(F.explode(F.array(*rows)).alias("t")).select("t.*")
-
-
 def windows_of(docs: DataFrame, vocabulary: list[str], width: int) -> DataFrame:
-    """``(id, h, block)``: the vocabulary words of each window of the whole
-    text, each once. Windows are two runs of ``width // 2`` words in a row;
-    any run of so many words lies whole in one of them."""
+    """``(id, h, no, seen)``: the vocabulary words of each window of the whole
+    text with their places, and the window's number. Windows are two runs of
+    ``width // 2`` words in a row; any run of so many words lies whole in one."""
     step = width // 2
-    runs = F.transform(F.sequence(F.lit(0), F.expr(f"(size(w) - 1) div {step}").cast("int")), lambda i: F.array_distinct(
-        F.filter(F.slice("w", i * step + 1, step), lambda x: x.isin(vocabulary))))
+
+    def run(i: Column) -> Column:
+        return F.filter(F.transform(F.slice("w", i * step + 1, step), lambda x, j: F.when(
+            x.isin(vocabulary), F.struct((i * step + j).alias("at"), x.alias("word")))), lambda s: s.isNotNull())
+
+    runs = F.transform(F.sequence(F.lit(0), F.expr(f"(size(w) - 1) div {step}").cast("int")), run)
     pairs = F.when(F.size("runs") == 1, F.col("runs")).otherwise(
         F.transform(F.sequence(F.lit(1), F.greatest(F.size("runs") - 1, F.lit(1))),
-                    lambda i: F.array_union(F.element_at("runs", i), F.element_at("runs", i + 1))))
-    return docs.select("id", "h", F.split(F.lower("text"), f"{NOT_WORD}+").alias("w")) \
-        .select("id", "h", runs.alias("runs")).select("id", "h", F.explode(pairs).alias("block"))
+                    lambda i: F.concat(F.element_at("runs", i), F.element_at("runs", i + 1))))
+    return docs.select("id", "h", F.split(_lower("text"), f"{NOT_WORD}+").alias("w")) \
+        .select("id", "h", runs.alias("runs")).select("id", "h", F.posexplode(pairs).alias("no", "seen"))
 
 
-def blocks_of(docs: DataFrame, vocabulary: list[str], width: int, least: int = 0) -> DataFrame:
-    """``(id, h, block)``: the vocabulary words of each line, or of each window
-    of a very long one, each once; lines of up to ``least`` words left out."""
-    words = F.split(F.lower("line"), f"{NOT_WORD}+")
+def lines_of(docs: DataFrame, vocabulary: list[str], width: int) -> DataFrame:
+    """``(id, h, no, block)``: the vocabulary words of each line, or of each
+    window of a very long one, each once, and a number."""
+    words = F.split(_lower("line"), f"{NOT_WORD}+")
     step = width // 2
     windows = F.when(F.size("w") <= width, F.array("w")).otherwise(
         F.transform(F.sequence(F.lit(0), F.expr(f"(size(w) - {step} - 1) div {step}").cast("int")),
                     lambda i: F.slice("w", i * step + 1, width)))
-    lines = docs.select("id", "h", F.explode(F.split("text", "\n")).alias("line"))
-    if least:
-        lines = lines.filter(F.length("line") >= 2 * least)
-    return lines.select("id", "h", words.alias("w")).filter(F.size("w") > least) \
-        .select("id", "h", F.explode(windows).alias("w")) \
-        .select("id", "h", F.array_distinct(F.filter("w", lambda x: x.isin(vocabulary))).alias("block"))
+    return docs.select("id", "h", F.posexplode(F.split("text", "\n")).alias("line_no", "line")) \
+        .select("id", "h", "line_no", words.alias("w")).select("id", "h", "line_no", F.posexplode(windows).alias("part", "w")) \
+        .select("id", "h", F.struct("line_no", "part").alias("no"),
+                F.array_distinct(F.filter("w", lambda x: x.isin(vocabulary))).alias("block"))
 
 
-def template_hits(docs: DataFrame, templates, containment: float, width: int, across_lines: bool) -> DataFrame:
+def template_hits(docs: DataFrame, templates, containment: float, width: int, span: float | None) -> DataFrame:
     """``(id, h, labels, best)`` of the documents with a block that meets a
     template, with the labels its blocks meet; ``docs`` has id, h, text.
 
     A block gives the labels of all templates it meets, but for those that it
-    gives no word of its own: where all words it shares with a template it
-    also shares with one it meets better, as CC BY-NC but for "nc" is also
-    most of CC BY-SA, only the better one counts."""
+    gives no word of its own: where all words it shares with a template (in
+    stretches that meet it) it also shares with one it meets better, as CC
+    BY-NC but for "nc" is also most of CC BY-SA, only the better one counts."""
     spark = docs.sparkSession
     sets = {label: _word_set(text) for label, text in templates}
+    lengths = {label: len(_template_words(text)) for label, text in templates}
     vocabulary = sorted(set().union(*sets.values()))
-    if any(len(_word_set(text)) == 0 or len(text.split()) > width // 2 for _, text in templates):
-        raise ValueError("a template must have words, and at most half a window of them")
-    frequency = docs.select(F.explode(F.split(F.lower("text"), f"{NOT_WORD}+")).alias("word")) \
+    if not all(lengths.values()) or max(lengths.values()) * max(span or 1, 1) > width // 2:
+        raise ValueError("a template must have words, and a stretch of it at most half a window of them")
+    frequency = docs.select(F.explode(F.split(_lower("text"), f"{NOT_WORD}+")).alias("word")) \
         .filter(F.col("word").isin(vocabulary)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     frequency = dict(frequency.collect())  # at most the vocabulary of the templates
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
-    needed = F.ceil(F.size("words") * containment - 1e-9).cast("int")
     rank = F.create_map(*[x for w, i in order.items() for x in (F.lit(w), F.lit(i))])
-    ranked = template_table(spark, templates).select(
-        "label", F.array_sort(F.transform("words", lambda w: rank[w])).alias("words"), needed.alias("needed"))
-    prefix = ranked.select("label", "words", "needed", F.posexplode("words").alias("at", "word")) \
-        .filter(F.col("at") <= F.size("words") - F.col("needed"))
-    fewest = min(math.ceil(len(s) * containment - 1e-9) for s in sets.values())
-    if across_lines:  # lines of up to a step of words lie whole in a window
-        broken = docs.filter(F.col("text").contains("\n"))
-        blocks = windows_of(docs, vocabulary, width).unionAll(blocks_of(broken, vocabulary, width, width // 2))
+    needs = {label: math.ceil(len(t) * containment - 1e-9) for label, t in sets.items()}
+    rows = [F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, sorted(order[w] for w in t))).alias("words"),
+                     F.lit(needs[label]).alias("needed"), F.lit(int(lengths[label] * (span or 1))).alias("stretch"))
+            for label, t in sets.items()]
+    prefix = spark.range(1).select(F.explode(F.array(*rows)).alias("t")).select("t.*") \
+        .select("*", F.posexplode("words").alias("at", "word")).filter(F.col("at") <= F.size("words") - F.col("needed"))
+    leading = sorted(set().union(*(sorted(order[w] for w in t)[:len(t) - needs[a] + 1] for a, t in sets.items())))
+    if span is None:
+        blocks = lines_of(docs, vocabulary, width).withColumn("seen", F.lit(None))
     else:
-        blocks = blocks_of(docs, vocabulary, width)
-    blocks = blocks.filter(F.size("block") >= fewest) \
-        .select("id", "h", F.array_sort(F.transform("block", lambda w: rank[w])).alias("block"))
-    found = blocks.select("id", "h", "block", F.posexplode("block").alias("place", "word")) \
+        blocks = windows_of(docs, vocabulary, width).withColumn("block", F.array_distinct(F.col("seen.word")))
+    blocks = blocks.filter(F.size("block") >= min(needs.values())) \
+        .withColumn("block", F.array_sort(F.transform("block", lambda w: rank[w])))
+    places = F.filter(F.transform("block", lambda w, i: F.struct(i.alias("place"), w.alias("word"))),
+                      lambda s: s["word"].isin(leading))
+    found = blocks.withColumn("s", F.explode(places)).select("*", "s.place", "s.word") \
         .join(F.broadcast(prefix), "word") \
         .filter(F.size("block") >= F.col("needed")) \
         .filter(F.least(F.size("words") - F.col("at"), F.size("block") - F.col("place")) >= F.col("needed")) \
-        .withColumn("shared", F.array_intersect("block", "words")).filter(F.size("shared") >= F.col("needed"))
-    share = (F.size("shared") / F.size("words")).alias("share")
-    met = found.select("id", "h", "block", F.struct("label", share, "shared").alias("m")).groupBy("id", "h", "block") \
-        .agg(F.collect_set("m").alias("met"))
+        .withColumn("shared", F.array_intersect("block", "words")).filter(F.size("shared") >= F.col("needed")) \
+        .withColumn("most", F.size("shared"))
+    if span is not None:
+        own = F.filter(F.transform("seen", lambda s: F.struct(s["at"].alias("at"), rank[s["word"]].alias("word"))),
+                       lambda s: F.array_contains("words", s["word"]))
+        stretches = F.transform("own", lambda s: F.array_distinct(F.transform(
+            F.filter("own", lambda e: (e["at"] >= s["at"]) & (e["at"] < s["at"] + F.col("stretch"))), lambda e: e["word"])))
+        found = found.withColumn("own", own) \
+            .withColumn("meet", F.filter(stretches, lambda p: F.size(p) >= F.col("needed"))).filter(F.size("meet") > 0) \
+            .withColumn("shared", F.array_distinct(F.flatten("meet"))) \
+            .withColumn("most", F.array_max(F.transform("meet", lambda p: F.size(p))))
+    share = (F.col("most") / F.size("words")).alias("share")
+    met = found.select("id", "h", "no", F.struct("label", share, F.array_sort("shared").alias("shared")).alias("m")) \
+        .groupBy("id", "h", "no").agg(F.collect_set("m").alias("met"))
     own = F.filter("met", lambda m: ~F.exists("met", lambda n: (n["share"] > m["share"]) & (
         F.size(F.array_except(m["shared"], n["shared"])) == 0)))
     return met.select("id", "h", F.explode(own).alias("m")).groupBy("id", "h").agg(
@@ -171,7 +184,7 @@ def template_hits(docs: DataFrame, templates, containment: float, width: int, ac
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases=PHRASES,
                   templates=TEMPLATES, containment: float = 0.8, width: int = 512,
-                  across_lines: bool = False) -> DataFrame:
+                  span: float | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word,
     last_word, base_labels, labels, score.
 
@@ -181,14 +194,15 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by commas, empty if there are none; all templates that a block meets give
     their label, but for those without a word of their own, see
     :func:`template_hits`. score is 1 with a place of a phrase,
-    else the largest share of a template met, else 0. With ``across_lines``,
-    as registered, blocks run over the whole text, line feeds being white
-    space; else each line is by itself. NULL text counts as
+    else the largest share of a template met, else 0. With ``span``, as
+    registered, blocks run over the whole text, line feeds being white space,
+    and what meets a template of n words stands within ``span`` * n words; without,
+    each line is by itself and its words may stand anywhere in it. NULL text counts as
     empty, NULL ids stay, repeated rows are scanned alike; other columns are
     ignored; empty in, empty out."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), long_id(id_col).alias("id"),
                        text_or_empty(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
-    hits = materialize(template_hits(rows, templates, containment, width, across_lines), "license-hits")
+    hits = materialize(template_hits(rows, templates, containment, width, span), "license-hits")
     some = reduce(Column.__or__, (may_hold("text", p) for p, _ in phrases))
     split = F.split("text", f"{NOT_WORD}+")
     count = F.size("w") - (F.element_at("w", 1) == "").cast("int") \

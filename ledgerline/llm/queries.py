@@ -41,7 +41,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents"), containment=0.8, across_lines=True)
+    return scan_licenses(table(spark, sf_dir, "documents"), containment=0.8, span=2.0)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import re
 import textwrap
 
@@ -70,17 +71,25 @@ def labels_of(spark, monkeypatch, texts):
     return [set(r.labels.split(",")) for r in queries.op5_license_scan(spark, "").orderBy("doc_id").collect()]
 
 
-def whole_text_shares(text, width=512):
-    """Largest share of each template over the windows of the whole text and
-    its lines, by force."""
-    best = dict.fromkeys(dict(TEMPLATES), 0.0)
-    for part in [text, *text.split("\n")]:
-        w = re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", part.lower())
-        for i in range(0, max(1, len(w) - width // 2), width // 2):
-            block = set(w[i:i + width])
-            for a, b in TEMPLATES:
-                best[a] = max(best[a], len(set(_word_set(b)) & block) / len(_word_set(b)))
-    return best
+def brute_labels(text, width=512, containment=0.8, span=2):
+    """Labels and best share of the registered query by force: stretches of
+    every window of the whole text."""
+    w = re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.translate(LOWER))
+    labels, best, step = set(), 0.0, width // 2
+    for i in range(0, max(1, step * ((len(w) - 1) // step)), step):
+        block, met = w[i:i + width], {}
+        for label, notice in TEMPLATES:
+            t = set(_word_set(notice))
+            stretch = span * len(re.findall(r"[a-z0-9]+", notice.lower()))
+            parts = [t & set(block[k:k + stretch]) for k in range(len(block)) if block[k] in t]
+            parts = [p for p in parts if len(p) >= containment * len(t) - 1e-9]
+            if parts:
+                met[label] = max(map(len, parts)) / len(t), set().union(*parts)
+        for label, (share, shared) in met.items():
+            if not any(s > share and shared <= o for s, o in met.values()):
+                labels.add(label)
+                best = max(best, share)
+    return labels, best
 
 
 def test_notices_over_several_lines(spark, monkeypatch):
@@ -91,9 +100,9 @@ def test_notices_over_several_lines(spark, monkeypatch):
     got = labels_of(spark, monkeypatch, [*wrapped, spread, "a\nb", ""])
     for (label, _), labels in zip(TEMPLATES, got):
         assert label in labels
-    assert whole_text_shares(spread)["isc-terms"] == 1 and "isc-terms" in got[-3] and got[-2:] == [{""}, {""}]
+    assert got[-3:] == [{""}, {""}, {""}]  # words that lie far apart are no notice
     for text, labels in zip([*wrapped, spread], got):
-        assert {a for a in labels if a in dict(TEMPLATES)} <= {a for a, s in whole_text_shares(text).items() if s >= 0.8 - 1e-9}
+        assert {a for a in labels if a in dict(TEMPLATES)} == brute_labels(text)[0]
 
 
 def test_all_templates_of_a_block_count(spark, monkeypatch):
@@ -104,3 +113,38 @@ def test_all_templates_of_a_block_count(spark, monkeypatch):
                                          t["gpl-terms"], t["agpl-notice"]])
     assert got == [{"mit-terms", "bsd-terms"}, {"mit-terms", "apache-terms", "isc-terms"}, {"cc-by-nc"}, {"cc-by-nc", "cc-by-sa"},
                    {"gpl", "gpl-terms"}, {"agpl-notice", "gpl", "gpl-terms"}]
+
+
+FAR = "a man from the city went to see what was there and found nothing of note "
+
+
+def test_scattered_words_are_no_notice(spark, monkeypatch):
+    texts = ["The hostages were released " + FAR * 4 + "under a new law " + FAR * 4 + "which needs a license of the state",
+             "We opened 4 offices to 0 protest. " + FAR + "They are licensed by the state under rule cc of the code by nc staff.",
+             dict(TEMPLATES)["apache-notice"] + ". " + FAR * 9 + "A talk at mit.",
+             "Released under the " + "very " * 9 + "MIT License", "Released under the very MIT License"]
+    assert labels_of(spark, monkeypatch, texts) == [{""}, {""}, {"apache", "apache-notice"}, {"mit"}, {"mit", "mit-notice"}]
+
+
+def test_registered_query_matches_brute_force(spark, monkeypatch):
+    rnd = random.Random(5)
+    notices = [n.split() for _, n in TEMPLATES]
+    texts = []
+    for _ in range(120):
+        words = []
+        for _ in range(rnd.randint(1, 4)):
+            words += ["x"] * rnd.choice([0, 3, 200, 240, 255, 256, 300])
+            for word in rnd.choice(notices):
+                if rnd.random() > 0.12:
+                    words += [word] + rnd.choices(["the", "license", "\n", "K\u212a"], k=rnd.choice([0, 0, 0, 1, 2]))
+        texts.append(" ".join(words))
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1]), (None, texts[2]), (500, None), (501, "")]
+    monkeypatch.setattr(queries, "table", lambda *_: spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((str(r.doc_id), r.n_words, r.labels, round(r.score, 9)) for r in queries.op5_license_scan(spark, "").collect())
+    want = []
+    for i, text in rows:
+        own = brute(text)
+        labels, best = brute_labels(text or "")
+        labels |= set(filter(None, own[4].split(",")))
+        want.append((str(i), own[0], ",".join(sorted(labels)), round(1.0 if own[1] else best, 9)))
+    assert got == sorted(want)
