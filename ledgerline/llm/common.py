@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import math
 import sys
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql.types import BinaryType
 from ..session import materialize
 
 __all__ = ["table", "text_or_empty", "long_id", "text_mark", "ascii_lower_bytes", "free_names", "give_back", "rows_kept",
-           "connected_components", "materialize", "NO_ID"]
+           "connected_components", "known_labels", "smallest", "materialize", "NO_ID"]
 
 #: Stands for a NULL id inside the operators, so that groupings stay total.
 NO_ID = -(1 << 63)
@@ -87,6 +88,28 @@ def ascii_lower_bytes(text: pa.Array) -> pa.Array:
     return pc.ascii_lower(text).cast(pa.binary())
 
 
+def known_labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``(id, y)``: the label, 0 or 1, of each labelled id, one row however
+    often it is repeated; ids that have both labels are left out."""
+    return labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
+        .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull()) \
+        .groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("other")).filter("y = other").select("id", "y")
+
+
+def smallest(rows: DataFrame, n: int, mark: str, *ties: str) -> DataFrame:
+    """The ``n`` rows that come first by ``mark``, an even 64-bit hash, then by
+    ``ties``. A threshold that lets about so many through is taken first, so
+    that not every task sends ``n`` rows to the one that picks them."""
+    share = (n + 6 * math.sqrt(n) + 6) / max(rows.count(), 1)
+    while share < 1:
+        some = rows.filter(F.col(mark) <= int(share * 2.0 ** 64) - 2 ** 63)
+        if some.count() >= n:
+            rows = some
+            break
+        share *= 2
+    return rows.orderBy(mark, *ties).limit(n)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, root)`` for every node on an edge: root is the smallest node
     reachable. Alternating large and small stars; each half step is written,

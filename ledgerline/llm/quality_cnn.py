@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, text_or_empty
+from .common import give_back, known_labels, smallest, text_or_empty
 from .tokens import in_small_batches
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -198,14 +198,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Train on at most ``per_class`` rows of either label, those of smallest
     id hash among the rows not held out. Of a text over ``train_bytes`` long,
     evenly spread pieces of that total length are learned from. Rows with a
-    NULL id or label, and labels without a document, are not used; of rows
-    that share an id the least text is."""
-    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
-        .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~is_held_out("id", modulus, remainder))
+    NULL id or label, ids with both labels, and labels without a document are
+    not used; a repeated label counts once, and of documents that share an id
+    the least text is used."""
+    known = known_labels(labels, id_col, label_col).filter(~is_held_out("id", modulus, remainder))
     counts = dict(known.groupBy("y").count().collect())
     hashed = known.withColumn("h", F.xxhash64("id"))
-    sample = hashed.filter("y = 0").orderBy("h", "id").limit(per_class).union(
-        hashed.filter("y = 1").orderBy("h", "id").limit(per_class))
+    sample = smallest(hashed.filter("y = 0"), per_class, "h", "id").union(smallest(hashed.filter("y = 1"), per_class, "h", "id"))
     pieces, part = 16, train_bytes // 16
 
     @F.arrow_udf("binary")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import known_labels, materialize, smallest, text_or_empty
 from .decontaminate import words
 from .quality_cnn import is_held_out
 
@@ -77,17 +77,17 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   support: float = 0.005, odds: float = 3.0) -> tuple[Lexicon, float, DataFrame]:
     """The lexicon, the share of label 1 and the rows learned from: ``(id,
     y)``, at most ``toxic_rows`` of label 1 and ``other_rows`` of label 0,
-    those of smallest id hash among the rows not held out. Terms are counted
+    those of smallest id hash among the rows not held out; a repeated label
+    counts once, ids with both labels are not used. Terms are counted
     on Spark, each text once however often it is repeated; of the terms in
     ``least`` toxic texts and a share ``support`` of them or more, with
     smoothed log odds over ``odds``, the ``entries`` of largest odds stay.
     Words and word starts are dealt to voters of like support."""
-    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
-        .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~is_held_out("id", modulus, remainder))
+    known = known_labels(labels, id_col, label_col).filter(~is_held_out("id", modulus, remainder))
     counts = dict(known.groupBy("y").count().collect())
     hashed = known.withColumn("h", F.xxhash64("id"))
-    sample = hashed.filter("y = 0").orderBy("h", "id").limit(other_rows).union(
-        hashed.filter("y = 1").orderBy("h", "id").limit(toxic_rows)).select("id", "y")
+    sample = smallest(hashed.filter("y = 0"), other_rows, "h", "id").union(
+        smallest(hashed.filter("y = 1"), toxic_rows, "h", "id")).select("id", "y")
 
     @F.arrow_udf("array<string>")
     def distinct_terms(texts: pa.Array) -> pa.Array:
@@ -267,15 +267,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     NULL text counts as empty and is scored; NULL ids stay and are not held
     out; repeated rows and ties score alike; only the text enters the score;
     without usable labels every voter is a pattern. The classifier learns
-    from at most ``sample`` documents, those of smallest feature hash."""
+    from at most ``sample`` documents not held out, those of smallest hash of
+    id and features; no more than about these go to the driver."""
     lexicon, share, known = learn_lexicon(docs, labels, id_col, text_col, label_col, modulus, remainder, **lexicon_limits)
     features = materialize(text_features(docs, lexicon, id_col, text_col, modulus, remainder), "toxicity-features")
     known = features.join(F.broadcast(known), features.doc_id == known.id).groupBy("id") \
         .agg(F.min(F.struct("features", "y")).alias("r")).orderBy("id").select("r.*").collect()  # one row per labelled id
     voted = votes_of([r[0] for r in known], lexicon.voter_of, lexicon.voters)
     model = fit_label_model(*vote_moments(features, lexicon), share, voted, np.array([r[1] for r in known], float))
-    some = [r[0] for r in features.filter("not held_out").orderBy(F.xxhash64("doc_id"), "doc_id", "features")
-            .limit(sample).select("features").collect()]
+    hashed = features.filter("not held_out").withColumn("h", F.xxhash64("doc_id", "features"))
+    some = [r[0] for r in smallest(hashed, sample, "h", "doc_id", "features").select("features").collect()]
     target = model.posterior(votes_of(some, lexicon.voter_of, lexicon.voters))
     weights = fit_linear(some, target, len(lexicon.voter_of))
     shared = docs.sparkSession.sparkContext.broadcast(weights)

@@ -6,6 +6,7 @@ import pytest
 
 from ledgerline.llm import quality_cnn as Q
 from ledgerline.llm import toxicity as T
+from ledgerline.llm.common import known_labels, smallest
 
 WORDS = [a + b + c for a in ("re", "th", "on", "an") for b in ("ing", "ed", "er", "at") for c in ("sh", "ti", "ly", "")]
 BAD = [f"vile{x}" for x in "abcdefgh"]
@@ -58,6 +59,29 @@ def test_held_out_labels_are_not_learned(data):
     assert all((p == q).all() for p, q in zip(a.parts(), b.parts())) and a.shift == b.shift
 
 
+def test_repeated_labels_count_once(spark, data):
+    docs, labels = data
+    again = labels.filter("doc_id = 3").crossJoin(spark.range(300)).drop("id")
+    both = spark.createDataFrame([(1001, 0, 0), (1001, 1, 1)], labels.schema)
+    more = labels.union(again).union(both)
+    known = {r.id: r.y for r in known_labels(more, "doc_id", "quality").collect()}
+    assert known == {r.doc_id: r.quality for r in labels.collect() if r.doc_id is not None and r.quality is not None}
+    a, b = (Q.fit(docs, x, per_class=20, epochs=1) for x in (labels, more))
+    assert all((p == q).all() for p, q in zip(a.parts(), b.parts())) and a.shift == b.shift
+    a, b = (T.learn_lexicon(docs, x, toxic_rows=50, other_rows=60) for x in (labels, more))
+    assert a[0].terms == b[0].terms and a[1] == b[1] and sorted(a[2].collect()) == sorted(b[2].collect())
+
+
+def test_smallest_by_hash(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(30_000).withColumn("h", F.xxhash64("id"))
+    for n in (0, 1, 50, 29_999, 40_000):
+        assert smallest(rows, n, "h", "id").collect() == rows.orderBy("h", "id").limit(n).collect()
+    few = rows.withColumn("h", F.col("id") * 0 + (1 << 62))  # all alike, and above the first threshold
+    assert [r.id for r in smallest(few, 5, "h", "id").collect()] == [0, 1, 2, 3, 4]
+    assert smallest(rows.limit(0), 5, "h", "id").count() == 0
+
+
 def test_network_pools_the_whole_text():
     rng = np.random.default_rng(0)
     net = Q.train([b"a", b"b"], [0, 1], 0.5, epochs=1)
