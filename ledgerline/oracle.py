@@ -689,6 +689,10 @@ SELECT *, CAST(0 AS BIGINT) AS orphans_left FROM (
     return out
 
 
+STORED_VIEWS = ("vw_executive_kpis", "vw_product_profitability", "vw_segment_profitability", "vw_shipping_performance",
+                "vw_product_pareto", "vw_sales_detail")
+
+
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(_star_tables())
@@ -697,6 +701,9 @@ def all_sql() -> dict[str, str]:
     out.update(_views())
     out.update(_quality())
     out.update(_measures())
+    out.update({f"stored_{name}": out[name] for name in STORED_VIEWS})
+    out.update({"rollup_by_region": out["by_region"], "rollup_by_category": out["by_category"],
+                "rollup_executive_kpis": out["vw_executive_kpis"]})
     out.update(_cleaning())
     out.update(_conflicts())
     out.update(_dirty(out))
