@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from .dates import WHITESPACE
 
@@ -23,7 +23,10 @@ def _text(col: Column) -> Column:
 
 
 def to_decimal(col: Column, dtype, target: str = MONEY_TYPE) -> Column:
-    """Numeric text → DECIMAL; anything unparseable ('abc', 'NaN') → NULL."""
+    """Numeric text or floating point → DECIMAL; anything that is no such
+    number ('abc', 'NaN', infinite, too large) → NULL. Other numbers stay."""
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return col.cast(StringType()).try_cast(target)  # by their shortest digits: 0.1 is 0.1
     if isinstance(dtype, NumericType):
         return col
     return _text(col).try_cast(target)

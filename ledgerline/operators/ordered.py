@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from ..session import materialize
 
@@ -79,6 +80,13 @@ def ordered_index(df: DataFrame, order: Sequence[Column | str], name: str = "row
     return index_from_tags(tag_ranges(df, order, partitions, positions=True), name)
 
 
+def _added(a: str, b: str, kind: DataType) -> Column:
+    """a + b; a decimal of full precision would lose its last digit to the carry."""
+    if isinstance(kind, DecimalType) and kind.precision == 38:
+        return F.col(a).cast(DecimalType(37, kind.scale)) + F.col(b).cast(DecimalType(37, kind.scale))
+    return (F.col(a) + F.col(b)).cast(kind)
+
+
 def running_sum(df: DataFrame, order: Sequence[Column | str], value: str, name: str,
                 partitions: int | None = None) -> DataFrame:
     """Cumulative sum of ``value`` from the first row through the current row
@@ -91,7 +99,7 @@ def running_sum(df: DataFrame, order: Sequence[Column | str], value: str, name:
     totals = tagged.groupBy("_part").agg(F.sum(value).alias("_tot"))
     offsets = _offsets(totals, "_tot")
     return (with_local.join(F.broadcast(offsets), "_part")
-            .withColumn(name, (F.col("_offset") + F.col("_local")).cast(with_local.schema["_local"].dataType))
+            .withColumn(name, _added("_offset", "_local", with_local.schema["_local"].dataType))
             .drop("_part", "_local", "_offset"))
 
 

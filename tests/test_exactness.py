@@ -12,6 +12,7 @@ from ledgerline import registry as R
 from ledgerline.functions.dates import DAY_FIRST, MONTH_FIRST, failed_date, parse_date
 from ledgerline.functions.numeric import ratio
 from ledgerline.operators.clean import clean_order_lines
+from ledgerline.operators.ordered import running_sum
 from ledgerline.plans import conflicts as Q
 from ledgerline.plans import quality as G
 from ledgerline.plans import star as K
@@ -33,6 +34,21 @@ def test_sales_keep_their_digits(spark):
     assert bands == {"0-10%": 2, "10-20%": 1, "No Discount": 1}
 
 
+def test_floating_point_input_is_summed_exactly(spark):
+    raw = spark.createDataFrame([("o1", 0.1, 1), ("o2", 0.2, 1), ("o3", 1728.122, 1), ("o4", float("nan"), 1), ("o5", float("inf"), 1)],
+                                "order_id string, sales double, quantity int")
+    lines = clean_order_lines(raw.withColumns({"profit": F.col("sales").cast("float"), "discount": F.lit(0.1)}))
+    assert lines.agg(F.sum("sales")).first()[0] == Decimal("1728.422")
+    assert lines.agg(F.sum("profit")).first()[0] == Decimal("1728.422")
+    assert lines.where("discount = 0.1").count() == 5 and lines.where("sales is null").count() == 2
+
+
+def test_running_totals_keep_the_last_digit(spark):
+    df = spark.range(40).select("id", F.lit(Decimal("0.00000001")).cast("decimal(38,8)").alias("v"))
+    got = {r.id: r.total for r in running_sum(df, ["id"], "v", "total", partitions=4).collect()}
+    assert got == {i: Decimal("0.00000001") * (i + 1) for i in range(40)}
+
+
 def test_ratio_rounds_once(spark):
     cases = [("49999.9999", "1000000000", "0.0000"), ("0.00005", "1", "0.0001"), ("-0.00005", "1", "-0.0001"),
              ("1", "-3", "-0.3333"), ("123456789012.12345678", "3", "41152263004.0412")]
