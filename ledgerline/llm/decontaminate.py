@@ -88,9 +88,10 @@ class Index:
         self.terms = {t: i for i, t in enumerate(postings)}
         self.lists = [([u for u, _ in e], [x for _, x in e]) for e in postings.values()]
         #: Row t: the largest impact of term t in each block; the last row, of unknown words, is zero.
+        #: Rounded up, so that no bound made of them lies under a score.
         self.maxima = np.zeros((len(self.lists) + 1, -(-len(units) // self.block)), np.float32)
         for t, (ids, impacts) in enumerate(self.lists):
-            np.maximum.at(self.maxima[t], np.array(ids) // self.block, impacts)
+            np.maximum.at(self.maxima[t], np.array(ids) // self.block, np.nextafter(np.float32(impacts), np.float32(2)))
 
     def wand(self, query: set[int], block: int, least: float) -> list[tuple[int, float]]:
         """``(unit, score)`` of the block's units scoring at least ``least``."""
