@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
@@ -20,6 +22,17 @@ MONTH_FIRST = ("M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "yyyy-M-d", "yyyy/M/d",
 WHITESPACE = " \t\n\r\x0b\x0c"
 
 
+# What each part of a layout can match at most (a number may have a sign and zeros before it).
+_SHAPES = {"yyyyMMdd": r"[-+]?\d{8,}", "yyyy": r"[-+]?\d{4,}", "MMMM": ".+", "MMM": ".+", "'T'": "[Tt]", **dict.fromkeys("MdHms", r"[-+]?\d+")}
+
+
+def shape(layout: str) -> str:
+    """A regular expression that every text in this layout matches, and few
+    others: far cheaper than an attempt to parse."""
+    parts = re.findall(r"yyyyMMdd|yyyy|M+|'T'|.", layout)
+    return f"^{''.join(_SHAPES.get(p, re.escape(p)) for p in parts)}$"
+
+
 def parse_date(col: Column, dtype, formats=DAY_FIRST) -> Column:
     """Text → DATE trying each layout; unparseable text becomes NULL.
 
@@ -30,7 +43,7 @@ def parse_date(col: Column, dtype, formats=DAY_FIRST) -> Column:
         return col.cast("date")
     text = F.btrim(col.cast(StringType()), F.lit(WHITESPACE))
     text = F.when(text != "", text)
-    tries = [F.try_to_date(text, fmt) for fmt in formats]
+    tries = [F.when(text.rlike(shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats]
     return F.coalesce(*tries) if len(tries) > 1 else tries[0]
 
 
