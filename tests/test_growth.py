@@ -36,7 +36,7 @@ def test_marks_are_hashed_and_given_positions_decide(spark, tmp_path, monkeypatc
     spark.createDataFrame([("a", "f2", 1), ("a", "f10", 7), ("b", "f1", 0), ("a", "f10", 9), (None, "f1", 3)], "v string, file string, line long") \
         .write.parquet(str(tmp_path / "t"))
     plans, write = [], clean.materialize
-    monkeypatch.setattr(clean, "materialize", lambda df, label: (plans.append((label, _plan(df))), write(df, label))[1])
+    monkeypatch.setattr(clean, "materialize", lambda df, label, *how: (plans.append((label, _plan(df))), write(df, label, *how))[1])
     kept = clean.first_rows(spark.read.parquet(str(tmp_path / "t")), ["file", "line"])
     assert sorted(map(tuple, kept.collect()), key=str) == [("a", "f10", 7), ("b", "f1", 0), (None, "f1", 3)]
     assert [label for label, _ in plans] == ["lines", "repeated-rows", "repeated-rows"]  # rows are made once
