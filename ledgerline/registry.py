@@ -36,6 +36,7 @@ _STARS: dict[tuple, Star] = {}
 _VARIANTS: dict[tuple, DataFrame] = {}
 _CELLS: dict[tuple, DataFrame] = {}
 _STORED: dict[tuple, str] = {}
+LARGE_ORDER = 100_000  # line items that one task sorts with ease
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,9 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         if key not in _STARS:
             ensure_checkpoint_dir(spark)
             lines = C.clean_order_lines(FX.order_lines(spark, sf_dir), dedupe=False)
-            _STARS[key] = K.build_star(lines, dedupe=True)
+            # The lines come placed by order, and are numbered there unless one order has very many.
+            groups = "order_id" if FX.largest_order(spark, sf_dir) <= LARGE_ORDER else None
+            _STARS[key] = K.build_star(lines, dedupe=True, groups=groups)
         return _STARS[key]
 
 

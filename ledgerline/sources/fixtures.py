@@ -69,6 +69,14 @@ def order_lines(spark: SparkSession, sf_dir: str, product_id: str = "p_partkey")
     return joined_tables(spark, sf_dir).selectExpr(*exprs)
 
 
+def largest_order(spark: SparkSession, sf_dir: str, slots: int = 1 << 16) -> int:
+    """No order has more line items than this: those of the fullest of the
+    slots that the order keys hash to. At most ``slots`` rows a task move."""
+    slot = F.pmod(F.hash("l_orderkey"), F.lit(slots)).alias("slot")
+    counts = read_table(spark, sf_dir, "lineitem").groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
 def conflict_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text lines keyed by a product code that several parts share: dates
     month first with every 50th 'bad', names of second lines padded by a

@@ -1,5 +1,6 @@
 """What keeps time, shuffles and spills of the star build in proportion to its input."""
 
+import datetime
 import re
 
 from pyspark.sql import functions as F
@@ -100,3 +101,46 @@ def test_compressed_csv_comes_back_whole(spark, tmp_path):
     write_csv(df, str(tmp_path / "z"), "gzip")
     assert [p.name for p in (tmp_path / "z").glob("*.csv")] == []
     assert sorted(map(tuple, read_csv(spark, str(tmp_path / "z")).collect())) == [(" pad ", None), ("a,\"b\"", "line\nbreak")]
+
+
+LINES = [(2, "c1", "p1", 1.0), (2, "c1", "p1", 1.0), (2, "c2", "p2", 1.0), (1, "c2", "p1", 3.0), (1, "c2", "p1", None), (None, "c3", "p2", 2.0),
+         (None, None, "p1", 2.0), (None, "c3", "p2", 2.0), (7, None, "p3", 0.0), (7, "c1", None, 0.0), (7, "c1", None, 0.0), (7, "c1", "p1", 5.0)]
+
+
+F_DATE = datetime.date(2014, 1, 2)
+
+
+def _grouped(spark, rows):
+    return spark.createDataFrame([(o, c, f"n{c}", p, f"n{p}", F_DATE, s) for o, c, p, s in rows],
+                                 "order_id long, customer_id string, customer_name string, product_id string, product_name string, order_date date, sales double")
+
+
+def test_lines_numbered_in_groups_make_the_same_star(spark):
+    lines = _grouped(spark, LINES)
+    plain, grouped = K.build_star(lines, dedupe=True), K.build_star(lines, dedupe=True, groups="order_id")
+    for name, table in plain.tables().items():
+        assert sorted(map(tuple, table.collect()), key=str) == sorted(map(tuple, grouped.tables()[name].select(table.columns).collect()), key=str), name
+    assert sorted(r["sales_key"] for r in grouped.fact.collect()) == list(range(1, 10))
+
+
+def test_products_with_a_repeated_id_are_looked_up_by_all_columns(spark):
+    rows = [(1, "c", "n", "p", "x", F_DATE, 1.0), (2, "c", "n", "p", "y", F_DATE, 1.0)]
+    star = K.build_star(spark.createDataFrame(rows, _grouped(spark, LINES).schema), dedupe=True, groups="order_id")
+    assert sorted((r["order_id"], r["product_key"]) for r in star.fact.collect()) == [(1, 1), (2, 2)]
+    assert K._by_id(star.product).columns == star.product.columns
+    assert K._by_id(star.product.limit(1)).columns == ["product_id", "product_key"]
+
+
+def test_wide_lines_do_not_move_after_the_joins(spark, monkeypatch):
+    plans, write = [], K.materialize_bucketed
+    monkeypatch.setattr(K, "materialize_bucketed", lambda df, *how: (plans.append(_plan(df)), write(df, *how))[1])
+    lines = clean.clean_order_lines(fixtures.order_lines(spark, SF), dedupe=False)
+    numbered, _ = K.number_groups(lines, "order_id")
+    assert len(re.findall(r"Exchange hashpartitioning\((?:l|o)_orderkey", plans[0])) == 2
+    assert "Exchange hashpartitioning(order_id" not in plans[0] and "rangepartitioning" not in plans[0]
+    assert not re.search(r"Exchange hashpartitioning\(order_id", _plan(numbered))  # the bucketed lines are read in place
+
+
+def test_an_order_with_very_many_lines_is_seen(spark):
+    counts = fixtures.read_table(spark, SF, "lineitem").groupBy("l_orderkey").count().agg({"count": "max"}).first()[0]
+    assert counts <= fixtures.largest_order(spark, SF) < 100 * counts
