@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from ledgerline import session
 from ledgerline.functions.dates import DAY_FIRST, MONTH_FIRST, parse_date, shape
 from ledgerline.operators import clean
 from ledgerline.plans import star as K
@@ -144,3 +145,10 @@ def test_wide_lines_do_not_move_after_the_joins(spark, monkeypatch):
 def test_an_order_with_very_many_lines_is_seen(spark):
     counts = fixtures.read_table(spark, SF, "lineitem").groupBy("l_orderkey").count().agg({"count": "max"}).first()[0]
     assert counts <= fixtures.largest_order(spark, SF) < 100 * counts
+
+
+def test_bucketed_rows_leave_no_table_behind(spark):
+    before = len(spark.catalog.listTables())
+    kept = session.materialize_bucketed(spark.range(100).withColumn("v", F.col("id") % 7), "id", "some-rows", "zstd")
+    assert len(spark.catalog.listTables()) == before
+    assert kept.groupBy("v").count().count() == 7 and "Exchange" not in _plan(kept.groupBy("id").count())
