@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import math
+import re
 import sys
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql.types import BinaryType
 
 from ..session import materialize
 
-__all__ = ["table", "text_or_empty", "long_id", "text_mark", "ascii_lower_bytes", "free_names", "give_back", "rows_kept",
+__all__ = ["table", "text_or_empty", "long_id", "text_mark", "ascii_lower_bytes", "free_names", "give_back", "short_batches", "rows_kept",
            "connected_components", "known_labels", "smallest", "materialize", "NO_ID"]
 
 #: Stands for a NULL id inside the operators, so that groupings stay total.
@@ -81,6 +82,19 @@ def give_back(encoders: bool = True, tables: bool = True) -> None:
     pa.default_memory_pool().release_unused()
 
 
+def short_batches(spark: SparkSession, limit: int = 4_000_000) -> None:
+    """Let the session hand texts to Python in Arrow batches of about ``limit``
+    bytes at most. Spark's own bounds, 10,000 rows and 64 MB, let a batch of
+    long texts grow to tens of MB, held by the executor and its worker, a few
+    times over, in every task. No result depends on it; a smaller bound that
+    the session has stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sql(f"SET {name}").first()["value"]
+    size = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", now.strip().lower())
+    if size is None or int(size[1]) << 10 * " kmgtp".index(size[2] or " ") > limit:
+        spark.conf.set(name, f"{limit}b")
+
+
 @F.arrow_udf(BinaryType())
 def ascii_lower_bytes(text: pa.Array) -> pa.Array:
     """UTF-8 bytes of a text with A-Z, and only those, lower-cased."""

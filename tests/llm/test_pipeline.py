@@ -2,7 +2,11 @@ import re
 
 import __spark_entry__ as entry
 import corpus_pipeline
+import pyarrow as pa
+import pytest
 from ledgerline.llm import queries
+from ledgerline.llm.common import short_batches
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,3 +40,34 @@ def test_run_packs_what_the_stages_keep(spark):
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert not any(item in docs[d] for d in kept for item in items)
     assert all(sum(r.length for r in rows if r.doc_id == d) == next(r.doc_tokens for r in rows if r.doc_id == d) for d in kept)
+
+
+BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
+def test_stages_hand_texts_over_in_short_batches(spark, no_docs, stage):
+    before = spark.conf.get(BYTES)
+    try:
+        stage(spark, no_docs, SF)
+        texts = spark.range(0, 8_000, 1, 1).select(F.repeat(F.lit("0123456789"), 200).alias("text"))
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+        rows, most = texts.mapInArrow(sizes, "n long, size long").agg(F.sum("n"), F.max("size")).first()
+        assert rows == 8_000 and most < 5_000_000  # 16 MB in one batch otherwise
+    finally:
+        spark.conf.set(BYTES, before)
+
+
+def test_a_smaller_bound_of_the_session_stays(spark):
+    before = spark.conf.get(BYTES)
+    try:
+        for given, kept in (("1m", "1m"), ("64m", "4000000b"), ("2000000", "2000000")):
+            spark.conf.set(BYTES, given)
+            short_batches(spark)
+            assert spark.sql(f"SET {BYTES}").first()["value"] == kept
+    finally:
+        spark.conf.set(BYTES, before)
