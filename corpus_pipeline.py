@@ -46,9 +46,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left, packed into sequences of 1024 tokens."""
+    """The pieces of what is left, packed into sequences of 1024 tokens.
+    Workers keep few words and no tokenizer after a task: executors have
+    filled their heap by now, and more workers live than tasks run."""
     short_batches(spark)
-    return pack(docs, default_tokenizer(), length=1024, max_segments=64, max_loss=1024)
+    return pack(docs, default_tokenizer(), length=1024, max_segments=64, max_loss=1024, remember=50_000, release=True)
 
 
 STAGES = [

@@ -67,9 +67,9 @@ def rows_kept(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
 
 def give_back(encoders: bool = True, tables: bool = True) -> None:
     """Return what a worker does not use to the system, as workers live on
-    while their executor needs the memory for other steps: buffers that Arrow
-    has freed, and the remembered words of tokenizers and tables of networks that
-    an earlier step has left."""
+    while their executor needs the memory for other steps: memory that Python
+    and Arrow have freed, and the remembered words of tokenizers and tables of
+    networks that an earlier step has left."""
     quality = sys.modules.get(f"{__package__}.quality_cnn")
     if tables and quality is not None:
         quality._last.clear()
@@ -77,9 +77,9 @@ def give_back(encoders: bool = True, tables: bool = True) -> None:
     if encoders and tokens is not None and tokens._loaded:
         tokens._loaded.clear()
         gc.collect()
-        if sys.platform == "linux":
-            ctypes.CDLL(None).malloc_trim(0)
     pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def short_batches(spark: SparkSession, limit: int = 4_000_000) -> None:

@@ -95,7 +95,7 @@ def room(item: tuple, tokens: int, bearing: int) -> int:
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
          prompt_col: str | None = None, length: int = 1024, max_segments: int = 64,
          max_loss: int = 1024, pool: int = 1024, least: int = 8, with_ids: bool = False,
-         remember: int = 500_000) -> DataFrame:
+         remember: int = 500_000, release: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, loss_tokens, and ids (binary, little-endian unsigned
     32-bit) if asked for.
@@ -106,9 +106,11 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     Every id lies in one piece; pieces of a sequence lie gapless from offset
     0. A cut shorter than ``least`` is not made. NULL ids and repeated rows
     are packed like others; other columns are ignored; an empty table gives
-    no pieces. ``remember`` bounds the words whose ids a worker keeps (memory
-    for time, the same result). Sequence ids are unique and, for the same partitions of input,
-    the same in every run."""
+    no pieces. ``remember`` bounds the words whose ids a worker keeps; with
+    ``release`` it keeps them and the tokenizer to the end of a task only, as
+    an executor may have more workers than tasks at a time (both memory for
+    time, the same result). Sequence ids are unique and, for the same
+    partitions of input, the same in every run."""
     if min(length, max_segments, max_loss, pool) < 1:
         raise ValueError("every limit must be at least 1")
 
@@ -117,6 +119,9 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = read_items(batches, tokenizer, prompt_col is not None, remember)
         yield from place_items(items, limits, pool, least, with_ids, TaskContext.get().partitionId() << 33)
+        if release:
+            items = None
+            give_back()
 
     prompt = text_or_empty(prompt_col) if prompt_col else F.lit("")
     return docs.select(F.col(id_col).cast("long"), prompt.alias("prompt"), text_or_empty(text_col).alias("text")) \
@@ -126,13 +131,14 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
 def read_items(batches: Iterator[pa.RecordBatch], tokenizer: str, prompts: bool,
                remember: int = 500_000) -> Iterator[tuple]:
     """``(doc_id, 0, ids, number of ids, first loss-bearing position)`` of
-    each row ``(doc_id, prompt, text)``."""
+    each row ``(doc_id, prompt, text)``. Texts are encoded together while
+    their words are not many more than those to remember."""
     code, end = encoder(tokenizer, remember), np.array([END_ID], "<u4").tobytes()
     for batch in batches:
         give_back(encoders=False)
         doc_ids, texts = batch.column(0).to_pylist(), batch.column(2)
         sizes = pc.binary_length(texts).to_pylist()
-        for some in in_small_batches(range(len(doc_ids)), sizes.__getitem__):
+        for some in in_small_batches(range(len(doc_ids)), sizes.__getitem__, min(2_000_000, 10 * remember)):
             cut = slice(some[0], some[-1] + 1)
             heads = code.encode(batch.column(1)[cut].to_pylist()) if prompts else [b""] * len(some)
             for doc, head, body in zip(doc_ids[cut], heads, code.encode(texts[cut].to_pylist())):

@@ -9,7 +9,6 @@ other text, and every tokenizer of another kind, is encoded whole.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 from array import array
@@ -42,12 +41,12 @@ class Encoder:
     def __init__(self, path: str, remember: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.library, self.remember = Tokenizer.from_file(path), remember
-        spec = json.loads(self.library.to_str())
-        split = spec["pre_tokenizer"] or {}
-        self.by_word = (split.get("type") == "ByteLevel" and split.get("use_regex", True)
-                        and not split.get("add_prefix_space") and spec["normalizer"] is None)
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        split = self.library.pre_tokenizer
+        self.by_word = (isinstance(split, ByteLevel) and split.use_regex
+                        and not split.add_prefix_space and self.library.normalizer is None)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.feed = self.library.encode("\n", add_special_tokens=False).ids if self.by_word else []
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}

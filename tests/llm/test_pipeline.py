@@ -1,11 +1,15 @@
+import os
 import re
+import sys
 
 import __spark_entry__ as entry
 import corpus_pipeline
 import pyarrow as pa
 import pytest
-from ledgerline.llm import queries
-from ledgerline.llm.common import short_batches
+from ledgerline.llm import queries, tokens
+from ledgerline.llm.common import give_back, short_batches
+from ledgerline.llm.packing import pack
+from ledgerline.llm.tokens import default_tokenizer
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -71,3 +75,38 @@ def test_a_smaller_bound_of_the_session_stays(spark):
             assert spark.sql(f"SET {BYTES}").first()["value"] == kept
     finally:
         spark.conf.set(BYTES, before)
+
+
+def test_packing_leaves_no_tokenizer_in_workers(spark):
+    """An executor has more workers than tasks: none keeps words after its task."""
+    docs = spark.range(0, 400, 1, 8).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("word"), "id").alias("text"))
+    assert corpus_pipeline.packing(spark, docs, SF).select("doc_id").distinct().count() == 400
+
+    def left(batches):
+        from ledgerline.llm import tokens
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(tokens._loaded)])], ["n"])
+
+    assert spark.range(0, 64, 1, 32).mapInArrow(left, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_few_words_give_the_same_pieces(spark):
+    docs = spark.createDataFrame([(i, f"Some {i}\nwords {i % 7} of text{i} " * 30) for i in range(200)], "doc_id long, text string").coalesce(1)
+    few = pack(docs, default_tokenizer(), length=128, remember=40, release=True).collect()
+    assert few == pack(docs, default_tokenizer(), length=128).collect()
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_freed_memory_goes_back_without_a_tokenizer(monkeypatch):
+    monkeypatch.setattr(tokens, "_loaded", {})
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    some = [bytes(2_000) for _ in range(50_000)]
+    last = [bytes(2_000) for _ in range(100)]  # lies behind, so that free() alone does not shrink the heap
+    del some
+    held = resident()
+    give_back()
+    assert resident() < held - 50_000_000 and len(last) == 100
