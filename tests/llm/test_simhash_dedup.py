@@ -67,6 +67,12 @@ def test_components_of_chains_and_stars(spark):
     assert connected_components(df.limit(0)).count() == 0
 
 
+def test_components_of_very_many_links(spark):
+    links = spark.range(150_000).selectExpr("2 * id AS a", "2 * id + 1 AS b")
+    got = connected_components(links)
+    assert got.count() == 300_000 and got.filter("root <> node - node % 2").count() == 0
+
+
 def test_documents(odd_docs):
     rows = odd_docs.collect()
     prints = {r.text: plain_fingerprint((r.text or "").encode()) for r in rows}
