@@ -5,6 +5,7 @@ duplicate rows, optional columns. Every step is a narrow projection except
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +69,14 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
 def dedupe_rows(df: DataFrame) -> DataFrame:
     """Drop exact duplicate rows (C10). Spark de-duplicates map-side before
     the shuffle, so even a row repeated across a third of the input ships
-    at most once per map task."""
-    return df.dropDuplicates()
+    at most once per map task; rows that a join has placed by one of their
+    columns need no shuffle. Rows without any value are all equal and are
+    taken apart, so that the others stay where they have been placed."""
+    if not df.columns:
+        return df.dropDuplicates()
+    rows = df.toDF(*(f"c{i}" for i in range(len(df.columns))))  # names may repeat or be odd
+    some = reduce(Column.__or__, (F.col(c).isNotNull() for c in rows.columns))
+    return rows.filter(some).dropDuplicates().union(rows.filter(~some).limit(1)).toDF(*df.columns)
 
 
 def row_mark(cols: Sequence[str]) -> list[Column]:

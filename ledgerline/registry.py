@@ -11,11 +11,11 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .functions.dates import MONTH_FIRST, failed_date, parse_date
+from .functions.dates import MONTH_FIRST, WHITESPACE, failed_date, parse_date
 from .operators import clean as C
 from .plans import conflicts as Q
 from .plans import load as L
@@ -74,6 +74,20 @@ def _on_star(fn: Callable[[Star], DataFrame]) -> Callable[[SparkSession, str], D
     return run
 
 
+def _as_text(key: Column) -> Column:
+    return key.cast("string")
+
+
+def _as_clean_text(key: Column) -> Column:
+    return F.btrim(key.cast("string"), F.lit(WHITESPACE))
+
+
+def _raw_lines(spark: SparkSession, sf_dir: str, order: Callable[[Column], Column]) -> DataFrame:
+    """Raw lines, placed by that form of their order unless one order has very many."""
+    small = FX.largest_order(spark, sf_dir) <= LARGE_ORDER
+    return FX.raw_order_lines(spark, sf_dir, order) if small else FX.raw_order_lines(spark, sf_dir)
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.normalize_columns(FX.raw_order_lines(spark, sf_dir))
 
@@ -211,7 +225,7 @@ def _loaded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bands_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discount bands over cleaned text lines, sales with five decimals and
     discounts just over a band's end among them (C6, V8)."""
-    lines = C.clean_order_lines(FX.raw_order_lines(spark, sf_dir))
+    lines = C.clean_order_lines(_raw_lines(spark, sf_dir, _as_clean_text))
     return V.discount_impact(Star(None, None, None, None, None, lines))
 
 
@@ -304,8 +318,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_dates_monthfirst": _month_first,
     "coerce_numeric": lambda s, d: C.coerce_numeric(C.clean_strings(_raw(s, d))).select(
         "order_id", "sales", "quantity", "discount", "profit"),
-    "dedupe_rows": lambda s, d: C.dedupe_rows(_raw(s, d)),
-    "clean_order_lines": lambda s, d: C.clean_order_lines(FX.raw_order_lines(s, d)),
+    "dedupe_rows": lambda s, d: C.dedupe_rows(C.normalize_columns(_raw_lines(s, d, _as_text))),
+    "clean_order_lines": lambda s, d: C.clean_order_lines(_raw_lines(s, d, _as_clean_text)),
     # star
     "date_span": lambda s, d: K.date_span(order_lines(s, d)),
     "dim_date": _on_star(lambda st: st.date),

@@ -8,7 +8,9 @@ and part. Column expressions are plain SQL, identical in the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import read_table
@@ -44,7 +46,7 @@ PRODUCT_CODE = "p_brand || '-' || CAST(p_size AS VARCHAR(10))"
 ORDER_LINE_NAMES = tuple(name for name, _ in ORDER_LINE_COLUMNS)
 
 
-def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def joined_tables(spark: SparkSession, sf_dir: str, order: Callable[[Column], Column] = lambda key: key) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ region ⋈ part (inner).
 
     Line items and orders are both fact-sized, so they are joined by a
@@ -53,13 +55,17 @@ def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     check: nation and region broadcast, customer and part broadcast while
     their files are small and sort-merge join beyond that. The orders meet
     their customers and the bare line items their parts first, so the columns
-    of orders and customers cross no exchange once for each line."""
+    of orders and customers cross no exchange once for each line.
+
+    ``order`` is the form of the order key, one to one, in which the lines
+    show it: the join places them by that, so that what groups lines by a set
+    of columns with this one need not move them again."""
     t = lambda n: read_table(spark, sf_dir, n)
     buyers = (t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
               .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
               .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")))
     return (t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(buyers.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")))
+            .join(buyers.hint("merge"), order(F.col("l_orderkey")) == order(F.col("o_orderkey"))))
 
 
 def order_lines(spark: SparkSession, sf_dir: str, product_id: str = "p_partkey") -> DataFrame:
@@ -93,15 +99,16 @@ def conflict_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop("copy")
 
 
-def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_order_lines(spark: SparkSession, sf_dir: str, order: Callable[[Column], Column] = lambda key: key) -> DataFrame:
     """Order lines as raw text, the way a CSV export delivers them.
 
     Dirt, all deterministic: day-first date text with every 50th order date
     'bad'; product names padded with a tab and spaces; every 40th sales value
     'abc', every seventh with five decimals; every eleventh discount just over
     a band's end; every third quantity with a '.7' fraction; all-NULL rows (one per
-    100 orders); a second copy of every line whose order key ends in 0."""
-    j = joined_tables(spark, sf_dir)
+    100 orders); a second copy of every line whose order key ends in 0. For
+    ``order`` see :func:`joined_tables`."""
+    j = joined_tables(spark, sf_dir, order)
     s = lambda c: F.col(c).cast("string")
     day_first = lambda c: F.date_format(F.col(c), "dd-MM-yyyy")
     line = F.col("l_orderkey") + F.col("l_linenumber")
@@ -132,11 +139,12 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "a - b": s("l_linenumber"),
         "Margin %": F.expr("CAST(CAST(l_tax AS DECIMAL(4,2)) AS STRING)"),
     }
-    lines = j.select(*[c.alias(n) for n, c in cols.items()])
-    dupes = j.where(F.col("l_orderkey") % 10 == 0).select(*[c.alias(n) for n, c in cols.items()])
+    # One join for the lines and their copies.
+    lines = j.select(F.expr("explode(CASE WHEN l_orderkey % 10 = 0 THEN array(1, 2) ELSE array(1) END)").alias("copy"),
+                     *[c.alias(n) for n, c in cols.items()]).drop("copy")
     empty = (read_table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 100 == 0)
              .select(*[F.lit(None).cast("string").alias(n) for n in cols]))
-    return lines.unionByName(dupes).unionByName(empty)
+    return lines.unionByName(empty)
 
 
 # Lines of the order notes file, as SQL over orders. By the order's key some records are short,

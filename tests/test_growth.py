@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ledgerline import session
+from ledgerline import registry, session
 from ledgerline.functions.dates import DAY_FIRST, MONTH_FIRST, parse_date, shape
 from ledgerline.operators import clean
 from ledgerline.plans import star as K
@@ -152,3 +152,26 @@ def test_bucketed_rows_leave_no_table_behind(spark):
     kept = session.materialize_bucketed(spark.range(100).withColumn("v", F.col("id") % 7), "id", "some-rows", "zstd")
     assert len(spark.catalog.listTables()) == before
     assert kept.groupBy("v").count().count() == 7 and "Exchange" not in _plan(kept.groupBy("id").count())
+
+
+def _hash_exchanges(plan) -> list[str]:
+    return re.findall(r"Exchange hashpartitioning\(([^\n]*)", plan)
+
+
+def test_raw_lines_stay_where_the_join_has_placed_them(spark):
+    for name in ("clean_order_lines", "dedupe_rows", "discount_bands_from_text"):
+        for keys in _hash_exchanges(_plan(registry.QUERIES[name](spark, SF))):
+            assert "_orderkey" in keys or re.match(r"discount_band#\d+, \d", keys), (name, keys)
+
+
+def test_rows_without_values_count_once(spark):
+    rows = [(None, None), ("a", None), (None, 1), (None, None), ("a", None), ("a", 1)]
+    for some in (rows, rows[1:3], rows[:1], []):
+        got = clean.dedupe_rows(spark.createDataFrame(some, "v string, n long").toDF("x", "x"))
+        assert got.columns == ["x", "x"] and sorted(map(tuple, got.collect()), key=str) == sorted(set(some), key=str)
+
+
+def test_an_order_with_very_many_raw_lines_is_not_kept_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(registry, "LARGE_ORDER", 1)
+    keys = _hash_exchanges(_plan(registry.QUERIES["clean_order_lines"](spark, SF)))
+    assert any(k.count("#") >= 20 for k in keys) and not any("cast(o_orderkey" in k for k in keys)  # whole lines are dealt
