@@ -1,5 +1,6 @@
 """Stored tables and views, and measures that roll up."""
 
+import re
 from dataclasses import replace
 
 import pytest
@@ -101,3 +102,43 @@ def test_many_orders_cross_bitmap_blocks(spark, shop):
         *(F.lit(1).cast("decimal(12,2)").alias(c) for c in ("sales", "quantity", "discount", "profit")))
     cells = U.sales_cells(replace(shop, fact=fact), by=["region"])
     assert U.roll_up(cells).first().total_orders == 70_000
+
+
+def test_packed_attributes_equal_a_join(spark, monkeypatch):
+    monkeypatch.setattr(U, "SMALL", 0)
+    dim = spark.range(1, 140_001).select(F.col("id").alias("k"), F.expr("nullif(concat('a', id % 5), 'a4')").alias("a"), F.expr("id % 3").alias("b"))
+    lines = spark.range(0, 150_000, 7).select(F.expr("CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN -id WHEN id % 17 = 0 THEN id + 1000000000 ELSE id END").alias("k"), "id")
+    odd = {"whole": dim, "gap": dim.where("k <> 70000"), "repeat": dim.union(dim.where("k = 65536")), "gap and repeat": dim.withColumn("k", F.expr("CASE WHEN k = 9 THEN 8 ELSE k END")),
+           "no key": dim.union(dim.limit(1).withColumn("k", F.lit(None).cast("long"))), "ints": dim.withColumn("k", F.col("k").cast("int")),
+           "texts": dim.withColumn("k", F.col("k").cast("string")), "many values": dim.withColumn("a", F.expr("concat('a', k % 200)")), "empty": dim.limit(0)}
+    for name, d in odd.items():
+        plain = lines.join(d.select("k", "a", "b", F.lit(True).alias("f")), "k", "left").withColumn("f", F.coalesce("f", F.lit(False)))
+        got = U.with_attributes(lines, d, "k", ["a", "b"], "f")
+        assert got.exceptAll(plain.select(got.columns)).count() == 0 and got.count() == plain.count(), name
+        assert (U._packed(d, "k", ["a", "b"]) is not None) == (name in ("whole", "no key", "ints")), name
+
+
+def test_roll_ups_with_packed_dimensions_do_not_move_the_lines_for_them(spark, shop, monkeypatch):
+    shop = replace(shop, customer=R.star(spark, SF).customer, product=R.star(spark, SF).product)
+    monkeypatch.setattr(U, "SMALL", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cells = U.sales_cells(shop)
+        plan = cells._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [product_key" not in plan and "SortMergeJoin [customer_key" not in plan
+        packed = rows(U.roll_up(cells, "region")), rows(U.roll_up(cells, "category")), rows(U.roll_up(cells, "segment", aov=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert packed == (rows(X.by_region(shop)), rows(X.by_category(shop)), rows(V.segment_profitability(shop).drop("total_customers")))
+
+
+def test_the_detail_view_moves_the_fact_for_customers_only(spark, stored_names):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = spark.table("stored_test.vw_sales_detail")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = re.findall(r"SortMergeJoin \[(\w+)#", text)
+    assert joins[-2:] == ["customer_key", "product_key"]  # the lowest come last: the stored layout serves products
